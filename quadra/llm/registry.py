@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quadra.llm import op1
+from quadra.llm import op1, op2
 
-MODULES = [op1]
+MODULES = [op1, op2]
 
 
 def queries() -> dict:
