@@ -102,7 +102,8 @@ def base_failed(limits: Limits) -> Column:
 
 
 def fit_references(measured: DataFrame, limits: Limits, lang: str = "lang") -> dict[str, tuple[list, list]]:
-    """(character histogram, word histogram) of each language that has documents, as shares."""
+    """(character histogram, word histogram) of each language that has documents, as shares. ``measured`` should be a
+    stored table, since :func:`judge` reads it again."""
     prose = 100 * F.col("n_symbols") <= limits.reference_symbols_percent * F.col("n_words")
     good = measured.where(~base_failed(limits) & prose & F.col(lang).isin(limits.languages))
     sums = lambda c, n: [F.sum(F.get(c, i)).alias(f"{c}_{i}") for i in range(n)]

@@ -6,6 +6,7 @@ import pytest
 
 from quadra.llm import op3
 from quadra.llm.quality import COMMON, COMMON_WORDS, Limits, fit_references, judge, measure
+from quadra.session import stored
 
 
 def brute(text):
@@ -85,7 +86,7 @@ def test_edges(spark):
     texts = [None, "", " \n\t ", "a", "a b c a b c", "x y z x y z\nx y z x y z\n\nx y z x y z", "\x0b\x0cé  ü\r\n", "the " * 30000, "w " * 2 + "v"]
     rows = [(i, "en", t, "clash", 3) for i, t in enumerate(texts)] + [(4, "en", texts[4], "clash", 3)]
     df = spark.createDataFrame(rows, "doc_id int, lang string, text string, kind string, i int")
-    m = measure(df)
+    m = stored(measure(df), "m")
     got = judge(m, fit_references(m, Limits())).collect()
     assert len(got) == len(rows)
     for r in got:
