@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quadra.llm import op1, op2, op3, op4, op7, op8
+from quadra.llm import op1, op2, op3, op4, op6, op7, op8
 
-MODULES = [op1, op2, op3, op4, op7, op8]
+MODULES = [op1, op2, op3, op4, op6, op7, op8]
 
 
 def queries() -> dict:
