@@ -13,8 +13,12 @@ place and sequence it is.
 
 from __future__ import annotations
 
+import json
+import os
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,24 +31,66 @@ from quadra.llm.text import pieces as words_of
 from quadra.session import stored
 
 #: Entries of the cache of encoded words in each Python worker.
-CACHE = 400_000
+CACHE = 500_000
 _encoders: dict[str, Encoded] = {}
 
 
+def _byte_chars() -> dict[int, int]:
+    """The characters that stand for bytes in byte-level vocabularies: visible Latin-1 ones stand for themselves, the
+    other bytes take the characters from U+0100 on, in order."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(seen)]
+    return {b: b for b in seen} | {b: 256 + k for k, b in enumerate(rest)}
+
+
+def _simple(path: str) -> str | None:
+    """The split pattern, if the tokenizer is: NFC, white space joined, lower case; split by a pattern; byte level."""
+    with open(path, encoding="utf-8") as f:
+        conf = json.load(f)
+    norm = [n["type"] for n in (conf.get("normalizer") or {}).get("normalizers", [])]
+    pre = (conf.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if norm != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in pre] != ["Split", "ByteLevel"] or pre[1]["add_prefix_space"] or pre[1]["use_regex"]:
+        return None
+    return pre[0]["pattern"].get("Regex") if pre[0]["behavior"] == "Removed" and pre[0]["invert"] else None
+
+
 def _encoder(path: str) -> Encoded:
     """Words of the text are encoded by the tokenizers library. Its pattern has no match that holds white space, so
-    that the ids of a text are those of its parts between spaces, tabs and line ends."""
-    if path not in _encoders:
-        import os
+    that the ids of a text are those of its parts between spaces, tabs and line ends.
 
+    For printable words of Latin letters the normaliser does nothing but lower the case, so that the library's model is
+    given their pre-tokens directly (each once); all others go through the library's whole chain."""
+    if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
+        pattern, chars = _simple(path), _byte_chars()
+        find, model = (regex.compile(pattern).findall, tok.model) if pattern else (None, None)
+
+        def merge(tokens: list[str]) -> list[bytes]:
+            mapped = [t.encode().decode("latin-1").translate(chars) for t in tokens]
+            return [pack_ids([x.id for x in model.tokenize(m)]) for m in mapped]
+
+        pack_ids = lambda ids: struct.pack(f"<{len(ids)}I", *ids)
+        merged = Encoded(merge, CACHE // 2)
 
         def encode(words: list[str]) -> list[bytes]:
-            found = tok.encode_batch_fast(words, add_special_tokens=False)
-            return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+            out, hard, easy, parts = [b""] * len(words), [], [], []
+            for k, w in enumerate(words):
+                if find and w.isprintable() and (w.isascii() or max(w) < "\u0180") and "<|" not in w:
+                    easy.append(k)
+                    parts.append(find(w.lower()))
+                else:
+                    hard.append(k)
+            merged.ensure(chain.from_iterable(parts))
+            get = merged.__getitem__
+            for k, p in zip(easy, parts, strict=True):
+                out[k] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
+            for k, e in zip(hard, tok.encode_batch_fast([words[k] for k in hard], add_special_tokens=False), strict=True):
+                out[k] = np.asarray(e.ids, "<u4").tobytes()
+            return out
 
         _encoders[path] = Encoded(encode, CACHE, {"": b""})
     return _encoders[path]

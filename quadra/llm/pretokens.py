@@ -15,15 +15,20 @@ class Encoded(dict):
         self.encode, self.limit, self.always = encode, limit, always or {}
         self.update(self.always)
 
+    def ensure(self, tokens) -> None:
+        """Encode those of the tokens that are not here yet, together."""
+        tokens = dict.fromkeys(tokens)
+        new = [t for t in tokens if t not in self]
+        if len(self) + len(new) > self.limit + len(self.always):
+            self.clear()
+            self.update(self.always)
+            new = [t for t in tokens if t not in self]
+        self.update(zip(new, self.encode(new), strict=True))
+
     def ids(self, tokens: list[str]) -> bytes:
         """The ids of a sequence of pre-tokens, joined."""
         try:
             return b"".join(map(self.__getitem__, tokens))
         except KeyError:
-            new = [t for t in dict.fromkeys(tokens) if t not in self]
-            if len(self) + len(new) > self.limit + len(self.always):
-                self.clear()
-                self.update(self.always)
-                new = list(dict.fromkeys(t for t in tokens if t not in self))
-            self.update(zip(new, self.encode(new), strict=True))
+            self.ensure(tokens)
             return b"".join(map(self.__getitem__, tokens))

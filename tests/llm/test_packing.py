@@ -82,3 +82,15 @@ def test_nnls_and_combinations():
     a = np.array([[1.0, 0, 1], [0, 2, 1], [1, 1, 0]])
     x = np.array([2.0, 0, 3])
     assert np.allclose(nnls(a, a @ x, 5000), x, atol=1e-3)
+
+
+def test_small_caches_change_nothing():
+    from quadra.llm.pretokens import Encoded
+
+    calls = []
+    c = Encoded(lambda ts: calls.append(len(ts)) or [t.encode() for t in ts], 5, {"": b""})
+    for text in ("a b c d", "e f g a", "a b c d e f g h i"):
+        assert c.ids(text.split()) == text.replace(" ", "").encode()
+    assert c.ids([]) == b"" and len(calls) == 3
+    c.ensure(iter("xyz"))
+    assert c["x"] == b"x" and c[""] == b""
