@@ -83,18 +83,27 @@ def next_ids(ids: DataFrame, key: str, extra: str) -> DataFrame:
     return joined.select(key, extra, F.coalesce(F.col("next"), F.struct(F.col("wrap.id").alias("id")))["id"].alias("next"))
 
 
+#: Stands for a null key in joins.
+_NULL = -(1 << 63)
+
+
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Adds ``head_next`` (the first floor(n/3) code points of the next document's text, n the own length) and
-    ``next_lanes``. The next document is that with the next smaller key; after the last comes the first. Repeated keys
-    are one document in that order, read as the smallest of their texts; a null key comes last.
-
-    Documents are dealt out by key once; only lanes and the prefixes that are asked for move a second time."""
-    whole = docs.withColumn("__t", F.coalesce(F.col(text), F.lit("")))
-    sizes = whole.groupBy(key).agg(F.max(F.floor(F.char_length("__t") / 3)).cast("int").alias("need"))
-    after = next_ids(sizes, key, "need")
-    asked = after.select(F.col(key).alias("__user"), "need", F.col("next").alias("__key"))
-    one = whole.select(F.col(key).alias("__key"), "__t").groupBy("__key").agg(F.min("__t").alias("__t"))
-    lent = one.join(asked, one["__key"].eqNullSafe(asked["__key"])).select(
-        "__user", F.substring(F.col("__t"), F.lit(1), F.col("need")).alias("head_next"), lanes(F.col("__t")).alias("next_lanes")
+    """(key, text, head_next, next_lanes): head_next is the first floor(n/3) code points of the next document's text, n
+    the own length. The next document is that with the next smaller key; after the last comes the first. Repeated keys
+    are one document in that order, read as the smallest of their texts; a null key (also -2^63) comes last. Keys are
+    integers; a null text is the empty one.
+
+    Texts are dealt out by key once, and both sides of the join read that exchange; only lanes and the prefixes that
+    are asked for move a second time."""
+    whole = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NULL)).alias("__k"), F.coalesce(F.col(text), F.lit("")).alias("__t"))
+    sizes = whole.groupBy("__k").agg(F.max(F.floor(F.char_length("__t") / 3)).cast("int").alias("need"))
+    after = next_ids(sizes, "__k", "need")
+    asked = after.select(F.col("__k").alias("__user"), "need", F.col("next").alias("__k"))
+    dealt = whole.repartition("__k")
+    smallest = F.row_number().over(W.partitionBy("__k").orderBy("__t"))
+    one = dealt.withColumn("__n", smallest).where("__n = 1")
+    lent = one.join(asked, "__k").select(
+        F.col("__user").alias("__k"), F.substring(F.col("__t"), F.lit(1), F.col("need")).alias("head_next"), lanes(F.col("__t")).alias("next_lanes")
     )
-    return whole.join(lent, whole[key].eqNullSafe(lent["__user"])).drop("__user", "__t")
+    joined = dealt.join(lent, "__k")
+    return joined.select(F.nullif("__k", F.lit(_NULL)).alias(key), F.col("__t").alias(text), "head_next", "next_lanes")

@@ -3,7 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from quadra.llm import op8
-from quadra.llm.fingerprint import as_text, combine, lanes, likeness
+from quadra.llm.fingerprint import as_text, combine, lanes, likeness, with_next
 
 
 def edited(docs):
@@ -41,6 +41,8 @@ def test_edges(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     rows = op8.op8_fingerprint(spark, str(tmp_path)).collect()
     assert sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in rows) == sorted(edited(docs))
+    nulls = spark.createDataFrame([(None, "a"), (3, "bcdefg")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.head_next) for r in with_next(nulls).collect()) == [(0, ""), (3, "a")]
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert op8.op8_fingerprint(spark, str(tmp_path / "none")).count() == 0
 
