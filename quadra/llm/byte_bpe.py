@@ -108,6 +108,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path, pattern)
         for batch in batches:
+            if not len(batch):
+                continue
             rows = [make(c, c.encode(t if isinstance(t, str) else "")) for t in batch[text]]
             out = pd.DataFrame(rows, columns=names)
             out.insert(0, key, batch[key].to_numpy())

@@ -108,7 +108,8 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
                     nodes.append(node)
                     bands.append(band_hashes(values))
                     sigs.append(values.astype(np.uint8).tobytes())
-            yield pd.DataFrame({"node": nodes, "bands": bands, "sig": sigs})
+            if nodes:
+                yield pd.DataFrame({"node": nodes, "bands": bands, "sig": sigs})
 
     made = docs.select("node", "__t").mapInPandas(run, "node binary, bands array<bigint>, sig binary")
     return made.dropDuplicates(["node"])
@@ -193,7 +194,8 @@ def candidate_edges(signatures: DataFrame, screen: float) -> DataFrame:
             if len(a) > 20_000:
                 yield pd.DataFrame({"a": a, "b": b})
                 a, b = [], []
-        yield pd.DataFrame({"a": a, "b": b})
+        if a:
+            yield pd.DataFrame({"a": a, "b": b})
 
     dealt = rows.repartition(*key).sortWithinPartitions(*key, "node").select(*key, "node", "sig")
     return dealt.mapInPandas(run, "a binary, b binary").distinct()

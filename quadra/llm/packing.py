@@ -120,7 +120,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: in
                     out.append((*rec, np.frombuffer(part, "<u4").astype("int32")) if ids else rec)
                 row += 1
             names = [key, "row", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * ids]
-            yield pd.DataFrame(out, columns=names)
+            if out:
+                yield pd.DataFrame(out, columns=names)
 
     return docs.select(key, text).mapInPandas(run, schema)
 
