@@ -1 +1 @@
-
+"""Column functions: tiles, geometry, tags and record keys."""

@@ -1 +1 @@
-
+"""Composed pipelines: feature building and mutation levels."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from quadra.catalog import features, tiles
+
+MODULES = [tiles, features]
+
 
 def queries() -> dict:
-    return {}
+    return {k: f for m in MODULES for k, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {k: s for m in MODULES for k, s in m.SQL.items()}
