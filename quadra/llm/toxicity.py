@@ -29,7 +29,7 @@ from quadra.session import stored
 
 BLOCK = 64
 PREFIXES = (4, 5, 6)
-CACHE = 400_000
+CACHE = 200_000
 
 
 @dataclass(frozen=True)
@@ -100,35 +100,49 @@ class Terms:
 
 
 class BlockMaxIndex:
-    """Exact nearest neighbours by cosine among unit vectors (examples x terms)."""
+    """Exact nearest neighbours by cosine among unit vectors (examples x terms; the last term is in all of them)."""
+
+    #: Blocks that are opened first; their k-th best cosine tells which others can be left closed.
+    FIRST = 4
 
     def __init__(self, vectors: np.ndarray, k: int):
-        n = len(vectors)
-        # similar examples share blocks, so that bounds are tight: ordered by their strongest term
-        self.order = np.lexsort((np.arange(n), vectors.argmax(axis=1))) if n else np.empty(0, np.int64)
-        self.vectors, self.k = vectors[self.order], k
-        starts = range(0, n, BLOCK)
-        self.maxima = np.array([self.vectors[a : a + BLOCK].max(axis=0) for a in starts]).T if n else np.zeros((vectors.shape[1], 0))
+        n, self.k = len(vectors), k
+        # similar examples share blocks, so that bounds are tight: ordered by their strongest term besides the last
+        strongest = np.where(vectors[:, :-1].any(axis=1), vectors[:, :-1].argmax(axis=1), -1) if n and vectors.shape[1] > 1 else np.zeros(n, int)
+        self.order = np.lexsort((np.arange(n), strongest))
+        self.postings = np.ascontiguousarray(vectors[self.order].T)  # a row a term
+        starts = np.arange(0, n, BLOCK)
+        self.maxima = np.maximum.reduceat(self.postings, starts, axis=1) if n else np.zeros((vectors.shape[1], 0))
+        self.last = np.minimum(starts + BLOCK, n)
         self.opened = 0
 
+    def _cosines(self, blocks: np.ndarray, at: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        rows = rows[rows < self.postings.shape[1]]
+        self.opened += len(blocks)
+        cos = np.zeros(len(rows))
+        for t, w in zip(at, q, strict=True):
+            cos += self.postings[t].take(rows) * w
+        return self.order[rows], np.round(cos, 9)
+
     def nearest(self, query: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(example numbers, cosines), best first; ``skip`` is left out."""
+        """(example numbers, cosines), best first, ties by number; ``skip`` is left out."""
         at = np.flatnonzero(query)
         q = query[at]
         bounds = q @ self.maxima[at]
-        best_id, best_cos, kth = np.empty(0, np.int64), np.empty(0), -1.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if len(best_id) >= self.k and bounds[b] < kth - 1e-9:
-                break
-            self.opened += 1
-            ids = self.order[b * BLOCK : (b + 1) * BLOCK]
-            cos = self.vectors[b * BLOCK : (b + 1) * BLOCK][:, at] @ q
-            keep = ids != skip
-            best_id, best_cos = np.r_[best_id, ids[keep]], np.r_[best_cos, np.round(cos[keep], 9)]
-            first = np.lexsort((best_id, -best_cos))[: self.k]
-            best_id, best_cos = best_id[first], best_cos[first]
-            kth = best_cos[-1] if len(best_cos) else -1.0
-        return best_id, best_cos
+        best = np.argpartition(-bounds, self.FIRST)[: self.FIRST] if len(bounds) > self.FIRST else np.arange(len(bounds))
+        ids, cos = self._cosines(best, at, q)
+        known = cos[ids != skip]
+        kth = np.partition(known, len(known) - self.k)[len(known) - self.k] if len(known) >= self.k else -1.0
+        more = bounds >= kth - 1e-8
+        more[best] = False
+        if more.any():
+            more_ids, more_cos = self._cosines(np.flatnonzero(more), at, q)
+            ids, cos = np.r_[ids, more_ids], np.r_[cos, more_cos]
+        keep = (cos >= kth) & (ids != skip)
+        ids, cos = ids[keep], cos[keep]
+        first = np.lexsort((ids, -cos))[: self.k]
+        return ids[first], cos[first]
 
 
 @dataclass
@@ -243,20 +257,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         index, terms, known = m.index(), Terms(m.vocabulary), {}
-        for batch in batches:
+        for batch in (whole.iloc[a : a + 1000] for whole in batches for a in range(0, len(whole), 1000)):
             scores, evidence = [], []
             for t in batch[text]:
                 tf, n = terms.count(t if isinstance(t, str) else None)
                 query = (tf, n) if tf else ()  # texts without a term are all alike
                 if query not in known:
-                    if len(known) > 50_000:
+                    if len(known) > 10_000:
                         known.clear()
                     ids, cos = index.nearest(m.vector(tf, n))
-                    near = [{"key": m.keys[i].item(), "cosine": float(c), "label": int(m.labels[i])} for i, c in zip(ids[:3], cos[:3])]
-                    known[query] = m.calibrated(m.vote(ids, cos)), near
-                s, e = known[query]
+                    known[query] = m.calibrated(m.vote(ids, cos)), [(m.keys[i].item(), float(c), int(m.labels[i])) for i, c in zip(ids[:3], cos[:3])]
+                s, near = known[query]
                 scores.append(s)
-                evidence.append(e)
+                evidence.append([dict(zip(("key", "cosine", "label"), e)) for e in near])
             out = batch[columns].copy()
             out["score"], out["evidence"] = scores, evidence
             yield out
