@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quadra.catalog import features, tiles
+from quadra.catalog import edits, features, tiles
 
-MODULES = [tiles, features]
+MODULES = [tiles, features, edits]
 
 
 def queries() -> dict:

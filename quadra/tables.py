@@ -143,7 +143,7 @@ def previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = snapshot(spark, sf_dir).join(od, "way_id").where(F.col("o_orderdate") < PREVIOUS_DATE).drop("o_orderdate")
     old = now.withColumn("highway", F.when(F.col("way_id") % 13 == 0, F.concat(F.coalesce("highway", F.lit("none")), F.lit("_old"))).otherwise(F.col("highway")))
     top = table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("top"))
-    gone = top.select((F.col("top") + F.explode(F.sequence(F.lit(1), F.lit(10)))).alias("way_id"), F.lit("road").alias("kind"), F.lit("gone").alias("highway"))
+    gone = top.select("top", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i")).select((F.col("top") + F.col("i")).alias("way_id"), F.lit("road").alias("kind"), F.lit("gone").alias("highway"))
     return old.unionByName(gone)
 
 
