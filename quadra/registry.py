@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quadra.catalog import edits, features, tiles
+from quadra.catalog import edits, features, files, tiles
 
-MODULES = [tiles, features, edits]
+MODULES = [tiles, features, edits, files]
 
 
 def queries() -> dict:
