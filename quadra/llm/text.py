@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The white space that separates words: space and 0x09 to 0x0D.
@@ -26,6 +26,15 @@ def words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, "[ \\t-\\r]+"))
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """The same rows; sees to it that Spark hands texts to Python in smaller batches than its default of 10,000 rows, which
+    hold tens of megabytes of text each. A session that has set another size keeps it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if docs.sparkSession.conf.get(name, "10000") == "10000":
+        docs.sparkSession.conf.set(name, "2000")
+    return docs
+
+
 def whole(text: str = "text") -> Column:
     """The text column, with null as the empty text."""
     return F.coalesce(F.col(text), F.lit(""))
