@@ -19,7 +19,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from quadra.llm.pretokens import Encoded
+from quadra.llm.pretokens import Encoded, hold
+from quadra.llm.text import small_batches
 
 CACHE = 400_000
 _SHIFT = {b: 0x100 + b for b in range(256)}
@@ -106,6 +107,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
     make = derive or (lambda _, ids: (ids.astype("int32"),))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("byte_bpe", _codecs)
         c = codec(path, pattern)
         for batch in batches:
             if not len(batch):
@@ -115,7 +117,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
             out.insert(0, key, batch[key].to_numpy())
             yield out
 
-    return docs.select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, {schema}")
+    return small_batches(docs).select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, {schema}")
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:

@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadra.llm.components import connected
-from quadra.llm.text import pieces
+from quadra.llm.pretokens import hold
+from quadra.llm.text import pieces, small_batches
 from quadra.session import cut, stored
 
 BANDS, ROWS, BLOCK = 30, 5, 1024
-CACHE = 400_000
+CACHE = 200_000
 _words: dict[str, int] = {}
 
 
@@ -98,6 +99,7 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
     """(node, bands array<bigint>, sig binary): one row per different text with n-grams."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("jaccard", _words)
         for batch in batches:
             batch = batch.drop_duplicates("node")
             nodes, bands, sigs = [], [], []
@@ -111,7 +113,7 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
             if nodes:
                 yield pd.DataFrame({"node": nodes, "bands": bands, "sig": sigs})
 
-    made = docs.select("node", "__t").mapInPandas(run, "node binary, bands array<bigint>, sig binary")
+    made = small_batches(docs).select("node", "__t").mapInPandas(run, "node binary, bands array<bigint>, sig binary")
     return made.dropDuplicates(["node"])
 
 

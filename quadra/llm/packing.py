@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quadra.llm.pretokens import Encoded
+from quadra.llm.pretokens import Encoded, hold
 from quadra.llm.text import pieces as words_of
+from quadra.llm.text import small_batches
 from quadra.session import stored
 
 #: Entries of the cache of encoded words in each Python worker.
-CACHE = 500_000
+CACHE = 400_000
 _encoders: dict[str, Encoded] = {}
 
 
@@ -107,6 +108,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: in
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
+        hold("packing", _encoders)
         encoder, end = _encoder(tokenizer), np.asarray([end_id], "<u4").tobytes()
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
@@ -123,7 +125,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: in
             if out:
                 yield pd.DataFrame(out, columns=names)
 
-    return docs.select(key, text).mapInPandas(run, schema)
+    return small_batches(docs).select(key, text).mapInPandas(run, schema)
 
 
 # ---------------------------------------------------------------- plan

@@ -32,3 +32,21 @@ class Encoded(dict):
         except KeyError:
             self.ensure(tokens)
             return b"".join(map(self.__getitem__, tokens))
+
+
+_held: list = []
+
+
+def hold(kind: str, *caches: dict) -> None:
+    """Called where a task starts: a Python worker lives on from one operator's tasks to those of the next, and the caches
+    that the last operator left behind make room."""
+    if _held and _held[0] != kind:
+        for c in _held[1]:
+            c.clear()
+        try:
+            import ctypes
+
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except OSError:
+            pass
+    _held[:] = [kind, caches]

@@ -20,7 +20,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from quadra.llm.text import pieces
+from quadra.llm.pretokens import hold
+from quadra.llm.text import pieces, small_batches
 
 MARK = "▁"
 ZIPF = 2.7
@@ -107,6 +108,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     """(key, n_pretokens, n_tokens) of each row; null and blank texts have none. ``vocabulary``: path of a model file."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("token_count", _tries)
         if vocabulary not in _tries:
             _tries[vocabulary] = Trie(read_vocabulary(vocabulary))
         trie = _tries[vocabulary]
@@ -114,4 +116,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
             found = [trie.count(t if isinstance(t, str) else None) for t in batch[text]]
             yield pd.DataFrame({key: batch[key], "n_pretokens": [a for a, _ in found], "n_tokens": [b for _, b in found]})
 
-    return docs.select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, n_pretokens long, n_tokens long")
+    return small_batches(docs).select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, n_pretokens long, n_tokens long")

@@ -24,12 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadra.llm.text import pieces
+from quadra.llm.pretokens import hold
+from quadra.llm.text import pieces, small_batches
 from quadra.session import stored
 
 BLOCK = 64
 PREFIXES = (4, 5, 6)
-CACHE = 200_000
+CACHE = 120_000
 
 
 @dataclass(frozen=True)
@@ -110,19 +111,20 @@ class BlockMaxIndex:
         # similar examples share blocks, so that bounds are tight: ordered by their strongest term besides the last
         strongest = np.where(vectors[:, :-1].any(axis=1), vectors[:, :-1].argmax(axis=1), -1) if n and vectors.shape[1] > 1 else np.zeros(n, int)
         self.order = np.lexsort((np.arange(n), strongest))
-        self.postings = np.ascontiguousarray(vectors[self.order].T)  # a row a term
+        self.postings = np.ascontiguousarray(vectors.T)  # a row a term
+        for row in self.postings:
+            row[:] = row[self.order]
         starts = np.arange(0, n, BLOCK)
-        self.maxima = np.maximum.reduceat(self.postings, starts, axis=1) if n else np.zeros((vectors.shape[1], 0))
-        self.last = np.minimum(starts + BLOCK, n)
+        self.maxima = np.maximum.reduceat(self.postings, starts, axis=1) if n else np.zeros((vectors.shape[1], 0), np.float32)
         self.opened = 0
 
     def _cosines(self, blocks: np.ndarray, at: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         rows = rows[rows < self.postings.shape[1]]
         self.opened += len(blocks)
-        cos = np.zeros(len(rows))
+        cos = np.zeros(len(rows))  # in double
         for t, w in zip(at, q, strict=True):
-            cos += self.postings[t].take(rows) * w
+            cos += self.postings[t].take(rows) * float(w)
         return self.order[rows], np.round(cos, 9)
 
     def nearest(self, query: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +136,7 @@ class BlockMaxIndex:
         ids, cos = self._cosines(best, at, q)
         known = cos[ids != skip]
         kth = np.partition(known, len(known) - self.k)[len(known) - self.k] if len(known) >= self.k else -1.0
-        more = bounds >= kth - 1e-8
+        more = bounds >= kth - 1e-5  # bounds are sums in single precision
         more[best] = False
         if more.any():
             more_ids, more_cos = self._cosines(np.flatnonzero(more), at, q)
@@ -160,15 +162,17 @@ class Model:
     shift: float = 0.0
 
     def vector(self, tf, n: int) -> np.ndarray:
-        v = np.zeros(len(self.vocabulary) + 1)
+        v = np.zeros(len(self.vocabulary) + 1, np.float32)
         for t, times in tf:
             v[t] = (1 + math.log(times)) * self.idf[t]
         v[-1] = self.settings.rest_weight * (1 + math.log1p(n))
         return v / np.linalg.norm(v)
 
     def index(self) -> BlockMaxIndex:
-        rows = [self.vector(tf, n) for tf, n in self.counts]
-        return BlockMaxIndex(np.array(rows) if rows else np.zeros((0, len(self.vocabulary) + 1)), self.settings.k)
+        rows = np.zeros((len(self.counts), len(self.vocabulary) + 1), np.float32)
+        for i, (tf, n) in enumerate(self.counts):
+            rows[i] = self.vector(tf, n)
+        return BlockMaxIndex(rows, self.settings.k)
 
     def vote(self, ids: np.ndarray, cos: np.ndarray) -> float:
         w = cos * self.weights[ids]
@@ -255,15 +259,16 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     schema = ", ".join([f"`{c}` {types[c]}" for c in columns] + ["score double", f"evidence array<struct<key:{types[key]},cosine:double,label:int>>"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("toxicity")
         m = shared.value
         index, terms, known = m.index(), Terms(m.vocabulary), {}
-        for batch in (whole.iloc[a : a + 1000] for whole in batches for a in range(0, len(whole), 1000)):
+        for batch in (whole.iloc[a : a + 500] for whole in batches for a in range(0, len(whole), 500)):
             scores, evidence = [], []
             for t in batch[text]:
                 tf, n = terms.count(t if isinstance(t, str) else None)
                 query = (tf, n) if tf else ()  # texts without a term are all alike
                 if query not in known:
-                    if len(known) > 10_000:
+                    if len(known) > 5_000:
                         known.clear()
                     ids, cos = index.nearest(m.vector(tf, n))
                     known[query] = m.calibrated(m.vote(ids, cos)), [(m.keys[i].item(), float(c), int(m.labels[i])) for i, c in zip(ids[:3], cos[:3])]
@@ -274,4 +279,4 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             out["score"], out["evidence"] = scores, evidence
             yield out
 
-    return docs.select(*dict.fromkeys([*columns, text])).mapInPandas(run, schema)
+    return small_batches(docs).select(*dict.fromkeys([*columns, text])).mapInPandas(run, schema)
