@@ -1,9 +1,13 @@
 """Quality rules: simple base rules, then the distribution divergence from language references.
 
-DataFrame functions only. Per document two histograms are taken: character classes, and the most common words of the
-languages. Each is compared with the reference of every language by the Jensen-Shannon distance (base 2, between 0 and
-1); the nearest language counts. A document diverges if one of its two distances exceeds its limit; short documents,
-whose histograms say little, are not judged (minimum-length guards).
+DataFrame functions only. Per document three histograms are taken: character classes, the most common words of the
+languages, and their function words in lower case without punctuation. Each is compared with the reference of every
+language by the Jensen-Shannon distance (base 2, between 0 and 1); the nearest language counts. A document diverges if
+one of its distances exceeds its limit; short documents, whose histograms say little, are not judged (minimum-length
+guards).
+
+The limit for function words is learned: by length class, the ``function_quantile`` of the prose's own distances, and
+never more than ``function_share`` of the distance of a text that has no function word at all.
 
 References come from the documents themselves: sums over the prose of each language that passes the base rules, one row per
 language (the languages are a fixed list, so that the table is as small for any corpus).
@@ -13,6 +17,7 @@ Null texts have no words and fail the base rules. Repeated rows are judged alike
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +33,14 @@ COMMON_WORDS = {
     "es": ["el", "los", "las", "una", "por", "con", "para", "y"],
 }
 COMMON = [w for ws in COMMON_WORDS.values() for w in ws]
+#: Function words for the folded histogram: lower case, without punctuation at the end.
+FUNCTION_WORDS = {
+    "en": "the of and to in is that it a for was on with be as by this are or an at from not he his have which but had they".split(),
+    "de": "der die und den von das mit sich in zu des auf für ist nicht im dem ein eine als er es an auch werden aus hat dass sie nach".split(),
+    "fr": "le des et les du une que pour de la en un est qui dans par pas au sur avec il ne se ce plus son aux ou sont cette".split(),
+    "es": "el los las una por con para y de la que en se del un no su al es lo como más o pero sus le ha este sin sobre".split(),
+}
+FUNCTION = list(dict.fromkeys(w for ws in FUNCTION_WORDS.values() for w in ws))
 CLASSES = ["upper", "digit", "stop", "symbol", "space", "wide", "other"]
 
 
@@ -42,6 +55,8 @@ class Limits:
     chars: float = 0.12
     chars_noise: float = 2.5
     words: float = 0.4
+    function_quantile: float = 0.999
+    function_share: float = 0.95
     least_chars: int = 300
     least_words: int = 100
     reference_symbols_percent: int = 5
@@ -67,8 +82,8 @@ def _covered(h: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), and the histograms ``char_hist`` and
-    ``word_hist`` (array of double, counts)."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), and the histograms ``char_hist``,
+    ``word_hist`` and ``function_hist`` (array of double, counts)."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = docs.withColumns({"__text": t, "__words": words(F.col(text))})
     df = df.withColumn("n_words", F.size("__words").cast("long"))
@@ -77,6 +92,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "__lines": lines,
         "__windows": _repeated(F.col("__words"), F.col("n_words").cast("int")),
         "__hits": F.filter("__words", lambda x: x.isin(COMMON)),
+        "__function": F.filter(F.split(F.regexp_replace(F.lower("__text"), "[.,;:!?]+(?=[ \\t-\\r]|$)", ""), "[ \\t-\\r]+"), lambda x: x.isin(FUNCTION)),
         "word_chars": F.char_length(F.regexp_replace("__text", "[ \\t-\\r]+", "")).cast("long"),
         "n_symbols": F.regexp_count("__text", F.lit("[#*$%&|<>]")).cast("long"),
     })
@@ -90,27 +106,55 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "__space": (F.char_length("__text") - F.col("word_chars")).cast("double"),
         "__wide": (F.octet_length("__text") - F.char_length("__text")).cast("double"),
         "__counts": F.array(*[(F.size("__hits") - F.size(F.array_remove("__hits", w))).cast("double") for w in COMMON]),
+        "__function_counts": F.array(*[(F.size("__function") - F.size(F.array_remove("__function", w))).cast("double") for w in FUNCTION]),
     })
     rest = F.char_length("__text") - F.col("__upper") - F.col("__digit") - F.col("__stop") - F.col("n_symbols") - F.col("__space") - F.col("__wide")
     char_hist = F.array("__upper", "__digit", "__stop", F.col("n_symbols").cast("double"), "__space", "__wide", F.greatest(F.lit(0.0), rest))
-    df = df.withColumns({"char_hist": char_hist, "word_hist": F.concat("__counts", F.array((F.col("n_words") - F.size("__hits")).cast("double")))})
-    return df.drop("__text", "__words", "__lines", "__windows", "__hits", "__upper", "__digit", "__stop", "__space", "__wide", "__counts")
+    with_rest = lambda counts, hits: F.concat(counts, F.array((F.col("n_words") - F.size(hits)).cast("double")))
+    df = df.withColumns({"char_hist": char_hist, "word_hist": with_rest("__counts", "__hits"), "function_hist": with_rest("__function_counts", "__function")})
+    return df.drop("__text", "__words", "__lines", "__windows", "__hits", "__function", "__upper", "__digit", "__stop", "__space", "__wide", "__counts", "__function_counts")
 
 
 def base_failed(limits: Limits) -> Column:
     return (F.col("n_words") < limits.base_words) | (100 * F.col("n_repeat_words") > limits.base_repeat_percent * F.col("n_words"))
 
 
-def fit_references(measured: DataFrame, limits: Limits, lang: str = "lang") -> dict[str, tuple[list, list]]:
-    """(character histogram, word histogram) of each language that has documents, as shares. ``measured`` should be a
-    stored table, since :func:`judge` reads it again."""
+class References(dict):
+    """language -> (character, word, function-word histogram) as shares; and the limits of the function-word distance by
+    length class (see :func:`_length_class`)."""
+
+    def __init__(self, histograms: dict, function_limits: dict[int, float], function_cap: float):
+        super().__init__(histograms)
+        self.function_limits, self.function_cap = function_limits, function_cap
+
+
+def _length_class(n: Column) -> Column:
+    """Lengths between two powers of two are a class."""
+    return F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")
+
+
+def fit_references(measured: DataFrame, limits: Limits, lang: str = "lang") -> References:
+    """The histograms of each language that has documents, as shares, and the limits that follow from the prose itself.
+    ``measured`` should be a stored table, since this and :func:`judge` read it again."""
     prose = 100 * F.col("n_symbols") <= limits.reference_symbols_percent * F.col("n_words")
     good = measured.where(~base_failed(limits) & prose & F.col(lang).isin(limits.languages))
     sums = lambda c, n: [F.sum(F.get(c, i)).alias(f"{c}_{i}") for i in range(n)]
-    n, m = len(CLASSES), len(COMMON) + 1
-    rows = good.groupBy(lang).agg(*sums("char_hist", n), *sums("word_hist", m)).orderBy(lang).collect()  # a row a language
+    n, m, k = len(CLASSES), len(COMMON) + 1, len(FUNCTION) + 1
+    rows = good.groupBy(lang).agg(*sums("char_hist", n), *sums("word_hist", m), *sums("function_hist", k)).orderBy(lang).collect()  # a row a language
     share = lambda xs: [x / max(sum(xs), 1.0) for x in xs]
-    return {r[0]: (share(r[1 : 1 + n]), share(r[1 + n :])) for r in rows}
+    found = {r[0]: (share(r[1 : 1 + n]), share(r[1 + n : 1 + n + m]), share(r[1 + n + m :])) for r in rows}
+    if not found:
+        return References({}, {}, 1.0)
+    own = good.where(F.col("n_words") >= limits.least_words).select(_length_class(F.col("n_words")).alias("k"), nearest("function_hist", found, 2).alias("d"))
+    top = own.groupBy("k").agg(F.percentile_approx("d", limits.function_quantile, 10_000)).collect()  # a row a length class
+    none = min(_distance_without_function_words(h[2][-1]) for h in found.values())
+    return References(found, {r[0]: r[1] for r in top}, limits.function_share * none)
+
+
+def _distance_without_function_words(rest: float) -> float:
+    """Jensen-Shannon distance of a text of other words only from a reference whose share of these is ``rest``."""
+    m = (1 + rest) / 2
+    return math.sqrt(max(0.0, (-math.log2(m) + (1 - rest) + (rest * math.log2(rest / m) if rest else 0.0)) / 2))
 
 
 def js_distance(counts: Column, reference: list[float]) -> Column:
@@ -127,10 +171,24 @@ def js_distance(counts: Column, reference: list[float]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(counts, q, term), F.lit(0.0), lambda a, x: a + x))))
 
 
-def judge(measured: DataFrame, references: dict[str, tuple[list, list]], limits: Limits = Limits()) -> DataFrame:
-    """Adds char_distance and word_distance (to the nearest language), base_failed and kept."""
-    nearest = lambda c, k: F.least(*[js_distance(F.col(c), r[k]) for r in references.values()], F.lit(1.0)) if references else F.lit(0.0)
-    df = measured.withColumns({"char_distance": nearest("char_hist", 0), "word_distance": nearest("word_hist", 1), "base_failed": base_failed(limits)})
+def nearest(hist: str, references: dict, k: int) -> Column:
+    """Distance of a histogram from the nearest language, by the references' ``k``-th histogram."""
+    return F.least(*[js_distance(F.col(hist), r[k]) for r in references.values()], F.lit(1.0)) if references else F.lit(0.0)
+
+
+def judge(measured: DataFrame, references: dict, limits: Limits = Limits()) -> DataFrame:
+    """Adds char_distance, word_distance and function_distance (to the nearest language), base_failed and kept."""
+    df = measured.withColumns({
+        "char_distance": nearest("char_hist", references, 0),
+        "word_distance": nearest("word_hist", references, 1),
+        "function_distance": nearest("function_hist", references, 2),
+        "base_failed": base_failed(limits),
+    })
     chars = F.aggregate("char_hist", F.lit(0.0), lambda a, x: a + x)
     far = ((chars >= limits.least_chars) & (F.col("char_distance") > limits.chars + limits.chars_noise / F.sqrt(chars))) | ((F.col("n_words") >= limits.least_words) & (F.col("word_distance") > limits.words))
+    if isinstance(references, References) and references:
+        limit, size = F.lit(references.function_cap), _length_class(F.col("n_words"))
+        for k, d in references.function_limits.items():
+            limit = F.when(size == k, min(d, references.function_cap)).otherwise(limit)
+        far = far | ((F.col("n_words") >= limits.least_words) & (F.col("function_distance") > limit))
     return df.withColumn("kept", ~F.col("base_failed") & ~far)

@@ -92,3 +92,16 @@ def test_edges(spark):
     for r in got:
         assert tuple(r[c] for c in [*op3.COUNTS, "base_failed"]) == brute(r.text), r.text
     assert judge(measure(df.limit(0)), {}).count() == 0
+
+
+def test_texts_without_function_words_go(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    stems = ["Granit", "lampu", "vorkel", "simtar", "brodek", "plonis", "hazwer", "mintol", "kerrab", "dulvan"]
+    salad = [" ".join(f"{stems[(i * 7 + k) % 10]}{stems[(i * i + k) % 10]}{i}" + (". " if i % 12 == 11 else "") for i in range(n)) for k, n in enumerate((100, 130, 400, 2000))]
+    planted = spark.createDataFrame([(-1 - k, "en", t) for k, t in enumerate(salad)], docs.schema)
+    m = stored(measure(docs), "m")
+    references = fit_references(m, Limits())
+    got = judge(measure(planted), references, Limits()).collect()
+    assert len(got) == 4 and not any(r.base_failed or r.kept for r in got)
+    assert all(r.word_distance <= Limits().words for r in got)
