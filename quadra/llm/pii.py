@@ -5,7 +5,8 @@ DataFrame functions only. Positions come from two passes of the same pattern: th
 code points. The second pass runs only for texts that hold a match which the validator confirms.
 
 Patterns are written with possessive quantifiers and a start guard (a run's start, or the end of the previous match),
-which leaves their matches as they are and keeps the time linear in the text, whatever the text.
+which leaves their matches as they are and keeps the time linear in the text, whatever the text. An IBAN takes as many
+characters as its country says.
 
 Kinds. Base kinds are ``email``, ``ip``, ``card`` (16 to 19 digits, Luhn) and ``phone``. The method adds ``card`` spans
 of 13 to 15 digits (Luhn, and a word for cards nearby) and ``iban`` (mod 97). Each span has a score: a start value by
@@ -68,13 +69,25 @@ def mod97(m: Column) -> Column:
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _LOCAL = "[A-Za-z0-9._%+-]"
+#: Length of an IBAN by country. It ends the match, so that a blank and a word in capitals may follow.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_KNOWN = "|".join(c for cs in _IBAN_LENGTHS.values() for c in cs.split())
+_IBAN = "|".join(
+    [rf"(?:{'|'.join(cs.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, cs in _IBAN_LENGTHS.items()]
+    + [rf"(?!{_IBAN_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}+"]
+)
 KINDS = [
     Kind("email", rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda m: F.lit(True), "mail|contact|write|address|schreib|courriel|correo", 0.8),
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", lambda m: m.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"), "ip|host|server|address|adresse", 0.7),
     Kind("card", r"[0-9](?:[ -]?[0-9])++", r"[0-9]", lambda m: _between(m, 16, 19) & _luhn(m), "card|visa|credit|karte|carte|tarjeta", 0.5, 0.3),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", lambda m: _between(m, 8, 15), "phone|tel|call|mobile|fon|appel|llam", 0.7),
     Kind("card", r"[0-9](?:[ -]?[0-9])++", r"[0-9]", lambda m: _between(m, 13, 15) & _luhn(m), "card|visa|credit|karte|carte|tarjeta", 0.2, 0.3, False, 0.4),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", mod97, "iban|account|konto|compte|cuenta", 0.3, 0.5, False),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", mod97, "iban|account|konto|compte|cuenta", 0.3, 0.5, False),
 ]
 ORDER = ["email", "ip", "card", "phone", "iban"]
 

@@ -84,3 +84,12 @@ def test_redaction_and_clashing_columns(spark):
     got = find_pii(df).withColumn("clean", redact(F.coalesce("text", F.lit("")), F.col("pii"))).orderBy("kind").collect()
     assert [r.clean for r in got] == ["mail [EMAIL] now", ""]
     assert find_pii(df.limit(0)).count() == 0
+
+
+def test_words_in_capitals_after_an_iban(spark):
+    ibans = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO9386011117947"]
+    rows = [(i, f"IBAN {iban} {after}") for i, (iban, after) in enumerate((a, b) for a in ibans for b in ("Bitte zahlen", "USD", "BIC X", "and", "2 Euro"))]
+    got = find_pii(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    for r in got:
+        iban = ibans[r.doc_id // 5]
+        assert [(s.start, s.stop) for s in r.pii if s.kind == "iban"] == [(5, 5 + len(iban))], r.text
