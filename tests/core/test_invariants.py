@@ -50,3 +50,11 @@ def test_cycles_among_relations_end(spark):
     rows = [(1, 1, "RELATION", 2, ""), (2, 1, "RELATION", 1, ""), (2, 2, "AREA", 7, ""), (3, 1, "RELATION", 1, "")]
     got = expand_members(spark.createDataFrame(rows, "relation_id long, seq int, member_type string, member_id long, role string"))
     assert sorted((r.relation_id, r.member_id) for r in got.collect()) == [(1, 7), (2, 7), (3, 7)]
+
+
+def test_leaves_of_deeply_nested_relations_are_found(spark):
+    from quadra.operators.relations import expand_members
+
+    rows = [(i, 1, "RELATION", i + 1, "") for i in range(1, 12)] + [(12, 1, "AREA", 7, "")]
+    got = expand_members(spark.createDataFrame(rows, "relation_id long, seq int, member_type string, member_id long, role string"))
+    assert sorted((r.relation_id, r.member_id) for r in got.collect()) == [(i, 7) for i in range(1, 13)]
