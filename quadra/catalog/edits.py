@@ -6,21 +6,22 @@ from pyspark.sql import functions as F
 
 from quadra import tables as T
 from quadra.catalog.features import ADJ, EDGES, FEATURES, PARENTS, edges, feature_members, features, flat, tagged_points
-from quadra.catalog.tiles import MEET, SHARD_CTE, TILE_KEY, country_shards
+from quadra.catalog.tiles import GROWN, MEET, SHARD_CTE, TILE_KEY, country_shards
 from quadra.functions import geometry as G
 from quadra.functions.tags import put_tag, tags_text
 from quadra.functions.tiles import tile_name
 from quadra.operators import changes as C
 from quadra.operators import entities, relations, snapshots, spatial
 from quadra.plans import levels
-from quadra.session import stored
 
 QUERIES, SQL = {}, {}
 
 
-def query(name: str, sql: str | None = None, *ctes: str):
+def query(name: str, sql: str | None = None, *ctes: str, keep: bool = True):
+    """``keep``: derived tables that the query reads more than once are stored first."""
+
     def add(f):
-        QUERIES[name] = f
+        QUERIES[name] = T.keeping(f) if keep else f
         if sql:
             SQL[name] = T.with_prelude(sql, *ctes)
         return f
@@ -37,22 +38,34 @@ ESHARDED = (*EDGES, "ebox AS (SELECT id, e.way_id, start_node, end_node, min_lon
     f"es AS (SELECT b.country, t.zoom || '-' || t.x || '-' || t.y AS shard, f.* FROM ebox f JOIN tiles t ON final AND {MEET.format(a='f', b='t')} JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='f')})")
 
 
+_SIDES = ", ".join(f"sign(dx * (b.{y} - y1) - dy * (b.{x} - x1))" for x in ("min_lon_e7", "max_lon_e7") for y in ("min_lat_e7", "max_lat_e7"))
+#: A segment g meets the box b.
+CROSS = f"least(x1, x2) <= b.max_lon_e7 AND greatest(x1, x2) >= b.min_lon_e7 AND least(y1, y2) <= b.max_lat_e7 AND greatest(y1, y2) >= b.min_lat_e7 AND least({_SIDES}) <= 0 AND greatest({_SIDES}) >= 0"
+SEGMENTS = "eseg AS (SELECT way_id, section, lon_e7 AS x1, lat_e7 AS y1, nx AS x2, ny AS y2, CAST(nx - lon_e7 AS HUGEINT) AS dx, CAST(ny - lat_e7 AS HUGEINT) AS dy FROM (SELECT *, lead(lon_e7) OVER w AS nx, lead(lat_e7) OVER w AS ny FROM parts WINDOW w AS (PARTITION BY way_id, section ORDER BY seq)) WHERE nx IS NOT NULL)"
+MET = (SEGMENTS, "epart AS (SELECT id, way_id, section FROM edges)", f"met AS (SELECT DISTINCT e.country, e.shard, e.id FROM es e JOIN epart p USING (id) JOIN boxes b USING (country, shard) JOIN eseg g ON g.way_id = p.way_id AND g.section = p.section AND {CROSS})")
+KEPT_EDGES = "kept_edges AS (SELECT e.* FROM ech e LEFT JOIN met m USING (country, shard, id) WHERE change_type = 'REMOVE' OR m.id IS NOT NULL)"
+
+
+@T.kept
 def boxes(s, d):
     """(country, shard, box) of all country shards."""
     b = country_shards(s, d).join(T.tiles(s, d).drop("final"), TILE_KEY)
     return b.select("country", tile_name("zoom", "x", "y").alias("shard"), *G.BOX)
 
 
+@T.kept
 def sharded(s, d):
     f = features(s, d).withColumns({"start_node": F.lit(None).cast("long"), "end_node": F.lit(None).cast("long")})
     return levels.shard_features(f, T.tiles(s, d), T.boundaries(s, d))
 
 
+@T.kept
 def sharded_edges(s, d):
     e = edges(s, d).withColumn("item_type", F.lit("EDGE"))
     return levels.shard_features(e, T.tiles(s, d), T.boundaries(s, d))
 
 
+@T.kept
 def edge_changes(s, d):
     """Changes to edges: every third way's edges are removed, the others added again; those of odd ways were made in
     another shard, those of every fifth way are not complete."""
@@ -116,6 +129,27 @@ def a7(s, d):
     return C.merge(made, C.MergePolicy(exact={("MERGE", "ADD_REMOVE"): C.always_left}), ["mutation"]).select("country", "shard", "id", "change_type")
 
 
+@query("f3_prioritize_tag", "SELECT country, shard, id, CASE WHEN id % 2000000 = 0 THEN 'landuse=park' ELSE 'landuse=meadow' END AS tags FROM sharded WHERE item_type = 'AREA'", *SHARDED)
+def f3(s, d):
+    """Two mutations set one tag to different values; a park wins over a meadow, and where there is none a meadow does."""
+    a = sharded(s, d).where("item_type = 'AREA'")
+    tag = lambda v: put_tag(F.col("tags"), "landuse", v)
+    one = C.change(a, "ADD", "one", tags=tag(F.when(F.col("id") % 2_000_000 == 0, "park").otherwise("scrub")))
+    two = C.change(a, "ADD", "two", tags=tag(F.lit("meadow")))
+    policy = C.MergePolicy(part={("MERGE", "TAGS"): C.prioritize_tag([("landuse", "park", True), ("landuse", "meadow", True)])})
+    return flat(C.merge(one.unionByName(two), policy).select("country", "shard", "id", "tags"))
+
+
+@query("f4_lower_node", "SELECT country, shard, id, least(start_node, CASE WHEN id % 3 = 0 THEN start_node - 1 ELSE start_node + 1 END) AS start_node, least(end_node, end_node + 7) AS end_node FROM es", *ESHARDED)
+def f4(s, d):
+    """Two mutations join edges to different nodes; each end takes the lower one, and the full change's line stays."""
+    e = sharded_edges(s, d)
+    moved = C.change(e, "ADD", "moved", start_node=F.when(F.col("id") % 3 == 0, F.col("start_node") - 1).otherwise(F.col("start_node") + 1), end_node=F.col("end_node") + 7)
+    lower = C.MergePolicy(root={"START_NODE": C.lower_node_id, "END_NODE": C.lower_node_id})
+    merged = C.merge(C.change(e, "ADD", "whole").unionByName(moved), lower)
+    return merged.where("full and geom is not null").select("country", "shard", "id", "start_node", "end_node")
+
+
 @query("a5_changes_by_shard", "SELECT country, shard, count(*) AS n FROM ech GROUP BY ALL", *ECH)
 def a5(s, d):
     return edge_changes(s, d).groupBy("country", "shard").agg(F.count(F.lit(1)).alias("n"))
@@ -132,22 +166,39 @@ def p14(s, d):
     return C.known_or_full(edge_changes(s, d), sharded_edges(s, d).where("id % 4 <> 0")).select("country", "shard", "id")
 
 
-@query("p15_overlapping_edges")
+@query("p15_overlapping_edges", "SELECT country, shard, id, change_type FROM kept_edges", *ECH, *BOXES, *MET, KEPT_EDGES)
 def p15(s, d):
     return C.overlapping_edges(edge_changes(s, d), sharded_edges(s, d), boxes(s, d)).select("country", "shard", "id", "change_type")
 
 
-@query("p16_overlapping_relations", f"""
-SELECT DISTINCT b.country, b.shard, m.relation_id AS id FROM boxes b JOIN (SELECT relation_id, min_lon_e7, min_lat_e7, max_lon_e7, max_lat_e7 FROM members JOIN ways ON member_type = 'AREA' AND way_id = member_id) m ON {MEET.format(a='b', b='m')} WHERE m.relation_id % 25 = 0""", *BOXES)
+RELS = (
+    "deep_members AS (SELECT relation_id, member_id AS way_id FROM members WHERE member_type = 'AREA' UNION SELECT a.relation_id, b.member_id FROM members a JOIN members b ON a.member_type = 'RELATION' AND b.relation_id = a.member_id AND b.member_type = 'AREA')",
+    "rel_box AS (SELECT relation_id, min(min_lon_e7) AS min_lon_e7, min(min_lat_e7) AS min_lat_e7, max(max_lon_e7) AS max_lon_e7, max(max_lat_e7) AS max_lat_e7 FROM deep_members JOIN ways USING (way_id) GROUP BY 1)",
+    f"rch AS (SELECT b.country, b.shard, r.relation_id AS id FROM rel_box r JOIN boxes b ON {MEET.format(a='r', b='b')})",
+    f"rkept AS (SELECT DISTINCT r.* FROM rch r JOIN deep_members d ON d.relation_id = r.id JOIN ways w USING (way_id) JOIN boxes b ON b.country = r.country AND b.shard = r.shard AND {MEET.format(a='w', b='b')})",
+)
+
+
+@T.kept
+def leaf_members(s, d):
+    return relations.expand_members(feature_members(s, d))
+
+
+def member_shapes(s, d):
+    return features(s, d).select(F.col("item_type").alias("member_type"), F.col("id").alias("member_id"), *G.BOX)
+
+
+def relation_changes(s, d):
+    """All relations, nested ones too, added in every shard that their common box meets."""
+    own = leaf_members(s, d).join(member_shapes(s, d), ["member_type", "member_id"]).groupBy(F.col("relation_id").alias("id")).agg(*[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in G.BOX])
+    placed = spatial.join_boxes(own, boxes(s, d)).select(F.col("b_country").alias("country"), F.col("b_shard").alias("shard"), F.lit("RELATION").alias("item_type"), F.col("a_id").alias("id"), *[F.lit(None).cast(k).alias(v) for v, k in C.VIEW.items()], *[F.col("a_" + c).alias(c) for c in G.BOX])
+    return C.change(placed, "ADD", "m")
+
+
+@query("p16_overlapping_relations", "SELECT * FROM rkept", *BOXES, *RELS)
 def p16(s, d):
-    """Relations of every 25th customer, added in the shards around their members and in the neighbours of these."""
-    f, m = features(s, d), feature_members(s, d)
-    shapes = f.select(F.col("item_type").alias("member_type"), F.col("id").alias("member_id"), *G.BOX)
-    b = boxes(s, d)
-    own = shapes.join(m.where("relation_id % 25 = 0"), ["member_type", "member_id"]).select(F.col("relation_id").alias("id"), *G.BOX)
-    all_in = spatial.join_boxes(own, b).select(F.col("b_country").alias("country"), F.col("b_shard").alias("shard"), F.col("a_id").alias("id")).distinct()
-    made = all_in.select("country", "shard", F.lit("RELATION").alias("item_type"), "id", *[F.lit(None).cast(k).alias(v) for v, k in C.VIEW.items()], *[F.lit(0).cast("long").alias(c) for c in G.BOX])
-    return C.overlapping_relations(C.change(made, "ADD", "m"), relations.expand_members(m), shapes, b).select("country", "shard", "id")
+    """A relation stays in the shards that one of its members meets."""
+    return C.overlapping_relations(relation_changes(s, d), leaf_members(s, d), member_shapes(s, d), boxes(s, d)).select("country", "shard", "id")
 
 
 @query("p17_own_removals", "SELECT country, shard, id FROM ech WHERE NOT (change_type = 'REMOVE' AND source_shard IS NOT NULL AND source_shard <> shard)", *ECH)
@@ -155,7 +206,13 @@ def p17(s, d):
     return C.own_removals(edge_changes(s, d)).select("country", "shard", "id")
 
 
-@query("p18_own_nodes")
+_FOREIGN = "change_type = 'ADD' AND source_shard IS NOT NULL AND source_shard <> shard"
+
+
+@query("p18_own_nodes", f"""
+SELECT e.country, e.shard, e.start_node AS id FROM ech e LEFT JOIN hit h ON h.country = e.country AND h.shard = e.shard AND h.id = e.start_node WHERE NOT ({_FOREIGN.replace('shard <> shard', 'shard <> e.shard')}) OR h.id IS NOT NULL""", *ECH, *BOXES, SEGMENTS,
+    "node_at AS (SELECT DISTINCT way_id, section, unnest([start_node, end_node]) AS id FROM edges)",
+    f"hit AS (SELECT DISTINCT c.country, c.shard, c.start_node AS id FROM (SELECT DISTINCT country, shard, start_node FROM ech WHERE {_FOREIGN}) c JOIN node_at n ON n.id = c.start_node JOIN boxes b ON b.country = c.country AND b.shard = c.shard JOIN eseg g ON g.way_id = n.way_id AND g.section = n.section AND {CROSS})")
 def p18(s, d):
     ch = edge_changes(s, d).withColumn("item_type", F.lit("NODE")).withColumn("id", F.col("start_node"))
     return C.own_nodes(ch, edges(s, d), boxes(s, d)).select("country", "shard", "id")
@@ -198,16 +255,25 @@ def p26(s, d):
     return C.with_shapes(bare, sharded_edges(s, d)).select("country", "shard", "id", F.col("shape").isNotNull().alias("has_shape"))
 
 
-@query("c7_generated_removes")
+@query("c7_generated_removes", "SELECT e.country, e.shard, e.id, 'REMOVE' AS change_type FROM es e LEFT JOIN ech c ON c.country = e.country AND c.shard = e.shard AND c.id = e.id AND c.id % 2 = 0 LEFT JOIN moved_met m ON m.country = e.country AND m.shard = e.shard AND m.id = e.id WHERE c.id IS NULL AND m.id IS NULL", *ECH, *BOXES, *MET,
+    f"moved_met AS (SELECT DISTINCT e.country, e.shard, e.id FROM es e JOIN epart p USING (id) JOIN boxes b USING (country, shard) JOIN (SELECT eseg.way_id, eseg.section, k, x1 + k * 500000000 AS x1, x2 + k * 500000000 AS x2, y1, y2, dx, dy FROM eseg, (SELECT unnest([0, 1]) AS k)) g ON g.way_id = p.way_id AND g.section = p.section AND k = CASE WHEN e.id % 9 = 0 THEN 1 ELSE 0 END AND {CROSS})")
 def c7(s, d):
-    src = sharded_edges(s, d)
-    moved = src.withColumns({c: F.col(c) + F.when(F.col("id") % 9 == 0, 500_000_000).otherwise(0) for c in ("min_lon_e7", "max_lon_e7")})
+    """Every ninth edge has moved away from its shards; the others stay where their line meets the shard."""
+    lon = F.when(F.col("id") % 9 == 0, 500_000_000).otherwise(0)
+    moved = sharded_edges(s, d).withColumn("geom", F.transform("geom", lambda p: F.struct((p["lon_e7"] + lon).cast("long").alias("lon_e7"), p["lat_e7"].alias("lat_e7"))))
+    moved = moved.withColumns(G.bounds(F.col("geom")))
     return C.generated_removes(edge_changes(s, d).where("id % 2 = 0"), moved, boxes(s, d)).select("country", "shard", "id", "change_type")
 
 
-@query("c8_filter_changes")
+@query("c8_filter_changes", f"""
+SELECT country, shard, 'EDGE' AS item_type, id, change_type FROM final_edges UNION ALL SELECT country, shard, 'RELATION', id, 'ADD' FROM rkept
+UNION ALL SELECT e.country, e.shard, 'EDGE', e.id, 'REMOVE' FROM es e LEFT JOIN final_edges c USING (country, shard, id) LEFT JOIN met m USING (country, shard, id) WHERE c.id IS NULL AND m.id IS NULL""", *ECH, *BOXES, *MET, KEPT_EDGES, *RELS,
+    "final_edges AS (SELECT * FROM kept_edges WHERE NOT (change_type = 'REMOVE' AND source_shard IS NOT NULL AND source_shard <> shard))")
 def c8(s, d):
-    return C.filter_changes(edge_changes(s, d), sharded_edges(s, d), edges(s, d), boxes(s, d)).select("country", "shard", "item_type", "id", "change_type")
+    """Changes to edges and relations through all filters."""
+    ch = edge_changes(s, d).unionByName(relation_changes(s, d))
+    out = C.filter_changes(ch, sharded_edges(s, d), edges(s, d), boxes(s, d), leaves=leaf_members(s, d), shapes=member_shapes(s, d))
+    return out.select("country", "shard", "item_type", "id", "change_type")
 
 
 @query("c9_apply", "SELECT country, shard, item_type, id, CASE WHEN item_type = 'AREA' THEN tags || ';seen=1' ELSE tags END AS tags FROM sharded WHERE NOT (item_type = 'POINT' AND id % 3000000 = 0)", *SHARDED)
@@ -233,8 +299,7 @@ def c11(s, d):
 
 def _level(s, d, only=None):
     ms = [levels.add_tag(F.col("item_type") == "AREA", "reviewed", "yes"), levels.remove_points("amenity", "click")]
-    f = stored(sharded(s, d), "sharded")
-    return f, ms, levels.Context(stored(boxes(s, d), "boxes")), only
+    return sharded(s, d), ms, levels.Context(boxes(s, d)), only
 
 
 _C12 = "SELECT country, shard, item_type, id, CASE WHEN item_type = 'AREA' THEN tags || ';mutator:add_tag=0;reviewed=yes' ELSE tags END AS tags FROM sharded WHERE NOT (item_type = 'POINT' AND tags = 'amenity=click')"
@@ -253,6 +318,18 @@ def c13(s, d):
     return flat(levels.run_level(f, ms, ctx, only=F.col("shard").endswith("0"))[0].select(*C.KEY, "tags"))
 
 
+@query("c12_level_with_neighbours", """
+SELECT s.country, s.shard, s.item_type, s.id, CASE WHEN item_type = 'AREA' AND t.id IS NOT NULL THEN tags || ';mutator:tag_near=0;near=yes' ELSE tags END AS tags
+FROM sharded s LEFT JOIN tagged t ON t.country = s.country AND t.id = s.id AND s.item_type = 'AREA'""", *SHARDED, *BOXES, GROWN,
+    f"near AS (SELECT DISTINCT a.country, a.shard FROM (SELECT s.country, g.zoom || '-' || g.x || '-' || g.y AS shard, g.* EXCLUDE (zoom, x, y) FROM shards s JOIN grown g USING (zoom, x, y)) a JOIN boxes b ON a.country = b.country AND {MEET.format(a='a', b='b')} JOIN sharded f ON f.country = b.country AND f.shard = b.shard WHERE f.item_type = 'POINT' AND f.id % 7000000 = 0)",
+    "tagged AS (SELECT DISTINCT country, id FROM sharded JOIN near USING (country, shard) WHERE item_type = 'AREA')")
+def c12_neighbours(s, d):
+    """Areas are tagged where a seventh point lies in their shard or within five kilometres of it: neighbours are fetched."""
+    f, _, ctx, _ = _level(s, d)
+    m = levels.tag_near(F.col("item_type") == "AREA", (F.col("item_type") == "POINT") & (F.col("id") % 7_000_000 == 0), 5000.0, "near")
+    return flat(levels.run_level(f, [m], ctx)[0].select(*C.KEY, "tags"))
+
+
 @query("e7_levels", _C12.replace("';mutator:add_tag=0;reviewed=yes'", "';mutator:add_tag=0;mutator:second=1;reviewed=yes;second=yes'"), *SHARDED)
 def e7(s, d):
     """Two levels: the second mutation reads the tag that the first one sets."""
@@ -278,7 +355,7 @@ def c16(s, d):
 @query("j4_neighbour_fetch", f"SELECT a.country, a.shard AS origin, f.shard, f.item_type, f.id FROM boxes a JOIN boxes b ON a.country = b.country AND {MEET.format(a='a', b='b')} JOIN sharded f ON f.country = b.country AND f.shard = b.shard WHERE f.item_type = 'AREA'", *SHARDED, *BOXES)
 def j4(s, d):
     b = boxes(s, d)
-    req = spatial.join_boxes(b, b, 36 * 10_000_000, [("country", "country")]).select(F.col("a_country").alias("country"), F.col("a_shard").alias("origin"), F.col("b_shard").alias("neighbour"))
+    req = spatial.join_boxes(b, b, [("country", "country")]).select(F.col("a_country").alias("country"), F.col("a_shard").alias("origin"), F.col("b_shard").alias("neighbour"))
     return spatial.fetch(req, sharded(s, d).where("item_type = 'AREA'")).select("country", "origin", "shard", "item_type", "id")
 
 
@@ -313,7 +390,7 @@ def p11(s, d):
     return snapshots.countries(boxes(s, d).select("country", "shard"), ["N01", "N02"], ["N05"])
 
 
-@query("j8_missing_files", "SELECT zoom || '-' || x || '-' || y || '.pbf' AS name, 'missing' AS problem FROM tree WHERE final AND (zoom, x, y) NOT IN (SELECT (zoom, x, y) FROM tile_counts) UNION ALL SELECT zoom || '-' || x || '-' || y || '.pbf', 'empty' FROM tile_counts WHERE n % 7 = 0")
+@query("j8_missing_files", "SELECT zoom || '-' || x || '-' || y || '.pbf' AS name, 'missing' AS problem FROM tree LEFT JOIN tile_counts c USING (zoom, x, y) WHERE final AND c.n IS NULL UNION ALL SELECT zoom || '-' || x || '-' || y || '.pbf', 'empty' FROM tile_counts WHERE n % 7 = 0")
 def j8(s, d):
     """Expected: a file for each leaf. Listed: tiles with nodes, those with a multiple of seven nodes as empty files."""
     name = F.concat(tile_name("zoom", "x", "y"), F.lit(".pbf")).alias("name")
@@ -334,11 +411,11 @@ def j13(s, d):
     return sharded(s, d).join(ctx.lookup("north", 1 << 20), "country").groupBy("country").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("j16_connected", "SELECT DISTINCT id AS edge_id, node_id FROM (SELECT id, start_node AS node_id FROM edges UNION ALL SELECT id, end_node FROM edges) WHERE node_id % 10 = 0", *EDGES)
+@query("j16_connected", "SELECT DISTINCT id AS edge_id, node_id FROM (SELECT id, start_node AS node_id FROM edges UNION ALL SELECT id, end_node FROM edges)", *EDGES)
 def j16(s, d):
     """A third of the edges is known only from the change set."""
     e = edges(s, d)
-    return C.connected_edges(T.nodes(s, d).where("node_id % 10 = 0"), e.where("way_id % 3 <> 0"), e)
+    return C.connected_edges(T.nodes(s, d), e.where("way_id % 3 <> 0"), e)
 
 
 @query("j17_floaters", "SELECT id FROM edges WHERE abs(id) NOT IN (SELECT e FROM ends WHERE node IN (SELECT node FROM ends GROUP BY 1 HAVING count(*) > 1))", *EDGES, "ends AS (SELECT DISTINCT abs(id) AS e, unnest([start_node, end_node]) AS node FROM edges)")
@@ -364,6 +441,14 @@ def p12(s, d):
     return w.select("way_id").join(at(["N07", "N12"]), "way_id", "left_semi").join(at(["N13"]), "way_id", "left_anti")
 
 
+@query("p12_outline_filter", "SELECT DISTINCT p.id FROM points p JOIN rects b ON country IN ('N06', 'N07') AND lon_e7 BETWEEN min_lon_e7 AND max_lon_e7 AND lat_e7 BETWEEN min_lat_e7 AND max_lat_e7")
+def p12_outlines(s, d):
+    """Points that meet a polygon of two countries, its border included."""
+    p = tagged_points(s, d).select("id", *[F.col("lon_e7" if "lon" in c else "lat_e7").alias(c) for c in G.BOX])
+    pairs = spatial.join_boxes(p, T.outlines(s, d).where(F.col("country").isin("N06", "N07")))
+    return pairs.where(G.region_meets_box(F.col("b_outer"), F.col("b_holes"), G.box_columns("a_"))).select(F.col("a_id").alias("id")).distinct()
+
+
 @query("p10_input_filters", "SELECT way_id FROM ways WHERE kind = 'road' AND hw <> 'service'")
 def p10(s, d):
     from quadra.functions.tags import has_tag
@@ -393,7 +478,7 @@ def u2(s, d):
     return read_raw(w.where("kind = 'road'"), None, w.where("kind = 'AREA'"), w.where("kind = 'LINE'"), keep_all=True).select("way_id", "kind")
 
 
-@query("u5_with_removes")
+@query("u5_with_removes", "SELECT change_type, CAST(sum(n) AS BIGINT) AS n FROM (SELECT change_type, count(*) AS n FROM ech GROUP BY 1 UNION ALL SELECT 'REMOVE', count(*) FROM es e LEFT JOIN ech c USING (country, shard, id) LEFT JOIN met m USING (country, shard, id) WHERE c.id IS NULL AND m.id IS NULL) WHERE n > 0 GROUP BY 1", *ECH, *BOXES, *MET)
 def u5(s, d):
     ch = edge_changes(s, d)
     return ch.unionByName(C.generated_removes(ch, sharded_edges(s, d), boxes(s, d))).groupBy("change_type").agg(F.count(F.lit(1)).alias("n"))

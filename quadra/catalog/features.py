@@ -15,9 +15,11 @@ from quadra.plans import build
 QUERIES, SQL = {}, {}
 
 
-def query(name: str, sql: str | None = None, *ctes: str):
+def query(name: str, sql: str | None = None, *ctes: str, keep: bool = False):
+    """``keep``: derived tables that the query reads more than once are stored first."""
+
     def add(f):
-        QUERIES[name] = f
+        QUERIES[name] = T.keeping(f) if keep else f
         if sql:
             SQL[name] = T.with_prelude(sql, *ctes)
         return f
@@ -28,6 +30,7 @@ def query(name: str, sql: str | None = None, *ctes: str):
 # ---------------------------------------------------------------- the derived features, in both languages
 
 
+@T.kept
 def features(s, d):
     """Areas, lines (ways before sectioning keep to themselves) and points."""
     w = T.ways(s, d).where("kind <> 'road'")
@@ -43,10 +46,12 @@ def road_nodes(s, d):
     return T.way_nodes(s, d).join(roads, "way_id", "left_semi")
 
 
+@T.kept
 def edges(s, d):
     return build.edges(build.sections(road_nodes(s, d)), T.ways(s, d).where("kind = 'road'"))
 
 
+@T.kept
 def feature_members(s, d):
     """Members by feature id: areas by their million-fold way id, relations by themselves."""
     m = T.members(s, d)
@@ -106,7 +111,7 @@ def s6(s, d):
     return build.read_raw(w.where("way_id % 2 = 0"), area, w.where("way_id % 2 = 1"), rule=~P.has_tag("waterway")).select("way_id", "kind")
 
 
-@query("c3_sectioning", "SELECT id, way_id, section, start_node, end_node, 'LINESTRING (' || line || ')' AS geometry FROM edges", *EDGES)
+@query("c3_sectioning", "SELECT id, way_id, section, start_node, end_node, 'LINESTRING (' || line || ')' AS geometry FROM edges", *EDGES, keep=True)
 def c3(s, d):
     return edges(s, d).select("id", "way_id", "section", "start_node", "end_node", G.to_wkt(F.col("geom")).alias("geometry"))
 
@@ -127,7 +132,27 @@ def c2(s, d):
     return build.slice_at_borders(T.way_nodes(s, d), T.boundaries(s, d))
 
 
-@query("c2_slice_polygons")
+def _sql_side(of: str, name: str, at: str, axis: str, sign: str) -> str:
+    """A step of the clipping: the list ``r`` of open outlines against one side of a box."""
+    other = "y" if axis == "x" else "x"
+    a, b = "r[i]", "r[CASE WHEN i < len(r) THEN i + 1 ELSE 1 END]"
+    inside = lambda p: f"{sign} ({p}.{axis} - {at}) >= 0"
+    along = f"CAST(round({a}.{other} + CAST({at} - {a}.{axis} AS DOUBLE) / CAST({b}.{axis} - {a}.{axis} AS DOUBLE) * ({b}.{other} - {a}.{other})) AS BIGINT)"
+    cut = f"{{'x': {at if axis == 'x' else along}, 'y': {at if axis == 'y' else along}}}"
+    none = "CAST([] AS STRUCT(x BIGINT, y BIGINT)[])"
+    each = f"list_concat(CASE WHEN {inside(a)} THEN [{a}] ELSE {none} END, CASE WHEN ({inside(a)}) <> ({inside(b)}) THEN [{cut}] ELSE {none} END)"
+    return f"{name} AS (SELECT id, country, a, e, c, f, flatten(list_transform(range(1, len(r) + 1), lambda i: {each})) AS r FROM {of})"
+
+
+_SLICES = (
+    "open AS (SELECT way_id, list({'x': lon_e7, 'y': lat_e7} ORDER BY seq)[:-2] AS r FROM rings GROUP BY 1)",
+    f"k0 AS (SELECT w.way_id * 1000000 AS id, country, b.min_lon_e7 AS a, b.min_lat_e7 AS e, b.max_lon_e7 AS c, b.max_lat_e7 AS f, r FROM ways w JOIN open USING (way_id) JOIN boundaries b ON {MEET.format(a='w', b='b')} WHERE kind = 'AREA')",
+    _sql_side("k0", "k1", "a", "x", "+"), _sql_side("k1", "k2", "c", "x", "-"), _sql_side("k2", "k3", "e", "y", "+"), _sql_side("k3", "k4", "f", "y", "-"),
+    "k5 AS (SELECT id, country, list_filter(list_transform(range(1, len(r) + 1), lambda i: CASE WHEN r[i] <> r[CASE WHEN i > 1 THEN i - 1 ELSE len(r) END] THEN r[i] END), lambda p: p IS NOT NULL) AS r FROM k4)",
+)
+
+
+@query("c2_slice_polygons", "SELECT id, country, 'POLYGON ((' || string_agg({} || ' ' || {}, ', ' ORDER BY i) || '))' AS geometry FROM (SELECT id, country, i, (r || r[:1])[i].x AS x, (r || r[:1])[i].y AS y FROM (SELECT *, unnest(range(1, len(r) + 2)) AS i FROM k5 WHERE len(r) > 2)) GROUP BY id, country".format(T.sql_degrees("x"), T.sql_degrees("y")), RINGS, *_SLICES, keep=True)
 def c2_polygons(s, d):
     a = features(s, d).where("item_type = 'AREA'")
     return build.slice_polygons(a, T.boundaries(s, d)).select("id", "country", G.to_wkt(F.col("geom"), "POLYGON").alias("geometry"))
@@ -136,7 +161,7 @@ def c2_polygons(s, d):
 @query("c4_subset", """
 SELECT 'feature' AS kind, item_type AS a, id AS b FROM features WHERE tags = 'landuse=forest' AND id % 3000000 = 0
 UNION ALL SELECT 'node', '', node_id FROM (SELECT DISTINCT unnest([first_node, last_node]) AS node_id FROM ways WHERE kind = 'AREA' AND way_id % 3 = 0)
-UNION ALL SELECT 'member', role, member_id * 1000000 FROM members WHERE member_type = 'AREA' AND member_id % 3 = 0""", FEATURES)
+UNION ALL SELECT 'member', role, member_id * 1000000 FROM members WHERE member_type = 'AREA' AND member_id % 3 = 0""", FEATURES, keep=True)
 def c4(s, d):
     w = T.ways(s, d)
     nodes_of = w.where("kind = 'AREA'").select((F.col("way_id") * 1_000_000).alias("id"), F.posexplode("nodes").alias("pos", "node_id"), (F.size("nodes") - 1).alias("n")).select("id", "node_id", (F.col("pos") == 0).alias("first"), (F.col("pos") == F.col("n")).alias("last"))
@@ -158,7 +183,7 @@ def u3(s, d):
     return build.without_copies(both)
 
 
-@query("w4_section_numbers", "SELECT way_id, max(section) AS sections FROM parts GROUP BY 1", *EDGES)
+@query("w4_section_numbers", "SELECT way_id, max(section) AS sections FROM parts GROUP BY 1", *EDGES, keep=True)
 def w4(s, d):
     return build.sections(road_nodes(s, d)).groupBy("way_id").agg(F.max("section").alias("sections"))
 
@@ -168,7 +193,7 @@ def w4(s, d):
 
 @query("p1_areas", f"""
 SELECT CAST(way_id * 1000000 AS VARCHAR) AS identifier, 'POLYGON ((' || line || '))' AS geometry, {BOX_WKT} AS bounds, 'landuse=forest' AS tags, coalesce(relations, '') AS relations
-FROM ways JOIN (SELECT way_id, {WKT} AS line FROM rings GROUP BY 1) USING (way_id) LEFT JOIN parents ON member_type = 'AREA' AND member_id = way_id * 1000000 WHERE kind = 'AREA'""", RINGS, PARENTS)
+FROM ways JOIN (SELECT way_id, {WKT} AS line FROM rings GROUP BY 1) USING (way_id) LEFT JOIN parents ON member_type = 'AREA' AND member_id = way_id * 1000000 WHERE kind = 'AREA'""", RINGS, PARENTS, keep=True)
 def p1(s, d):
     return flat(entities.areas_df(features(s, d), feature_members(s, d)))
 
@@ -176,7 +201,7 @@ def p1(s, d):
 @query("p2_edges", f"""
 SELECT CAST(e.id AS VARCHAR) AS identifier, 'LINESTRING (' || line || ')' AS geometry, CAST(start_node AS VARCHAR) AS start, CAST(end_node AS VARCHAR) AS "end", coalesce(i, '') AS inEdges, coalesce(o, '') AS outEdges,
  e.id IN (SELECT -id FROM edges) AS hasReverseEdge, closed AS isClosed, {WAY_TAGS} AS tags, '' AS relations
-FROM edges e LEFT JOIN ins ON ins.node_id = start_node LEFT JOIN outs ON outs.node_id = end_node""", *EDGES, *ADJ)
+FROM edges e LEFT JOIN ins ON ins.node_id = start_node LEFT JOIN outs ON outs.node_id = end_node""", *EDGES, *ADJ, keep=True)
 def p2(s, d):
     return flat(entities.edges_df(edges(s, d), feature_members(s, d)))
 
@@ -190,7 +215,7 @@ def p3(s, d):
 
 @query("p4_nodes", f"""
 SELECT CAST(n.node_id AS VARCHAR) AS identifier, 'POINT (' || {T.sql_degrees('lon_e7')} || ' ' || {T.sql_degrees('lat_e7')} || ')' AS location, coalesce(i, '') AS inEdges, coalesce(o, '') AS outEdges,
- 'ways=' || ways AS tags, '' AS relations FROM nodes n LEFT JOIN ins USING (node_id) LEFT JOIN outs ON outs.node_id = n.node_id WHERE i IS NOT NULL OR o IS NOT NULL""", *EDGES, *ADJ)
+ 'ways=' || ways AS tags, '' AS relations FROM nodes n LEFT JOIN ins USING (node_id) LEFT JOIN outs ON outs.node_id = n.node_id WHERE i IS NOT NULL OR o IS NOT NULL""", *EDGES, *ADJ, keep=True)
 def p4(s, d):
     n = T.nodes(s, d).withColumn("tags", F.create_map(F.lit("ways"), F.col("ways").cast("string")))
     return flat(entities.nodes_df(n, edges(s, d), feature_members(s, d)))
@@ -206,7 +231,7 @@ SELECT CAST(relation_id AS VARCHAR) AS identifier, {BOX_WKT} AS geometry, ids AS
  SELECT m.relation_id, min(min_lon_e7) AS min_lon_e7, min(min_lat_e7) AS min_lat_e7, max(max_lon_e7) AS max_lon_e7, max(max_lat_e7) AS max_lat_e7,
   string_agg(CAST(mid AS VARCHAR), ',' ORDER BY member_type, mid, role) AS ids, string_agg(member_type, ',' ORDER BY member_type, mid, role) AS types, string_agg(role, ',' ORDER BY member_type, mid, role) AS roles
  FROM (SELECT *, CASE WHEN member_type = 'AREA' THEN member_id * 1000000 ELSE member_id END AS mid FROM members) m LEFT JOIN ways w ON member_type = 'AREA' AND w.way_id = m.member_id GROUP BY 1) r
-LEFT JOIN parents p ON p.member_type = 'RELATION' AND p.member_id = r.relation_id""", PARENTS)
+LEFT JOIN parents p ON p.member_type = 'RELATION' AND p.member_id = r.relation_id""", PARENTS, keep=True)
 def p6(s, d):
     shapes = features(s, d).select(F.col("item_type").alias("member_type"), F.col("id").alias("member_id"), *G.BOX)
     return flat(entities.relations_df(feature_members(s, d), shapes))
@@ -220,12 +245,12 @@ def p7(s, d):
     return T.points(s, d).select("id", P.item_type_name((F.col("id") % 6).cast("int")).alias("item_type"))
 
 
-@query("a12_adjacency", "SELECT coalesce(ins.node_id, outs.node_id) AS node_id, coalesce(i, '') AS in_edges, coalesce(o, '') AS out_edges, CAST(coalesce(ni, 0) + coalesce(no, 0) AS INTEGER) AS valence FROM ins FULL JOIN outs USING (node_id)", *EDGES, *ADJ)
+@query("a12_adjacency", "SELECT coalesce(ins.node_id, outs.node_id) AS node_id, coalesce(i, '') AS in_edges, coalesce(o, '') AS out_edges, CAST(coalesce(ni, 0) + coalesce(no, 0) AS INTEGER) AS valence FROM ins FULL JOIN outs USING (node_id)", *EDGES, *ADJ, keep=True)
 def a12(s, d):
     return flat(entities.adjacency(edges(s, d)))
 
 
-@query("j20_reverse", "SELECT id, id IN (SELECT -id FROM edges) AS has_reverse FROM edges", *EDGES)
+@query("j20_reverse", "SELECT id, id IN (SELECT -id FROM edges) AS has_reverse FROM edges", *EDGES, keep=True)
 def j20(s, d):
     return entities.with_reverse(edges(s, d)).select("id", "has_reverse")
 
@@ -270,7 +295,7 @@ def x8(s, d):
 def x9(s, d):
     """Ray cast against the countries' outlines; the cells only bring candidates together."""
     p = T.points(s, d).select("id", "lon_e7", "lat_e7", *[F.col("lon_e7" if "lon" in c else "lat_e7").alias(c) for c in G.BOX])
-    pairs = spatial.join_boxes(p, T.boundaries(s, d), 36 * 10_000_000)
+    pairs = spatial.join_boxes(p, T.boundaries(s, d))
     pt = lambda a, b: F.struct(F.col("b_" + a).alias("lon_e7"), F.col("b_" + b).alias("lat_e7"))
     ring = F.array(pt("min_lon_e7", "min_lat_e7"), pt("min_lon_e7", "max_lat_e7"), pt("max_lon_e7", "max_lat_e7"), pt("max_lon_e7", "min_lat_e7"), pt("min_lon_e7", "min_lat_e7"))
     return pairs.where(G.point_in_ring(F.col("a_lon_e7"), F.col("a_lat_e7"), ring)).select(F.col("a_id").alias("id"), F.col("b_country").alias("country"))
@@ -305,32 +330,37 @@ def x16(s, d):
 # ---------------------------------------------------------------- relations
 
 
-@query("a1_member_lines", "SELECT relation_id, role, member_id * 1000000 AS member_id FROM members WHERE member_type = 'AREA'")
+@query("a1_member_lines", "SELECT relation_id, role, member_id * 1000000 AS member_id FROM members WHERE member_type = 'AREA'", keep=True)
 def a1(s, d):
     return relations.member_lines(feature_members(s, d), features(s, d)).select("relation_id", "role", "member_id")
 
 
-@query("a2_merged_lines", f"SELECT relation_id, role, count(*) AS lines FROM (SELECT DISTINCT relation_id, role, line FROM members JOIN (SELECT way_id, {WKT} AS line FROM rings GROUP BY 1) ON way_id = member_id WHERE member_type = 'AREA') GROUP BY ALL", RINGS)
+@query("a2_merged_lines", f"SELECT relation_id, role, count(*) AS lines FROM (SELECT DISTINCT relation_id, role, line FROM members JOIN (SELECT way_id, {WKT} AS line FROM rings GROUP BY 1) ON way_id = member_id WHERE member_type = 'AREA') GROUP BY ALL", RINGS, keep=True)
 def a2(s, d):
     m = relations.merge_lines(relations.member_lines(feature_members(s, d), features(s, d)))
     return m.select("relation_id", "role", F.size("lines").cast("long").alias("lines"))
 
 
-@query("a3_polygons")
+LINES = f"rel_lines AS (SELECT DISTINCT relation_id, role, line FROM members JOIN (SELECT way_id, {WKT} AS line FROM rings GROUP BY 1) ON way_id = member_id WHERE member_type = 'AREA')"
+RING_COUNTS = "ring_counts AS (SELECT relation_id, CAST(count(*) FILTER (role = 'outer') AS INTEGER) AS outer_rings, CAST(nullif(count(*) FILTER (role = 'inner'), 0) AS INTEGER) AS inner_rings FROM rel_lines GROUP BY 1 HAVING count(*) FILTER (role = 'outer') > 0)"
+
+
+@query("a3_polygons", "SELECT * FROM ring_counts", RINGS, LINES, RING_COUNTS, keep=True)
 def a3(s, d):
+    """Each area's outline is a closed ring, so that a relation has as many rings as different lines."""
     p = relations.polygons(relations.merge_lines(relations.member_lines(feature_members(s, d), features(s, d))))
-    return p.select("relation_id", F.size("outer").alias("outer_rings"), F.size("inner").alias("inner_rings"))
+    return p.select("relation_id", F.size("outer").alias("outer_rings"), F.when(F.col("inner").isNotNull(), F.size("inner")).alias("inner_rings"))
 
 
 @query("a4_relations_of_shards", f"""
 SELECT country, zoom, x, y, string_agg(CAST(relation_id AS VARCHAR), ',' ORDER BY relation_id) AS relations FROM (
- SELECT relation_id, b.country, t.zoom, t.x, t.y FROM rel r JOIN tiles t ON final AND {MEET.format(a='r', b='t')} JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='r')}) GROUP BY ALL""", REL_CTE)
+ SELECT relation_id, b.country, t.zoom, t.x, t.y FROM rel r JOIN tiles t ON final AND {MEET.format(a='r', b='t')} JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='r')}) GROUP BY ALL""", REL_CTE, keep=True)
 def a4(s, d):
     pairs = spatial.fan_out(relation_boxes(s, d), T.tiles(s, d), T.boundaries(s, d))
     return relations.relations_of_shards(pairs).withColumn("relations", F.array_join("relations", ","))
 
 
-@query("j3_augment", "SELECT way_id * 1000000 AS id, kind AS item_type FROM ways WHERE kind = 'AREA' UNION ALL SELECT DISTINCT relation_id, 'RELATION' FROM members WHERE member_type = 'AREA' AND role = 'outer'")
+@query("j3_augment", "SELECT way_id * 1000000 AS id, kind AS item_type FROM ways WHERE kind = 'AREA' UNION ALL SELECT DISTINCT relation_id, 'RELATION' FROM members WHERE member_type = 'AREA' AND role = 'outer'", keep=True)
 def j3(s, d):
     """Areas keep their shape; relations without a shape of their own get the assembled outline."""
     m, f = feature_members(s, d), features(s, d).where("item_type = 'AREA'")
@@ -339,7 +369,10 @@ def j3(s, d):
     return relations.augment(f.select("item_type", "id", "geom").unionByName(bare), shapes).where("geom is not null").select("id", "item_type")
 
 
-@query("c5_augmented_shards")
+@query("c5_augmented_shards", f"""
+SELECT b.country, t.zoom, t.x, t.y, r.relation_id, outer_rings FROM outer_box r JOIN tiles t ON final AND {MEET.format(a='r', b='t')}
+JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='r')} JOIN ring_counts USING (relation_id)""", RINGS, LINES, RING_COUNTS,
+    "outer_box AS (SELECT relation_id, min(min_lon_e7) AS min_lon_e7, min(min_lat_e7) AS min_lat_e7, max(max_lon_e7) AS max_lon_e7, max(max_lat_e7) AS max_lat_e7 FROM members JOIN ways ON member_type = 'AREA' AND role = 'outer' AND way_id = member_id GROUP BY 1)", keep=True)
 def c5(s, d):
     out = relations.augmented_by_shard(feature_members(s, d), features(s, d), T.tiles(s, d), T.boundaries(s, d))
     return out.select("country", "zoom", "x", "y", "relation_id", F.size("outer").alias("outer_rings"))
@@ -347,6 +380,6 @@ def c5(s, d):
 
 @query("j15_leaf_members", """
 SELECT relation_id, member_type, member_id FROM members WHERE member_type = 'AREA'
-UNION SELECT a.relation_id, b.member_type, b.member_id FROM members a JOIN members b ON a.member_type = 'RELATION' AND b.relation_id = a.member_id""")
+UNION SELECT a.relation_id, b.member_type, b.member_id FROM members a JOIN members b ON a.member_type = 'RELATION' AND b.relation_id = a.member_id""", keep=True)
 def j15(s, d):
     return relations.expand_members(T.members(s, d))

@@ -16,9 +16,11 @@ from quadra.sources import readers, writers
 QUERIES, SQL = {}, {}
 
 
-def query(name: str, sql: str | None = None, *ctes: str):
+def query(name: str, sql: str | None = None, *ctes: str, keep: bool = True):
+    """``keep``: derived tables that the query reads more than once are stored first."""
+
     def add(f):
-        QUERIES[name] = f
+        QUERIES[name] = T.keeping(f) if keep else f
         if sql:
             SQL[name] = T.with_prelude(sql, *ctes)
         return f
@@ -57,9 +59,9 @@ def _shards(s, d):
     return path
 
 
-@query("k1_s5_all_shards", "SELECT country, shard, item_type, id, split_part(shard, '-', 1) || '/' || split_part(shard, '-', 2) || '-' || split_part(shard, '-', 3) || '.pbf' AS shard_path FROM sharded WHERE country = 'N12'", *SHARDED)
+@query("k1_s5_all_shards", "SELECT country, shard, item_type, id, split_part(shard, '-', 1) || '/' || split_part(shard, '-', 2) || '-' || split_part(shard, '-', 3) || '.pbf' AS shard_path FROM sharded", *SHARDED)
 def k1(s, d):
-    return readers.read_all_shards(s, _shards(s, d), "N12").select("country", "shard", "item_type", "id", "shard_path")
+    return readers.read_all_shards(s, _shards(s, d)).select("country", "shard", "item_type", "id", "shard_path")
 
 
 @query("s4_read_shards", "SELECT country, shard, item_type, id FROM sharded WHERE shard LIKE '%3'", *SHARDED)
@@ -158,10 +160,10 @@ def k8(s, d):
     return s.read.parquet(path).groupBy(F.expr("substring(part, 5)").alias("part")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("k9_write_filtered", "SELECT 'forests' AS filter, id FROM features WHERE item_type = 'AREA' UNION ALL SELECT 'water', id FROM features WHERE item_type = 'LINE'", FEATURES)
+@query("k9_write_filtered", "SELECT 'forests' AS filter, id FROM features WHERE item_type = 'AREA' UNION ALL SELECT 'water', id FROM features WHERE item_type = 'LINE' UNION ALL SELECT 'all', id FROM features", FEATURES)
 def k9(s, d):
     path = shared_path(s, "filtered")
-    writers.write_filtered(features(s, d), path, NAMED[:2])
+    writers.write_filtered(features(s, d), path, NAMED)
     return s.read.parquet(path).select("filter", "id")
 
 

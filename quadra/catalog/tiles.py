@@ -13,9 +13,11 @@ TILE_KEY = ["zoom", "x", "y"]
 QUERIES, SQL = {}, {}
 
 
-def query(name: str, sql: str | None = None, *ctes: str):
+def query(name: str, sql: str | None = None, *ctes: str, keep: bool = False):
+    """``keep``: derived tables that the query reads more than once are stored first."""
+
     def add(f):
-        QUERIES[name] = f
+        QUERIES[name] = T.keeping(f) if keep else f
         if sql:
             SQL[name] = T.with_prelude(sql, *ctes)
         return f
@@ -96,7 +98,7 @@ def x6(s, d):
 SELECT s.country, s.zoom, s.x, s.y, greatest(t.min_lon_e7, b.min_lon_e7) AS min_lon_e7, greatest(t.min_lat_e7, b.min_lat_e7) AS min_lat_e7,
  least(t.max_lon_e7, b.max_lon_e7) AS max_lon_e7, least(t.max_lat_e7, b.max_lat_e7) AS max_lat_e7
 FROM shards s JOIN tiles t USING (zoom, x, y) JOIN boundaries b ON b.country = s.country
-WHERE greatest(t.min_lon_e7, b.min_lon_e7) < least(t.max_lon_e7, b.max_lon_e7) AND greatest(t.min_lat_e7, b.min_lat_e7) < least(t.max_lat_e7, b.max_lat_e7)""", SHARD_CTE)
+WHERE greatest(t.min_lon_e7, b.min_lon_e7) < least(t.max_lon_e7, b.max_lon_e7) AND greatest(t.min_lat_e7, b.min_lat_e7) < least(t.max_lat_e7, b.max_lat_e7)""", SHARD_CTE, keep=True)
 def x7(s, d):
     shards = country_shards(s, d).join(T.tiles(s, d).drop("final"), TILE_KEY)
     return spatial.loading_areas(shards, T.boundaries(s, d))
@@ -183,7 +185,7 @@ def relation_boxes(s, d):
 
 @query("j9_fan_out", f"""
 SELECT relation_id, b.country, t.zoom, t.x, t.y FROM rel r JOIN tiles t ON final AND {MEET.format(a='r', b='t')}
-JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='r')}""", REL_CTE)
+JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='r')}""", REL_CTE, keep=True)
 def j9(s, d):
     return spatial.fan_out(relation_boxes(s, d), T.tiles(s, d), T.boundaries(s, d))
 
@@ -191,7 +193,7 @@ def j9(s, d):
 @query("j11_input_tiles", f"""
 SELECT country AS area, t.zoom, t.x, t.y FROM boundaries b JOIN tiles t ON final AND {MEET.format(a='b', b='t')}
 WHERE NOT (t.min_lon_e7 >= b.min_lon_e7 + 200000000 AND t.max_lon_e7 <= b.max_lon_e7 - 200000000 AND t.min_lat_e7 >= b.min_lat_e7 + 100000000 AND t.max_lat_e7 <= b.max_lat_e7 - 100000000)
- AND (t.zoom, t.x, t.y) IN (SELECT (zoom, x, y) FROM tile_counts WHERE (x + y) % 7 <> 0)""")
+ AND (t.zoom, t.x, t.y) IN (SELECT (zoom, x, y) FROM tile_counts WHERE (x + y) % 7 <> 0)""", keep=True)
 def j11(s, d):
     """Files are the counted tiles (their node count as length), without some that are taken as absent."""
     b = T.boundaries(s, d).withColumnRenamed("country", "area")
@@ -200,10 +202,13 @@ def j11(s, d):
     return spatial.input_tiles(b, T.tiles(s, d), holes, files)
 
 
+GROWN = "grown AS (" + SQL["x6_expand_bbox"][SQL["x6_expand_bbox"].rindex("SELECT zoom, x, y,\n") :] + ")"
+
+
 @query("c6_neighbours", f"""
 SELECT a.country, a.zoom || '-' || a.x || '-' || a.y AS origin, b.zoom || '-' || b.x || '-' || b.y AS neighbour
 FROM (SELECT s.country, g.* FROM shards s JOIN grown g USING (zoom, x, y)) a JOIN (SELECT s.country, t.* FROM shards s JOIN tiles t USING (zoom, x, y)) b
-ON a.country = b.country AND {MEET.format(a='a', b='b')}""", SHARD_CTE, "grown AS (" + SQL["x6_expand_bbox"].split("\n", 1)[1][SQL["x6_expand_bbox"].split("\n", 1)[1].rindex("SELECT zoom, x, y,\n"):] + ")")
+ON a.country = b.country AND {MEET.format(a='a', b='b')}""", SHARD_CTE, GROWN, keep=True)
 def c6(s, d):
     shards = country_shards(s, d).join(T.tiles(s, d).drop("final"), TILE_KEY).withColumn("shard", X.tile_name("zoom", "x", "y"))
     return spatial.neighbours(shards, 5000.0)
@@ -214,10 +219,73 @@ SELECT country, zoom, x, y, min(node_id) AS node_id, count(*) AS nodes FROM (
  SELECT s.country, s.zoom, s.x, s.y, greatest(t.min_lon_e7, b.min_lon_e7) AS a, greatest(t.min_lat_e7, b.min_lat_e7) AS e, least(t.max_lon_e7, b.max_lon_e7) AS c, least(t.max_lat_e7, b.max_lat_e7) AS f
  FROM shards s JOIN tiles t USING (zoom, x, y) JOIN boundaries b ON b.country = s.country WHERE (x + y) % 3 = 0) m
 JOIN nodes ON lon_e7 >= a AND lon_e7 < c AND lat_e7 >= e AND lat_e7 < f
-WHERE node_id % 5 <> 0 AND node_id NOT IN (SELECT node_id FROM way_nodes JOIN ways USING (way_id) WHERE kind = 'LINE') GROUP BY ALL""", SHARD_CTE)
+WHERE node_id % 5 <> 0 AND node_id NOT IN (SELECT node_id FROM way_nodes JOIN ways USING (way_id) WHERE kind = 'LINE') GROUP BY ALL""", SHARD_CTE, keep=True)
 def j14(s, d):
     """Missing: every shard with (x + y) divisible by 3. Ignored: every fifth node. Ways that are not ingested: lines."""
     missing = country_shards(s, d).where("(x + y) % 3 = 0").join(T.tiles(s, d).drop("final"), TILE_KEY)
     n = T.nodes(s, d)
     skipped = T.ways(s, d).where("kind = 'LINE'").select(F.explode("nodes").alias("node_id")).distinct()
     return spatial.prove_missing(missing, n, T.boundaries(s, d), n.where("node_id % 5 = 0").select("node_id"), skipped)
+
+
+# ---------------------------------------------------------------- countries as polygons
+
+
+OUT_CTE = f"out_shards AS (SELECT DISTINCT country, zoom, x, y FROM tiles t JOIN rects b ON t.final AND {MEET.format(a='t', b='b')})"
+_CUT = "SELECT s.country, s.zoom, s.x, s.y, greatest(t.min_lon_e7, b.min_lon_e7) AS a, greatest(t.min_lat_e7, b.min_lat_e7) AS e, least(t.max_lon_e7, b.max_lon_e7) AS c, least(t.max_lat_e7, b.max_lat_e7) AS f FROM {} s JOIN tiles t USING (zoom, x, y) JOIN rects b ON b.country = s.country"
+
+
+@query("j1_country_outlines", "SELECT * FROM out_shards", OUT_CTE, keep=True)
+def j1_outlines(s, d):
+    """Countries as polygons: L-shaped, in two parts, with a hole."""
+    return spatial.country_shards(T.tiles(s, d), T.outlines(s, d))
+
+
+@query("x7_loading_outlines", f"""
+SELECT country, zoom, x, y, CAST(sum(2 * CAST(c - a AS HUGEINT) * (f - e)) AS VARCHAR) AS area2 FROM ({_CUT.format('out_shards')}) WHERE a < c AND e < f GROUP BY ALL""", OUT_CTE, keep=True)
+def x7_outlines(s, d):
+    """Area of the loading areas: outlines cut to shards, without their holes."""
+    shards = spatial.country_shards(T.tiles(s, d), T.outlines(s, d)).join(T.tiles(s, d).drop("final"), TILE_KEY)
+    cut = spatial.loading_areas(shards, T.outlines(s, d))
+    holes = F.aggregate("holes", F.lit(0).cast("decimal(38,0)"), lambda a, h: (a + G.area2(h)).cast("decimal(38,0)"))
+    return cut.groupBy("country", "zoom", "x", "y").agg(F.sum(G.area2(F.col("outer")) - holes).alias("a")).where("a > 0").select("country", "zoom", "x", "y", F.col("a").cast("decimal(38,0)").cast("string").alias("area2"))
+
+
+@query("j9_fan_out_outlines", f"""
+SELECT DISTINCT relation_id, b.country, t.zoom, t.x, t.y FROM rel r JOIN tiles t ON final AND {MEET.format(a='r', b='t')}
+JOIN rects b ON {MEET.format(a='b', b='r')} JOIN out_shards o ON o.country = b.country AND o.zoom = t.zoom AND o.x = t.x AND o.y = t.y""", REL_CTE, OUT_CTE, keep=True)
+def j9_outlines(s, d):
+    return spatial.fan_out(relation_boxes(s, d), T.tiles(s, d), T.outlines(s, d))
+
+
+@query("j11_input_outlines", """
+SELECT DISTINCT country AS area, zoom, x, y FROM out_shards JOIN tile_counts USING (zoom, x, y)""", OUT_CTE, keep=True)
+def j11_outlines(s, d):
+    """Tiles to read for countries as polygons; tiles inside of a hole are not needed."""
+    areas = T.outlines(s, d).withColumnRenamed("country", "area")
+    none = areas.where("false").select("area", *G.BOX)
+    return spatial.input_tiles(areas, T.tiles(s, d), none, T.tile_counts(T.nodes(s, d)).withColumnRenamed("n", "length"))
+
+
+@query("j14_missing_outlines", f"""
+SELECT country, zoom, x, y, min(node_id) AS node_id, count(*) AS nodes FROM ({_CUT.format('out_shards')} WHERE (s.x + s.y) % 3 = 0) JOIN nodes ON lon_e7 >= a AND lon_e7 < c AND lat_e7 >= e AND lat_e7 < f
+WHERE node_id % 5 <> 0 GROUP BY ALL""", OUT_CTE, keep=True)
+def j14_outlines(s, d):
+    """Missing: every shard with (x + y) divisible by 3; nodes count inside of the polygons only."""
+    missing = spatial.country_shards(T.tiles(s, d), T.outlines(s, d)).where("(x + y) % 3 = 0").join(T.tiles(s, d).drop("final"), TILE_KEY)
+    n = T.nodes(s, d)
+    return spatial.prove_missing(missing, n, T.outlines(s, d), n.where("node_id % 5 = 0").select("node_id"), n.where("false").select("node_id"))
+
+
+@query("x9_point_in_outline", "SELECT node_id, country FROM nodes n JOIN rects b ON lon_e7 >= min_lon_e7 AND lon_e7 < max_lon_e7 AND lat_e7 >= min_lat_e7 AND lat_e7 < max_lat_e7")
+def x9_outline(s, d):
+    return spatial.locate(T.nodes(s, d), T.outlines(s, d)).select("node_id", "country")
+
+
+@query("x12_covered_by_holes", """
+SELECT t.zoom, t.x, t.y, country FROM tiles t JOIN boundaries b ON CAST(substr(country, 2) AS INTEGER) % 3 = 1
+WHERE t.min_lon_e7 > b.min_lon_e7 + 540000000 AND t.max_lon_e7 < b.min_lon_e7 + 660000000 AND t.min_lat_e7 > b.min_lat_e7 + 100000000 AND t.max_lat_e7 < b.min_lat_e7 + 240000000""", keep=True)
+def x12(s, d):
+    """Tiles, of all levels, that a country's hole covers."""
+    pairs = spatial.join_boxes(T.tiles(s, d).select("zoom", "x", "y", *G.BOX), T.outlines(s, d).where(F.size("holes") > 0))
+    return pairs.where(G.holes_cover(F.col("b_holes"), G.box_columns("a_"))).select(*[F.col("a_" + c).alias(c) for c in TILE_KEY], F.col("b_country").alias("country"))

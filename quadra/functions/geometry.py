@@ -1,17 +1,16 @@
-"""Geometry on arrays of struct(lon_e7, lat_e7): exact integer arithmetic in column expressions; pandas UDFs only where an
-outline has to be cut."""
+"""Geometry on arrays of struct(lon_e7, lat_e7), in column expressions: exact integer arithmetic, but for the rounded
+points where outlines are cut. Only the chaining of lines to rings is Python, a small helper behind Arrow batches."""
 
 from __future__ import annotations
 
-import pandas as pd
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quadra.functions.tiles import degrees_text
 
 POINTS = "array<struct<lon_e7:bigint,lat_e7:bigint>>"
-_RING = T.ArrayType(T.StructType([T.StructField("lon_e7", T.LongType()), T.StructField("lat_e7", T.LongType())]))
 BOX = ("min_lon_e7", "min_lat_e7", "max_lon_e7", "max_lat_e7")
 
 
@@ -117,55 +116,68 @@ def feature_id(osm, piece, section) -> Column:
     return F.col(osm) * 1_000_000 + (F.col(piece) if isinstance(piece, str) else F.lit(piece)) * 1000 + (F.col(section) if isinstance(section, str) else F.lit(section))
 
 
-def _clip_ring(ring: list[tuple[float, float]], box: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """One outline against the four sides of a box, a side at a time."""
-    x0, y0, x1, y1 = box
-    sides = [(0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)]
-    pts = ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else ring
-    for axis, at, sign in sides:
-        out: list = []
-        for a, b in zip(pts, pts[1:] + pts[:1]):
-            ia, ib = sign * (a[axis] - at) >= 0, sign * (b[axis] - at) >= 0
-            if ia:
-                out.append(a)
-            if ia != ib:
-                t = (at - a[axis]) / (b[axis] - a[axis])
-                cut = [a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])]
-                cut[axis] = at
-                out.append(tuple(cut))
-        pts = out
-        if not pts:
-            return []
-    done = [(round(x), round(y)) for x, y in pts]
-    kept = [p for i, p in enumerate(done) if p != done[i - 1]]
-    return [*kept, kept[0]] if len(kept) > 2 else []
-
-
-@F.pandas_udf(_RING)
-def clip_ring(ring: pd.Series, min_lon: pd.Series, min_lat: pd.Series, max_lon: pd.Series, max_lat: pd.Series) -> pd.Series:
-    """The part of an outline inside a box (X7); empty if there is none."""
-    out = []
-    for r, *box in zip(ring, min_lon, min_lat, max_lon, max_lat, strict=True):
-        pts = [(p["lon_e7"], p["lat_e7"]) for p in r] if r is not None else []
-        out.append([{"lon_e7": x, "lat_e7": y} for x, y in _clip_ring(pts, tuple(box))])
-    return pd.Series(out)
+def region_meets_box(outer: Column, holes: Column, box: dict[str, Column]) -> Column:
+    """A polygon with holes has a point in the closed box: its outline meets the box, and no hole holds the whole box."""
+    return polygon_meets_box(outer, box) & ~F.coalesce(holes_cover(holes, box), F.lit(False))
+
+
+def _bound(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` reads it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _clip_side(ring: Column, axis: str, at: Column, sign: int) -> Column:
+    """An open outline against one side of a box: points outside go, crossings come in, rounded to whole units."""
+    other = "lat_e7" if axis == "lon_e7" else "lon_e7"
+
+    def cut(r: Column) -> Column:
+        def side(a, i):
+            b = F.get(r, F.when(i + 1 < F.size(r), i + 1).otherwise(0))
+            inside = lambda p: (sign * (p[axis] - at)) >= 0
+            along = F.round(a[other] + (at - a[axis]).cast("double") / (b[axis] - a[axis]).cast("double") * (b[other] - a[other])).cast("long")
+            parts = {axis: at.cast("long"), other: along}
+            crossing = F.struct(*[parts[c].alias(c) for c in ("lon_e7", "lat_e7")])
+            none = F.array().cast(POINTS)
+            return F.concat(F.when(inside(a), F.array(a)).otherwise(none), F.when(inside(a) != inside(b), F.array(crossing)).otherwise(none))
+
+        return F.flatten(F.transform(r, side))
+
+    return _bound(ring, cut)
+
+
+def clip_ring(ring: Column, box: dict[str, Column]) -> Column:
+    """The part of an outline inside a box (X7), closed; empty if there is none."""
+    closed = lambda r: (F.size(r) > 1) & (F.get(r, 0) == F.element_at(r, -1))
+    r = _bound(ring, lambda r: F.when(closed(r), F.slice(r, 1, F.size(r) - 1)).otherwise(r))
+    for axis, side, sign in (("lon_e7", "min_lon_e7", 1), ("lon_e7", "max_lon_e7", -1), ("lat_e7", "min_lat_e7", 1), ("lat_e7", "max_lat_e7", -1)):
+        r = _clip_side(r, axis, box[side], sign)
+    single = _bound(r, lambda r: F.filter(r, lambda p, i: p != F.get(r, F.when(i > 0, i - 1).otherwise(F.size(r) - 1))))
+    return _bound(single, lambda r: F.when(F.size(r) > 2, F.concat(r, F.slice(r, 1, 1))).otherwise(F.array().cast(POINTS)))
 
 
 def chain_rings(lines: list[list[dict]]) -> list[list[dict]] | None:
-    """Chains lines by shared ends to closed rings; None if an end is left open."""
+    """Chains lines by shared ends to closed rings, the first line that fits each time; None if an end is left open."""
     left, out = sorted([(p["lon_e7"], p["lat_e7"]) for p in line] for line in lines), []
-    while left:
-        ring = list(left.pop(0))
+    at, used = defaultdict(list), [False] * len(left)
+    for i in reversed(range(len(left))):
+        for end in {left[i][0], left[i][-1]}:
+            at[end].append(i)  # the smallest last
+
+    def take(end: tuple[int, int]) -> int | None:
+        while at[end] and used[at[end][-1]]:
+            at[end].pop()
+        return at[end].pop() if at[end] else None
+
+    for i, line in enumerate(left):
+        if used[i]:
+            continue
+        used[i], ring = True, list(line)
         while ring[0] != ring[-1]:
-            for i, line in enumerate(left):
-                if line[0] == ring[-1]:
-                    ring += left.pop(i)[1:]
-                    break
-                if line[-1] == ring[-1]:
-                    ring += left.pop(i)[::-1][1:]
-                    break
-            else:
+            k = take(ring[-1])
+            if k is None:
                 return None
+            used[k] = True
+            ring += (left[k] if left[k][0] == ring[-1] else left[k][::-1])[1:]
         if len(ring) < 4:
             return None
         out.append([{"lon_e7": x, "lat_e7": y} for x, y in ring])

@@ -13,10 +13,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from quadra.functions.geometry import BOX, POINTS, box_columns, boxes_meet, polyline_meets_box
 from quadra.functions.tags import put_tag
 from quadra.operators.spatial import join_boxes
+from quadra.session import stored
 
 KEY = ["country", "shard", "item_type", "id"]
 VIEW = {"geom": POINTS, "tags": "map<string,string>", "start_node": "bigint", "end_node": "bigint"}
@@ -51,7 +53,7 @@ def inside_source(changes: DataFrame, shards: DataFrame) -> DataFrame:
 def assign(changes: DataFrame, shards: DataFrame) -> DataFrame:
     """Each change once for each shard of its country that its box meets (J10); changes that several shards made alike
     stay apart by their source."""
-    pairs = join_boxes(changes, shards.select("country", "shard", *BOX), more=[("country", "country")])
+    pairs = join_boxes(changes, shards.select("country", "shard", *BOX), [("country", "country")])
     return pairs.select(*[F.col("b_shard").alias("shard") if c == "shard" else F.col("a_" + c).alias(c) for c in CHANGE])
 
 
@@ -113,7 +115,9 @@ def prioritize_tag(rules: list[tuple[str, str, bool]]) -> Callable[[dict, dict],
 
 
 def lower_node_id(left: dict, right: dict) -> dict:
-    """two added edges; the full one is the base, differing ends take the smaller node."""
+    """two additions of one edge; the full one is the base, differing ends take the smaller node."""
+    if left["id"] != right["id"]:
+        raise ValueError("changes of different features")
     if any(c["item_type"] != "EDGE" or c["change_type"] != "ADD" for c in (left, right)):
         raise ValueError("not two added edges")
     base = dict(left if left["full"] or not right["full"] else right)
@@ -156,10 +160,13 @@ def fold(changes: list[dict], policy: MergePolicy) -> dict:
 
 
 def _once(changes: DataFrame) -> DataFrame:
-    same = F.xxhash64("change_type", "full", "geom", F.array_sort(F.map_entries("tags")), "start_node", "end_node", *BOX)
-    keep = [c for c in CHANGE if c not in (*KEY, "mutation", "source_shard")]
+    """Equal changes of one mutation as one. They are equal in all of their view, by the view itself; tags as sorted text
+    only tell the groups apart, which maps cannot."""
+    view = ["change_type", "full", "geom", "start_node", "end_node", *BOX]
     source = F.coalesce(F.max(F.when(F.col("source_shard") == F.col("shard"), F.col("source_shard"))), F.min("source_shard")).alias("source_shard")
-    return changes.withColumn("__same", same).groupBy(*KEY, "mutation", "__same").agg(source, *[F.first(c).alias(c) for c in keep]).select(*CHANGE)
+    entries = F.array_sort(F.map_entries("tags"))
+    grouped = changes.withColumn("__tags", entries).groupBy(*KEY, "mutation", *view, "__tags").agg(source, F.min("level").alias("level"))
+    return grouped.withColumn("tags", F.map_from_entries("__tags")).select(*CHANGE)
 
 
 def merge(changes: DataFrame, policy: MergePolicy = MergePolicy(), more: list[str] = ()) -> DataFrame:
@@ -173,9 +180,7 @@ def merge(changes: DataFrame, policy: MergePolicy = MergePolicy(), more: list[st
     from pyspark.sql.pandas.types import to_arrow_schema
 
     keys = [*KEY, *more]
-    rows = _once(changes.select(*CHANGE))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.join(counts, keys)
+    rows = stored(_once(changes.select(*CHANGE)).withColumn("n", F.count(F.lit(1)).over(W.partitionBy(*keys))), "once")
     many = rows.where("n > 1").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("mutation", "source_shard", "change_type", "full", *VIEW_SORTABLE, F.map_entries("tags").alias("entries"), *BOX, "level"))).alias("all"))
     schema = rows.select(*CHANGE).schema
     arrow = to_arrow_schema(schema)
@@ -222,11 +227,16 @@ def overlapping_relations(changes: DataFrame, leaves: DataFrame, shapes: DataFra
     """An ADD of a relation stays if a member at any depth meets the shard. ``leaves``: (relation_id, member_type,
     member_id) at any depth; ``shapes``: (member_type, member_id, box)."""
     relation = (F.col("item_type") == "RELATION") & (F.col("change_type") == "ADD")
+    hits = _met(changes.where(relation), leaves, shapes, shards)
+    return changes.where(~relation).unionByName(changes.where(relation).join(hits, ["country", "shard", "id"], "left_semi").select(*changes.columns))
+
+
+def _met(rows: DataFrame, leaves: DataFrame, shapes: DataFrame, shards: DataFrame) -> DataFrame:
+    """(country, shard, id) of the relations of ``rows`` of which a member meets the shard."""
     boxes = leaves.join(shapes, ["member_type", "member_id"]).select(F.col("relation_id").alias("id"), *[F.col(c).alias("m_" + c) for c in BOX])
     s = shards.select("country", "shard", *[F.col(c).alias("s_" + c) for c in BOX])
-    hits = changes.where(relation).select("country", "shard", "id").distinct().join(boxes, "id").join(s, ["country", "shard"])
-    hits = hits.where(boxes_meet(box_columns("m_"), box_columns("s_"))).select("country", "shard", "id").distinct()
-    return changes.where(~relation).unionByName(changes.where(relation).join(hits, ["country", "shard", "id"], "left_semi").select(*changes.columns))
+    hits = rows.select("country", "shard", "id").distinct().join(boxes, "id").join(s, ["country", "shard"])
+    return hits.where(boxes_meet(box_columns("m_"), box_columns("s_"))).select("country", "shard", "id").distinct()
 
 
 def own_removals(changes: DataFrame) -> DataFrame:
@@ -283,28 +293,41 @@ def lift_mutation_tags(df: DataFrame) -> DataFrame:
     return df.select("country", "shard", "item_type", "id", F.explode("tags").alias("k", "value")).where(F.col("k").startswith(PREFIX)).select("country", "shard", F.concat_ws(":", "k", "item_type", F.col("id").cast("string")).alias("key"), "value")
 
 
-def generated_removes(changes: DataFrame, source: DataFrame, shards: DataFrame, keep: DataFrame | None = None) -> DataFrame:
-    """REMOVEs for edges and relations of a shard that a kept ADD does not bring back and whose box lies outside of
-    the shard; ``keep`` (id) are left alone."""
-    gone = source.where(F.col("item_type").isin("EDGE", "RELATION")).join(changes.where("change_type = 'ADD'").select(*KEY), KEY, "left_anti")
+def generated_removes(changes: DataFrame, source: DataFrame, shards: DataFrame, keep: DataFrame | None = None, leaves: DataFrame | None = None, shapes: DataFrame | None = None) -> DataFrame:
+    """REMOVEs for edges and relations of a shard that a kept ADD does not bring back and that lie outside of the shard: an
+    edge whose line does not meet it, a relation without a member, at any depth, whose box does. ``keep`` (id) are left alone.
+    ``leaves`` and ``shapes``: see :func:`overlapping_relations`; without them a relation's own box counts."""
+    gone = source.where(F.col("item_type").isin("EDGE", "RELATION")).join(changes.select(*KEY).distinct(), KEY, "left_anti")
     if keep is not None:
         gone = gone.join(keep.select("id").distinct(), "id", "left_anti")
     s = shards.select("country", "shard", *[F.col(c).alias("s_" + c) for c in BOX])
-    out = gone.join(s, ["country", "shard"]).where(~boxes_meet(box_columns(), box_columns("s_")))
-    made = change(out.select(*SHARDED), "REMOVE", "outside")
-    return made.join(changes.select(*KEY), KEY, "left_anti").select(*CHANGE)
+    placed = gone.join(s, ["country", "shard"])
+    box = box_columns("s_")
+    line = (F.col("item_type") == "EDGE") & F.col("geom").isNotNull()
+    outside = F.when(line, ~polyline_meets_box(F.col("geom"), box)).otherwise(~F.coalesce(boxes_meet(box_columns(), box), F.lit(False)))
+    if leaves is None:
+        out = placed.where(outside)
+    else:
+        relation = F.col("item_type") == "RELATION"
+        out = placed.where(~relation & outside).unionByName(placed.where(relation).join(_met(placed.where(relation), leaves, shapes, shards), ["country", "shard", "id"], "left_anti").select(*placed.columns))
+    return change(out.select(*SHARDED), "REMOVE", "outside").select(*CHANGE)
 
 
-def filter_changes(changes: DataFrame, source: DataFrame | None, edges: DataFrame, shards: DataFrame, geometric: DataFrame | None = None) -> DataFrame:
-    """P14, P15, P19, P17, P18, then the generated removes (U5). Without a source only P14 (full changes) and P15."""
+def filter_changes(
+    changes: DataFrame, source: DataFrame | None, edges: DataFrame, shards: DataFrame, geometric: DataFrame | None = None, leaves: DataFrame | None = None, shapes: DataFrame | None = None
+) -> DataFrame:
+    """P14, P15, P16, P19, P17, P18, then the generated removes (U5). P16 needs ``leaves`` and ``shapes``, see
+    :func:`overlapping_relations`. Without a source only P14 (full changes) and P15."""
     if source is None:
         empty = changes.limit(0).select(*SHARDED)
         return overlapping_edges(changes.where("full"), empty, shards)
     kept = overlapping_edges(known_or_full(changes, source), source, shards)
+    if leaves is not None:
+        kept = overlapping_relations(kept, leaves, shapes, shards)
     if geometric is not None:
         kept = without_geometric(kept, geometric)
-    kept = own_nodes(own_removals(kept), edges, shards)
-    return kept.unionByName(generated_removes(kept, source, shards, geometric))
+    kept = stored(own_nodes(own_removals(kept), edges, shards), "filtered")
+    return kept.unionByName(generated_removes(kept, source, shards, geometric, leaves, shapes))
 
 
 # ---------------------------------------------------------------- application

@@ -1,45 +1,90 @@
-"""Spatial joins as equi-joins on grid cells, with the exact test afterwards.
+"""Spatial joins as equi-joins on tiles, with the exact test afterwards.
 
-A box is spread over the cells of a coarse grid that it meets; two boxes that meet share a cell. The pair is kept in
-one cell only, that of the larger of the two lower left corners, so that no distinct is needed afterwards.
+Each box has a level of its own: the deepest zoom at which it spans at most two tiles each way, so that small boxes have
+small tiles, however crowded their city is. Two boxes that meet share a tile at the lower of their two levels: the
+box of the lower level lists its own tiles, the other one the tiles above its own. A pair is kept in one shared tile
+only, that with the smallest row and column, so that no distinct is needed afterwards.
+
+Areas are boxes, or regions: with the columns ``outer`` (a ring) and ``holes`` (an array of rings) beside their box. A country
+may have several rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadra.functions.geometry import BOX, box_columns, box_intersection, boxes_meet
-from quadra.functions.tiles import E7, expand_bbox, tile_x, tile_y
+from quadra.functions.geometry import BOX, box_columns, box_intersection, boxes_meet, clip_ring, point_in_ring, region_meets_box
+from quadra.functions.tiles import expand_bbox, tile_x, tile_y
+
+#: The deepest level, and the level at which areas are listed for points.
+DEEP, COARSE = 14, 6
+#: Tile borders are rounded to 1e-7 degree; a box is taken as larger by so many of them when its tiles are listed.
+SLACK = 2
 
-CELL = 5 * E7
 
+def _placed(df: DataFrame, p: str) -> DataFrame:
+    """Adds the level of each box (``tz``) and the tiles that it spans at DEEP (``tx0``, ``tx1``, ``ty0``, ``ty1``)."""
+    box = {c: F.col(p + c) + (-SLACK if c.startswith("min") else SLACK) for c in BOX}
+    out = df.withColumns({
+        p + "tx0": tile_x(box["min_lon_e7"], F.lit(DEEP)), p + "tx1": tile_x(box["max_lon_e7"], F.lit(DEEP)),
+        p + "ty0": tile_y(box["max_lat_e7"], F.lit(DEEP)), p + "ty1": tile_y(box["min_lat_e7"], F.lit(DEEP)),
+    })
+    span = F.greatest(F.col(p + "tx1") - F.col(p + "tx0"), F.col(p + "ty1") - F.col(p + "ty0"), F.lit(1))
+    return out.withColumn(p + "tz", F.greatest(F.lit(0), DEEP - F.ceil(F.log2(span)).cast("int")))
 
-def _cells(df: DataFrame, prefix: str, cell: int) -> DataFrame:
-    index = lambda c: F.floor(F.col(prefix + c) / cell).cast("long")
-    out = df.withColumn(prefix + "cx", F.explode(F.sequence(index("min_lon_e7"), index("max_lon_e7"))))
-    return out.withColumn(prefix + "cy", F.explode(F.sequence(index("min_lat_e7"), index("max_lat_e7"))))
 
+def _listed(df: DataFrame, p: str, zooms: Column) -> DataFrame:
+    """A row for each tile (``t``) that a box spans at each of ``zooms``."""
+    at = lambda c: F.expr(f"shiftright({p}{c}, {DEEP} - __zoom)")
+    out = df.withColumn("__zoom", F.explode(zooms)).withColumn("__x", F.explode(F.sequence(at("tx0"), at("tx1")))).withColumn("__y", F.explode(F.sequence(at("ty0"), at("ty1"))))
+    return out.withColumn(p + "t", F.struct(F.col("__zoom").alias("zoom"), F.col("__x").alias("x"), F.col("__y").alias("y"))).drop("__zoom", "__x", "__y")
 
-def join_boxes(a: DataFrame, b: DataFrame, cell: int = CELL, more: list[tuple[str, str]] = ()) -> DataFrame:
+
+def join_boxes(a: DataFrame, b: DataFrame, more: list[tuple[str, str]] = ()) -> DataFrame:
     """All pairs of rows whose boxes meet (closed). Columns of ``a`` get the prefix ``a_``, those of ``b`` ``b_``. ``more``:
     further pairs of columns that must be equal. Empty boxes (min above max) meet nothing."""
     full = lambda d: d.where((F.col("min_lon_e7") <= F.col("max_lon_e7")) & (F.col("min_lat_e7") <= F.col("max_lat_e7")))
-    left = _cells(full(a).select([F.col(c).alias("a_" + c) for c in a.columns]), "a_", cell)
-    right = _cells(full(b).select([F.col(c).alias("b_" + c) for c in b.columns]), "b_", cell)
-    on = (F.col("a_cx") == F.col("b_cx")) & (F.col("a_cy") == F.col("b_cy"))
+    left = _placed(full(a).select([F.col(c).alias("a_" + c) for c in a.columns]), "a_")
+    right = _placed(full(b).select([F.col(c).alias("b_" + c) for c in b.columns]), "b_")
+    own = lambda p: F.array(F.col(p + "tz"))
+    on = F.col("a_t") == F.col("b_t")
     for x, y in more:
         on = on & (F.col("a_" + x) == F.col("b_" + y))
-    pairs = left.join(right, on).where(boxes_meet(box_columns("a_"), box_columns("b_")))
-    home = (F.floor(F.greatest("a_min_lon_e7", "b_min_lon_e7") / cell) == F.col("a_cx")) & (F.floor(F.greatest("a_min_lat_e7", "b_min_lat_e7") / cell) == F.col("a_cy"))
-    return pairs.where(home).drop("a_cx", "a_cy", "b_cx", "b_cy")
+    below = _listed(left, "a_", F.sequence(F.lit(0), F.col("a_tz"))).join(_listed(right, "b_", own("b_")), on)
+    above = _listed(left, "a_", own("a_")).join(_listed(right.where("b_tz > 0"), "b_", F.sequence(F.lit(0), F.col("b_tz") - 1)), on)
+    up = lambda c: F.expr(f"shiftright(greatest(a_{c}, b_{c}), {DEEP} - a_t.zoom)")
+    home = (F.col("a_t.x") == up("tx0")) & (F.col("a_t.y") == up("ty0"))
+    pairs = below.unionByName(above).where(home & boxes_meet(box_columns("a_"), box_columns("b_")))
+    return pairs.drop(*[p + c for p in ("a_", "b_") for c in ("tx0", "tx1", "ty0", "ty1", "tz", "t")])
+
+
+def _region(areas: DataFrame) -> list[str]:
+    return [c for c in ("outer", "holes") if c in areas.columns]
+
+
+def locate(points: DataFrame, areas: DataFrame, lon: str = "lon_e7", lat: str = "lat_e7") -> DataFrame:
+    """Points with the columns of each area that holds them; the lower and left border belong to an area. Areas are listed by
+    the tiles of one coarse zoom, at most 4^COARSE to an area; a point is in one of them."""
+    spread = _listed(_placed(areas.withColumnsRenamed({c: "k_" + c for c in BOX}), "k_"), "k_", F.array(F.lit(COARSE))).drop("k_tx0", "k_tx1", "k_ty0", "k_ty1", "k_tz")
+    at = F.struct(F.lit(COARSE).alias("zoom"), tile_x(lon, F.lit(COARSE)).alias("x"), tile_y(lat, F.lit(COARSE)).alias("y"))
+    pairs = points.withColumn("__t", at).join(spread, F.col("__t") == F.col("k_t")).drop("__t", "k_t")
+    x, y = F.col(lon), F.col(lat)
+    inside = (x >= F.col("k_min_lon_e7")) & (x < F.col("k_max_lon_e7")) & (y >= F.col("k_min_lat_e7")) & (y < F.col("k_max_lat_e7"))
+    if _region(areas):
+        inside = inside & point_in_ring(x, y, F.col("outer")) & ~F.exists("holes", lambda h: point_in_ring(x, y, h))
+    return pairs.where(inside).withColumnsRenamed({"k_" + c: c for c in BOX})
 
 
 def country_shards(tiles: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """(country, zoom, x, y) of all leaf tiles that meet a country."""
+    """(country, zoom, x, y) of all leaf tiles that meet a country, a box or a region."""
     leaf = tiles.where("final").select("zoom", "x", "y", *BOX)
-    pairs = join_boxes(leaf, boundaries.select("country", *BOX), 36 * E7)
-    return pairs.select(F.col("b_country").alias("country"), F.col("a_zoom").alias("zoom"), F.col("a_x").alias("x"), F.col("a_y").alias("y"))
+    region = _region(boundaries)
+    pairs = join_boxes(leaf, boundaries.select("country", *BOX, *region))
+    if region:
+        pairs = pairs.where(region_meets_box(F.col("b_outer"), F.col("b_holes"), box_columns("a_")))
+    out = pairs.select(F.col("b_country").alias("country"), F.col("a_zoom").alias("zoom"), F.col("a_x").alias("x"), F.col("a_y").alias("y"))
+    return out.distinct() if region else out
 
 
 def tasks(shards: DataFrame) -> DataFrame:
@@ -65,17 +110,27 @@ def shards_of_points(df: DataFrame, tiles: DataFrame, max_zoom: int = 14) -> Dat
 
 
 def fan_out(relations: DataFrame, tiles: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """Relation to shard to country by box (J9): a shard stays if the relation and the country both meet it and each other."""
+    """Relation to shard to country (J9): a shard stays if the relation's box and the country both meet it and each other."""
     shards = shards_of_boxes(relations, tiles, ["relation_id", *BOX])
-    listed = country_shards(tiles, boundaries).join(boundaries.select("country", *[F.col(c).alias("k_" + c) for c in BOX]), "country")
-    return shards.join(listed, ["zoom", "x", "y"]).where(boxes_meet(box_columns(), box_columns("k_"))).select("relation_id", "country", "zoom", "x", "y")
+    region = _region(boundaries)
+    listed = country_shards(tiles, boundaries).join(boundaries.select("country", *region, *[F.col(c).alias("k_" + c) for c in BOX]), "country")
+    met = shards.join(listed, ["zoom", "x", "y"]).where(boxes_meet(box_columns(), box_columns("k_")))
+    if region:
+        met = met.where(region_meets_box(F.col("outer"), F.col("holes"), box_columns()))
+    out = met.select("relation_id", "country", "zoom", "x", "y")
+    return out.distinct() if region else out
 
 
 def input_tiles(areas: DataFrame, tiles: DataFrame, holes: DataFrame, files: DataFrame) -> DataFrame:
     """Tiles to read for loading areas (J11): those that meet one, without those that a hole covers, if their file is
-    listed with a length above 0. ``areas``: (area, box); ``holes``: (area, box); ``files``: (zoom, x, y, length)."""
-    met = shards_of_boxes(areas, tiles, ["area"]).join(tiles.select("zoom", "x", "y", *BOX), ["zoom", "x", "y"])
-    covered = join_boxes(met, holes, more=[("area", "area")]).where(
+    listed with a length above 0. ``areas``: (area, box), or regions, whose own holes count; ``holes``: (area, box), further
+    ones; ``files``: (zoom, x, y, length)."""
+    region = _region(areas)
+    met = join_boxes(areas.select("area", *BOX, *region), tiles.where("final").select("zoom", "x", "y", *BOX))
+    if region:
+        met = met.where(region_meets_box(F.col("a_outer"), F.col("a_holes"), box_columns("b_")))
+    met = met.select(F.col("a_area").alias("area"), *[F.col("b_" + c).alias(c) for c in ("zoom", "x", "y", *BOX)]).distinct()
+    covered = join_boxes(met, holes, [("area", "area")]).where(
         (F.col("b_min_lon_e7") <= F.col("a_min_lon_e7")) & (F.col("b_min_lat_e7") <= F.col("a_min_lat_e7")) & (F.col("b_max_lon_e7") >= F.col("a_max_lon_e7")) & (F.col("b_max_lat_e7") >= F.col("a_max_lat_e7"))
     ).select(*[F.col("a_" + c).alias(c) for c in ("area", "zoom", "x", "y")])
     there = files.where("length > 0").select("zoom", "x", "y")
@@ -84,10 +139,16 @@ def input_tiles(areas: DataFrame, tiles: DataFrame, holes: DataFrame, files: Dat
 
 def loading_areas(shards: DataFrame, boundaries: DataFrame) -> DataFrame:
     """(country, zoom, x, y, box): the common box of a shard and its country (X7); shards that only touch it are dropped.
-    ``shards``: (country, zoom, x, y, box)."""
-    b = boundaries.select("country", *[F.col(c).alias("k_" + c) for c in BOX])
+    ``shards``: (country, zoom, x, y, box). For regions also ``outer`` and ``holes``, cut to the shard; an area's rows are as
+    many as the parts of the country that it meets."""
+    region = _region(boundaries)
+    b = boundaries.select("country", *region, *[F.col(c).alias("k_" + c) for c in BOX])
     cut = shards.join(b, "country").withColumns(box_intersection(box_columns(), box_columns("k_")))
-    return cut.where("min_lon_e7 < max_lon_e7 and min_lat_e7 < max_lat_e7").select("country", "zoom", "x", "y", *BOX)
+    cut = cut.where("min_lon_e7 < max_lon_e7 and min_lat_e7 < max_lat_e7")
+    if region:
+        clipped = cut.withColumn("holes", F.filter(F.transform("holes", lambda h: clip_ring(h, box_columns())), lambda h: F.size(h) > 3))
+        cut = clipped.withColumn("outer", clip_ring(F.col("outer"), box_columns())).where(F.size("outer") > 3)
+    return cut.select("country", "zoom", "x", "y", *region, *BOX)
 
 
 def neighbours(shards: DataFrame, metres: float | None) -> DataFrame:
@@ -96,7 +157,7 @@ def neighbours(shards: DataFrame, metres: float | None) -> DataFrame:
     if metres == 0:
         return shards.select("country", F.col("shard").alias("origin"), F.col("shard").alias("neighbour"))
     grown = shards.withColumns(expand_bbox("min_lon_e7", "min_lat_e7", "max_lon_e7", "max_lat_e7", F.lit(metres).cast("double")))
-    pairs = join_boxes(grown, shards, 36 * E7, [("country", "country")])
+    pairs = join_boxes(grown, shards, [("country", "country")])
     return pairs.select(F.col("a_country").alias("country"), F.col("a_shard").alias("origin"), F.col("b_shard").alias("neighbour"))
 
 
@@ -122,9 +183,12 @@ def prove_missing(missing: DataFrame, nodes: DataFrame, boundaries: DataFrame, i
     """Missing shards that hold a node that should be there (J14): per shard the lowest such node and their number.
 
     ``missing``: (country, zoom, x, y, box); ``nodes``: (node_id, lon_e7, lat_e7); nodes of ``ignored`` and ``skipped``
-    (node_id) do not count. All boxes of a country are used; the lower and left border belong to a box."""
+    (node_id) do not count. The lower and left border belong to a box or a region."""
     areas = loading_areas(missing, boundaries)
     usable = nodes.join(ignored, "node_id", "left_anti").join(skipped, "node_id", "left_anti")
     boxes = usable.select("node_id", *[F.col("lon_e7" if "lon" in c else "lat_e7").alias(c) for c in BOX])
     pairs = join_boxes(boxes, areas).where((F.col("a_min_lon_e7") < F.col("b_max_lon_e7")) & (F.col("a_min_lat_e7") < F.col("b_max_lat_e7")))
+    if _region(boundaries):
+        x, y = F.col("a_min_lon_e7"), F.col("a_min_lat_e7")
+        pairs = pairs.where(point_in_ring(x, y, F.col("b_outer")) & ~F.exists("b_holes", lambda h: point_in_ring(x, y, h)))
     return pairs.groupBy(*[F.col("b_" + c).alias(c) for c in ("country", "zoom", "x", "y")]).agg(F.min("a_node_id").alias("node_id"), F.count(F.lit(1)).alias("nodes"))

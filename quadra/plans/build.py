@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quadra.functions.geometry import BOX, bounds, box_columns, boxes_meet, feature_id
+from quadra.functions.geometry import BOX, bounds, box_columns, boxes_meet, clip_ring, feature_id
+from quadra.operators.spatial import join_boxes, locate
 
 FEATURE = ["item_type", "id", "geom", "tags", *BOX]
 
@@ -78,8 +79,7 @@ def slice_at_borders(way_nodes: DataFrame, boundaries: DataFrame) -> DataFrame:
     in, as the end of one piece and the start of the next: on the border's line, the other coordinate by integer
     interpolation (rounded down). A step over a corner is cut once, at the border in longitude first. Pieces are numbered
     in order; points outside of all countries are dropped, and a piece starts anew behind them."""
-    inside = (F.col("lon_e7") >= F.col("min_lon_e7")) & (F.col("lon_e7") < F.col("max_lon_e7")) & (F.col("lat_e7") >= F.col("min_lat_e7")) & (F.col("lat_e7") < F.col("max_lat_e7"))
-    placed = way_nodes.select("way_id", "seq", "lon_e7", "lat_e7").join(boundaries.select("country", *BOX), inside)
+    placed = locate(way_nodes.select("way_id", "seq", "lon_e7", "lat_e7"), boundaries.select("country", *BOX))
     way = W.partitionBy("way_id").orderBy("seq")
     prev = lambda c: F.lag(c).over(way)
     rows = placed.withColumns({"p_country": prev("country"), "p_seq": prev("seq"), "p_lon": prev("lon_e7"), "p_lat": prev("lat_e7"), **{"p_" + c: prev(c) for c in BOX}})
@@ -103,11 +103,8 @@ def slice_at_borders(way_nodes: DataFrame, boundaries: DataFrame) -> DataFrame:
 
 def slice_polygons(areas: DataFrame, boundaries: DataFrame) -> DataFrame:
     """(id, country, geom): outlines cut to each country box that they meet (C2); pieces that are empty are dropped."""
-    from quadra.functions.geometry import clip_ring
-    from quadra.operators.spatial import join_boxes
-
     pairs = join_boxes(areas.select("id", "geom", *BOX), boundaries.select("country", *BOX))
-    cut = pairs.select(F.col("a_id").alias("id"), F.col("b_country").alias("country"), clip_ring("a_geom", *["b_" + c for c in BOX]).alias("geom"))
+    cut = pairs.select(F.col("a_id").alias("id"), F.col("b_country").alias("country"), clip_ring(F.col("a_geom"), box_columns("b_")).alias("geom"))
     return cut.where(F.size("geom") > 3)
 
 

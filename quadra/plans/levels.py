@@ -3,25 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadra.functions.geometry import BOX
+from quadra.functions.geometry import BOX, box_columns, boxes_meet
 from quadra.functions.tags import has_tag, put_tag
 from quadra.operators import changes as C
+from quadra.operators import spatial
 from quadra.operators.snapshots import countries
 from quadra.session import stored
 
 
 @dataclass
 class Context:
-    """What a mutation may ask for: shards (country, shard, box), lookup tables by name, neighbours by name."""
+    """What a mutation may ask for: shards (country, shard, box), lookup tables by name, features of neighbouring shards."""
 
     shards: DataFrame
     tables: dict[str, DataFrame] = field(default_factory=dict)
     level: int = 0
+    features: DataFrame | None = None
+
+    def neighbours(self, metres: float, rule: Column | None = None) -> DataFrame:
+        """(origin, sharded features): what the shards within a distance of each shard hold, itself included, at the start
+        of the level (C6, J4). Only features that match ``rule`` are read of them (C11)."""
+        some = self.features if rule is None else C.side_output(self.features, rule)
+        return spatial.fetch(spatial.neighbours(self.shards, metres), some)
 
     def lookup(self, name: str, limit_bytes: int | None = None) -> DataFrame:
         """A table by name. It is left to Spark's size estimate whether it is sent to all tasks; a caller that
@@ -69,6 +77,7 @@ def generate(features: DataFrame, mutations: list[Mutation], context: Context, o
     """Changes of a level's mutations, each merged by its own policy (A7), as made (before assignment). ``only``: a filter
     on features, such as one shard (C13) or the include lists (P28)."""
     source, out = features if only is None else features.where(only), None
+    context = replace(context, features=features)
     for m in mutations:
         made = m.run(countries(source, m.include, m.exclude), context).select(*C.CHANGE).withColumns({"mutation": F.lit(m.name), "level": F.lit(context.level)})
         made = C.merge(made, m.policy, ["mutation"])
@@ -77,7 +86,8 @@ def generate(features: DataFrame, mutations: list[Mutation], context: Context, o
 
 
 def run_level(features: DataFrame, mutations: list[Mutation], context: Context, policy: C.MergePolicy = C.MergePolicy(), only: Column | None = None, geometric: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(features after, changes applied): generate, keep to the source shard, assign, merge, filter, apply."""
+    """(features after, changes applied): generate (mutations fetch what they need of neighbouring shards), keep to the
+    source shard, assign, merge, filter, apply."""
     made = C.inside_source(generate(features, mutations, context, only), context.shards)
     merged = stored(C.merge(C.assign(made, context.shards), policy), "merged")
     edges = features.where("item_type = 'EDGE'").select("id", "start_node", "end_node", "geom")
@@ -90,7 +100,7 @@ def run_levels(features: DataFrame, mutations: list[Mutation], context: Context,
     for i, level in enumerate(order_levels(mutations)):
         if i < start or (stop is not None and i > stop):
             continue
-        features, _ = run_level(features, level, Context(context.shards, context.tables, i), policy, only)
+        features, _ = run_level(features, level, replace(context, level=i), policy, only)
         features = stored(features, f"level-{i}")
     return features
 
@@ -115,6 +125,16 @@ def self_conflicting(rule: Column, name: str = "self_conflicting", policy: C.Mer
     return Mutation(name, lambda f, _: C.change(f.where(rule), "ADD", name).unionByName(C.change(f.where(rule), "REMOVE", name)), policy=policy)
 
 
+def tag_near(rule: Column, other: Column, metres: float, key: str, value: str = "yes", name: str = "tag_near") -> Mutation:
+    """Tags the features of ``rule`` in shards that hold a feature of ``other``, or have one in a shard within the distance."""
+
+    def run(features: DataFrame, context: Context) -> DataFrame:
+        near = context.neighbours(metres, other).select("country", F.col("origin").alias("shard")).distinct()
+        return C.change(features.where(rule).join(near, ["country", "shard"], "left_semi"), "ADD", name, tags=put_tag(F.col("tags"), key, F.lit(value)))
+
+    return Mutation(name, run)
+
+
 def tag_bus_stops(name: str = "tag_bus_stops") -> Mutation:
     stop = has_tag("highway", "bus_stop") | has_tag("amenity", "bus_station")
     return Mutation(name, lambda f, _: C.change(f.where((F.col("item_type") == "POINT") & stop), "ADD", name, tags=put_tag(F.col("tags"), "public_transport", F.lit("stop_position"))))
@@ -123,10 +143,7 @@ def tag_bus_stops(name: str = "tag_bus_stops") -> Mutation:
 def shard_features(features: DataFrame, tiles: DataFrame, boundaries: DataFrame) -> DataFrame:
     """Features (item_type, id, geom, tags, start_node, end_node, box) dealt to (country, shard): to each shard that their
     box meets, in each country that meets both. E6: the user gets the countries' shards with it."""
-    from quadra.functions.geometry import box_columns, boxes_meet
-    from quadra.operators.spatial import country_shards, shards_of_boxes
-
-    dealt = shards_of_boxes(features, tiles, ["item_type", "id", *C.VIEW, *BOX])
-    listed = country_shards(tiles, boundaries).join(boundaries.select("country", *[F.col(c).alias("k_" + c) for c in BOX]), "country")
+    dealt = spatial.shards_of_boxes(features, tiles, ["item_type", "id", *C.VIEW, *BOX])
+    listed = spatial.country_shards(tiles, boundaries).join(boundaries.select("country", *[F.col(c).alias("k_" + c) for c in BOX]), "country")
     both = dealt.join(listed, ["zoom", "x", "y"]).where(boxes_meet(box_columns(), box_columns("k_")))
     return both.withColumn("shard", F.concat_ws("-", "zoom", "x", "y")).select(*C.SHARDED)

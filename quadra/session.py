@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Only where the setting is absent (a local test session) a new
-    temporary folder is taken and set, so that ``checkpoint()`` works there too."""
+    """The folder of ``spark.checkpoint.dir``. Where the setting is absent, a session on one machine (a test) takes a new
+    temporary folder and sets it, so that ``checkpoint()`` works there too; on a cluster that is an error."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -18,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
         return set_dir
     got = spark.sparkContext.getCheckpointDir()
     if got is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quadra-"))
         got = spark.sparkContext.getCheckpointDir()
     return got

@@ -6,18 +6,56 @@ common table expressions for the comparison in DuckDB. All coordinates are integ
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quadra.functions.geometry import BOX, bounds
+from quadra.functions.geometry import BOX, POINTS, bounds
 from quadra.functions.tiles import E7, tile_bounds, tile_x, tile_y
-from quadra.session import table
+from quadra.operators.spatial import locate
+from quadra.session import stored, table
+
+_kept: ContextVar[dict | None] = ContextVar("kept", default=None)
+
+
+def kept(f: Callable) -> Callable:
+    """A derived table that a query of :func:`keeping` stores once, instead of deriving it for each of its uses."""
+
+    @wraps(f)
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        have = _kept.get()
+        if have is None:
+            return f(spark, sf_dir)
+        if (f, sf_dir) not in have:
+            have[f, sf_dir] = stored(f(spark, sf_dir), f.__name__)
+        return have[f, sf_dir]
+
+    return get
+
+
+def keeping(query: Callable) -> Callable:
+    """A query that reads derived tables more than once: each of them is stored while the query is put together."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = _kept.set({})
+        try:
+            return query(spark, sf_dir)
+        finally:
+            _kept.reset(token)
+
+    return run
+
 
 TREE_LIMIT, TREE_ZOOM = 200, 14
 PREVIOUS_DATE = "2000-01-01"
 
 
+@kept
 def way_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(way_id, cust, seq, node_id, lon_e7, lat_e7): the ordered points of each way."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
@@ -34,6 +72,7 @@ def way_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@kept
 def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(way_id, cust, n, kind, geom, nodes, tags, box): kind is road, AREA or LINE."""
     grouped = way_nodes(spark, sf_dir).groupBy("way_id", "cust").agg(
@@ -65,6 +104,7 @@ def _way_tags():
     return F.map_from_entries(entries)
 
 
+@kept
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(node_id, cust, lon_e7, lat_e7, ways): distinct points with the number of ways through each."""
     return way_nodes(spark, sf_dir).groupBy("node_id").agg(
@@ -83,6 +123,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@kept
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(relation_id, seq, member_type, member_id, role): areas of a customer, and per nation its customers' relations."""
     area = ways(spark, sf_dir).where("kind = 'AREA' and cust % 5 = 0").select("cust", "way_id")
@@ -110,6 +151,21 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(country, poly, outer, holes, box): countries as polygons inside their boxes. A third of them is an L, a third has two
+    parts, the right one with a hole, the others fill their box."""
+    p = lambda lon, lat: F.struct((F.col("min_lon_e7") + lon * E7).alias("lon_e7"), (F.col("min_lat_e7") + lat * E7).alias("lat_e7"))
+    ring = lambda *pts: F.array(*[p(*c) for c in (*pts, pts[0])])
+    box = lambda a, b, c, d: ring((a, b), (a, d), (c, d), (c, b))
+    poly = lambda i, outer, *holes: F.struct(F.lit(i).alias("poly"), outer.alias("outer"), (F.array(*holes) if holes else F.array().cast(f"array<{POINTS}>")).alias("holes"))
+    i = F.substring("country", 2, 2).cast("int") % 3
+    ell = poly(0, ring((0, 0), (0, 34), (36, 34), (36, 17), (72, 17), (72, 0)))
+    two = [poly(0, box(0, 0, 24, 34)), poly(1, box(48, 0, 72, 34), box(54, 10, 66, 24))]
+    shapes = F.when(i == 0, F.array(ell)).when(i == 1, F.array(*two)).otherwise(F.array(poly(0, box(0, 0, 72, 34))))
+    out = boundaries(spark, sf_dir).select("country", F.explode(shapes).alias("s")).select("country", "s.*")
+    return out.withColumns(bounds(F.col("outer")))
+
+
 def tile_counts(pts: DataFrame, max_zoom: int = TREE_ZOOM) -> DataFrame:
     """(zoom, x, y, n) of every tile that holds points, at all zooms: points are counted at the deepest zoom first."""
     deep = pts.select(tile_x("lon_e7", F.lit(max_zoom)).alias("x"), tile_y("lat_e7", F.lit(max_zoom)).alias("y")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
@@ -131,6 +187,7 @@ def children(x: str, y: str):
     return F.array(*[F.struct((F.col(x) * 2 + i).alias("x"), (F.col(y) * 2 + j).alias("y")) for j in (0, 1) for i in (0, 1)])
 
 
+@kept
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quadtree over all nodes, with boxes."""
     t = build_tree(nodes(spark, sf_dir))
@@ -153,9 +210,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_country(df: DataFrame, bounds_df: DataFrame, lon: str = "lon_e7", lat: str = "lat_e7") -> DataFrame:
-    """The country whose box holds a point; the lower and left borders belong to the box. Countries are few rows, and
-    Spark decides by their size whether they are sent to all tasks."""
-    return df.join(bounds_df.select("country", *BOX), (F.col(lon) >= F.col("min_lon_e7")) & (F.col(lon) < F.col("max_lon_e7")) & (F.col(lat) >= F.col("min_lat_e7")) & (F.col(lat) < F.col("max_lat_e7"))).drop(*BOX)
+    """The country whose box holds a point; the lower and left borders belong to the box."""
+    return locate(df, bounds_df.select("country", *BOX), lon, lat).drop(*BOX)
 
 
 # ---------------------------------------------------------------- the same in SQL
@@ -214,6 +270,10 @@ boundaries AS (
   SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS country,
          CAST((n_nationkey % 5 * 72 - 180) AS BIGINT) * 10000000 AS min_lon_e7, CAST((n_nationkey // 5 * 34 - 85) AS BIGINT) * 10000000 AS min_lat_e7,
          CAST((n_nationkey % 5 * 72 - 108) AS BIGINT) * 10000000 AS max_lon_e7, CAST((n_nationkey // 5 * 34 - 51) AS BIGINT) * 10000000 AS max_lat_e7 FROM nation),
+rects AS (
+  SELECT country, part, min_lon_e7 + a * 10000000 AS min_lon_e7, min_lat_e7 + b * 10000000 AS min_lat_e7, min_lon_e7 + c * 10000000 AS max_lon_e7, min_lat_e7 + d * 10000000 AS max_lat_e7
+  FROM boundaries JOIN (VALUES (0, 0, 0, 0, 36, 34), (0, 1, 36, 0, 72, 17), (1, 0, 0, 0, 24, 34), (1, 1, 48, 0, 54, 34), (1, 2, 66, 0, 72, 34), (1, 3, 54, 0, 66, 10), (1, 4, 54, 24, 66, 34),
+    (2, 0, 0, 0, 72, 34)) v(i, part, a, b, c, d) ON CAST(substr(country, 2) AS INTEGER) % 3 = i),
 deep AS (SELECT {_X} AS x, {_Y} AS y, count(*) AS n FROM nodes GROUP BY 1, 2),
 tile_counts AS (
   SELECT zoom, x >> (14 - zoom) AS x, y >> (14 - zoom) AS y, CAST(sum(n) AS BIGINT) AS n

@@ -18,6 +18,8 @@ def test_lower_node_id():
     assert (got["id"], got["start_node"], got["end_node"], got["tags"]) == (100, 50, 5, {"a": "b"})
     with pytest.raises(ValueError):
         C.lower_node_id(left, view(change_type="REMOVE"))
+    with pytest.raises(ValueError):
+        C.lower_node_id(left, view(id=101))
 
 
 def test_remove_over_add_and_left():

@@ -36,6 +36,10 @@ def ring(*pts):
     return F.array(*[F.struct(F.lit(x).cast("long").alias("lon_e7"), F.lit(y).cast("long").alias("lat_e7")) for x, y in pts])
 
 
+def lits(*box):
+    return {c: F.lit(v).cast("long") for c, v in zip(G.BOX, box, strict=True)}
+
+
 def square():
     return ring((0, 0), (0, 10), (10, 10), (10, 0), (0, 0))
 
@@ -57,9 +61,9 @@ def test_geometry(spark):
 
 
 def test_clip(spark):
-    cut = one(spark, G.clip_ring(square(), *[F.lit(v).cast("long") for v in (5, -5, 20, 20)]))
+    cut = one(spark, G.clip_ring(square(), lits(5, -5, 20, 20)))
     assert {(p.lon_e7, p.lat_e7) for p in cut} == {(5, 0), (5, 10), (10, 10), (10, 0)} and cut[0] == cut[-1]
-    assert one(spark, G.clip_ring(square(), *[F.lit(v).cast("long") for v in (50, 50, 60, 60)])) == []
+    assert one(spark, G.clip_ring(square(), lits(50, 50, 60, 60))) == []
 
 
 def test_ring_assembly():
@@ -68,6 +72,9 @@ def test_ring_assembly():
     assert sorted(len(r) for r in rings) == [4, 4] and all(r[0] == r[-1] for r in rings)
     assert G.chain_rings([line((0, 0), (1, 0)), line((1, 1), (1, 0))]) is None
     assert G.chain_rings([]) == []
+    n = 20_000  # a coastline in pieces: in time linear in their number
+    coast = G.chain_rings([line((i, 0), (i + 1, 0)) if i % 2 else line((i + 1, 0), (i, 0)) for i in range(n)] + [line((n, 0), (0, 5)), line((0, 5), (0, 0))])
+    assert len(coast) == 1 and len(coast[0]) == n + 3
 
 
 def test_tag_filters(spark):

@@ -1,9 +1,12 @@
 """Properties that hold for any input."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from quadra import registry
 from quadra import tables as T
 from quadra.catalog import features
+from quadra.functions.geometry import BOX
 from quadra.operators import spatial, trees
 from quadra.plans import build
 
@@ -39,11 +42,60 @@ def test_each_way_node_lies_in_one_country_piece(spark, sf):
     assert own.groupBy("way_id", "piece").agg(F.count_distinct("country").alias("n")).where("n > 1").count() == 0
 
 
-def test_spatial_join_uses_equal_cells(spark, sf):
-    plan = spatial.country_shards(T.tiles(spark, sf), T.boundaries(spark, sf))._jdf.queryExecution().executedPlan().toString()
+SPATIAL = [
+    "shard_statistics", "x4_shards_of_bbox", "x7_loading_areas", "x9_point_in_box", "x9_point_in_outline", "x10_line_meets_tile", "x12_covered_by_holes", "c2_slicing", "c2_slice_polygons",
+    "c6_neighbours", "j1_country_shards", "j1_country_outlines", "j9_fan_out", "j11_input_tiles", "j14_missing_proof", "j14_missing_outlines", "p12_polygon_filter", "p12_outline_filter",
+]
+
+
+@pytest.mark.parametrize("name", SPATIAL)
+def test_spatial_joins_are_equi_joins(spark, sf, name):
+    f = registry.queries()[name]
+    plan = getattr(f, "__wrapped__", f)(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def _box(lon, lat, w, h):
+    return lon, lat, lon + w, lat + h
+
+
+def test_boxes_of_all_sizes_meet_as_brute_force_says(spark):
+    """Points, lines, tiles and continents, also at the ends of the world, at tile borders and in one crowded place."""
+    import random
+
+    rng = random.Random(5)
+    world = (-1_800_000_000, -900_000_000)
+    rows = [_box(rng.randint(world[0], -world[0]), rng.randint(world[1], -world[1]), 10 ** rng.randint(0, 9), 10 ** rng.randint(0, 8)) for _ in range(120)]
+    rows += [_box(450_000_000 + rng.randint(0, 30_000), rng.randint(0, 30_000), rng.randint(0, 9_000), rng.randint(0, 9_000)) for _ in range(120)]
+    rows += [_box(450_000_000 * k, 0, 0, 0) for k in range(-4, 5)] + [_box(450_000_000 * k, 0, 450_000_000, 10) for k in range(-4, 4)] + [_box(5, 5, -3, 2), _box(*world, 3_600_000_000, 1_800_000_000)]
+    a = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, " + ", ".join(f"{c} long" for c in BOX))
+    meet = lambda p, q: p[0] <= q[2] and q[0] <= p[2] and p[1] <= q[3] and q[1] <= p[3]
+    real = [(i, r) for i, r in enumerate(rows) if r[0] <= r[2] and r[1] <= r[3]]
+    want = sorted((i, j) for i, p in real for j, q in real if meet(p, q))
+    pairs = spatial.join_boxes(a, a).select("a_id", "b_id").collect()
+    assert sorted(map(tuple, pairs)) == want
+
+
+def test_a_crowded_city_is_spread(spark):
+    """All of 20,000 small boxes lie in one city, over leaves of the deepest zoom: no key holds more than a few of them."""
+    a = spark.range(20_000).selectExpr("id", *[f"cast({v} as long) as {c}" for c, v in zip(BOX, ("id % 200 * 220000", "cast(id / 200 as int) * 220000", "id % 200 * 220000 + 1000", "cast(id / 200 as int) * 220000 + 1000"))])
+    placed = spatial._listed(spatial._placed(a.select(*[F.col(c).alias("a_" + c) for c in a.columns]), "a_"), "a_", F.array("a_tz"))
+    assert placed.groupBy("a_t").count().agg(F.max("count")).first()[0] <= 12
+
+
+def test_derived_tables_are_stored_once_a_query(spark, sf):
+    calls = []
+
+    @T.kept
+    def numbers(spark, sf):
+        calls.append(1)
+        return spark.range(3)
+
+    both = T.keeping(lambda s, d: numbers(s, d).union(numbers(s, d)))
+    assert both(spark, sf).count() == 6 and len(calls) == 1
+    assert numbers(spark, sf).count() == 3 and len(calls) == 2
+
+
 def test_cycles_among_relations_end(spark):
     from quadra.operators.relations import expand_members
 
