@@ -13,7 +13,9 @@ of 13 to 15 digits (Luhn, and a word for cards nearby) and ``iban`` (mod 97). Ea
 kind, more for a confirmed checksum, more for a context word within WINDOW characters before it. Base spans always
 stay; added spans stay from ``threshold`` on.
 
-Nulls are the empty text, which has no spans. Repeated rows give repeated rows. Other columns are left alone.
+Nulls are the empty text, which has no spans; empty texts and tables give no spans and no rows. Repeated rows give
+repeated rows. Very long texts are read whole, in time linear in their length and in the number of their matches. Other
+columns are left alone, except one that has the name ``into``, which is replaced: choose another name then.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 40
+WINDOW, PART = 40, 256
 SPAN = "struct<start:int,stop:int,kind:string,score:double>"
 
 
@@ -92,31 +94,46 @@ KINDS = [
 ORDER = ["email", "ip", "card", "phone", "iban"]
 
 
+def _collect(items: Column, state: Column, kind: str, step) -> Column:
+    """Runs over ``items`` with a state and gives array<kind> of what ``step(state, item)`` = (new state, whether to add,
+    value) adds. Values are gathered in parts of PART, so that the time is linear in their number."""
+    one, many = (F.array().cast(t) for t in (f"array<{kind}>", f"array<array<{kind}>>"))
+
+    def run(acc, x):
+        new, add, value = step(acc["s"], x)
+        to = lambda small, big: F.struct(new.alias("s"), small.alias("small"), big.alias("big"))
+        full = to(F.array(value), F.concat(acc["big"], F.array(acc["small"])))
+        more = F.when(F.size(acc["small"]) >= PART, full).otherwise(to(F.concat(acc["small"], F.array(value)), acc["big"]))
+        return F.when(add, more).otherwise(to(acc["small"], acc["big"]))
+
+    start = F.struct(state.alias("s"), one.alias("small"), many.alias("big"))
+    return F.aggregate(items, start, run, lambda acc: F.concat(F.flatten(acc["big"]), acc["small"]))
+
+
 def _spans(text: Column, kind: Kind) -> Column:
     """array<SPAN> of the confirmed matches of one kind."""
     none = F.array().cast(f"array<{SPAN}>")
-    pattern = F.lit(kind.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-
-    def place(matches: Column) -> Column:
-        gaps = F.split(text, kind.pattern, -1)
-        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-        def step(acc, i):
-            m = F.element_at(matches, i)
-            a = acc["at"] + F.char_length(F.element_at(gaps, i))
-            b = a + F.char_length(m)
-            before = F.lower(F.substring(text, F.greatest(F.lit(1), a - WINDOW + 1), F.least(a, F.lit(WINDOW))))
-            score = F.lit(kind.start + kind.checksum) + F.when(before.rlike(kind.context), kind.nearby).otherwise(0.0)
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+
+    def place(x: Column) -> Column:
+        """Offsets are sums over gaps and matches; the words before a match come along as the text's last characters."""
+        pairs = F.zip_with(F.slice(x["gaps"], 1, F.size(x["matches"])), x["matches"], lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
+
+        def step(s, pair):
+            before = F.right(F.concat(s["tail"], F.right(pair["gap"], F.lit(WINDOW))), F.lit(WINDOW))
+            a = s["at"] + F.char_length(pair["gap"])
+            b = a + F.char_length(pair["m"])
+            score = F.lit(kind.start + kind.checksum) + F.when(F.lower(before).rlike(kind.context), kind.nearby).otherwise(0.0)
             span = F.struct(a.alias("start"), b.alias("stop"), F.lit(kind.name).alias("kind"), score.cast("double").alias("score"))
-            return F.struct(b.alias("at"), F.when(kind.valid(m), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+            tail = F.right(F.concat(before, F.right(pair["m"], F.lit(WINDOW))), F.lit(WINDOW))
+            return F.struct(b.alias("at"), tail.alias("tail")), kind.valid(pair["m"]), span
 
-        return F.aggregate(F.sequence(F.lit(1), F.size(matches)), start, step, lambda acc: acc["out"])
+        return _collect(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")), SPAN, step)
 
-    confirmed = F.transform(
-        F.filter(F.transform(F.array(F.lit(0)), lambda _: found), lambda ms: F.exists(ms, kind.valid)), place
-    )
-    return F.when(text.rlike(kind.hint), F.coalesce(F.get(confirmed, 0), none)).otherwise(none)
+    # the matches, then the gaps, are bound once, as elements that the inner expressions read
+    confirmed = F.filter(F.transform(F.array(F.lit(0)), lambda _: found), lambda ms: F.exists(ms, kind.valid))
+    placed = F.transform(F.transform(confirmed, lambda ms: F.struct(ms.alias("matches"), F.split(text, kind.pattern, -1).alias("gaps"))), place)
+    return F.when(text.rlike(kind.hint), F.coalesce(F.get(placed, 0), none)).otherwise(none)
 
 
 def find_pii(docs: DataFrame, text: str = "text", threshold: float = 0.8, kinds: list[Kind] = KINDS, into: str = "pii") -> DataFrame:
@@ -127,29 +144,48 @@ def find_pii(docs: DataFrame, text: str = "text", threshold: float = 0.8, kinds:
     out = docs.withColumns({c: _spans(whole, k) for c, k in zip(temp, kinds, strict=True)})
     tag = lambda c, base: F.transform(c, lambda s: F.struct(F.array_position(F.array(*map(F.lit, ORDER)), s["kind"]).alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"), s["score"].alias("score"), F.lit(base).alias("base")))
     base = reduce(F.concat, [tag(F.col(c), True) for c, k in zip(temp, kinds, strict=True) if k.base])
-    more = [tag(F.filter(F.col(c), lambda s: s["score"] >= threshold), False) for c, k in zip(temp, kinds, strict=True) if not k.base]
     out = out.withColumn(f"__{into}_base", base)
-    if more:
-        extra = F.filter(reduce(F.concat, more), lambda s: ~F.exists(F.col(f"__{into}_base"), lambda b: (b["kind"] == s["kind"]) & (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-        spans = F.concat(F.col(f"__{into}_base"), extra)
-    else:
-        spans = F.col(f"__{into}_base")
+    spans = [F.col(f"__{into}_base")]
+    for c, k in zip(temp, kinds, strict=True):
+        if k.base:
+            continue
+        extra = tag(F.filter(F.col(c), lambda s: s["score"] >= threshold), False)
+        # matches of one pattern do not overlap each other
+        if any(b.base and b.name == k.name and b.pattern != k.pattern for b in kinds):
+            extra = F.filter(extra, lambda s: ~F.exists(F.col(f"__{into}_base"), lambda b: (b["kind"] == s["kind"]) & (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+        spans.append(extra)
+    spans = reduce(F.concat, spans)
     ordered = F.transform(F.array_sort(spans), lambda s: F.struct(*[s[c].alias(c) for c in ("start", "stop", "kind", "score", "base")]))
     return out.withColumn(into, ordered).drop(*temp, f"__{into}_base")
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by ``[KIND]``; overlapping spans are merged into the first of them."""
+    """The text with each span replaced by ``[KIND]``; overlapping spans are merged into the first of them. The text is cut
+    before every PART-th span first, since a cut costs time in proportion to what lies before it."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.when(
-            s["start"] >= acc["at"],
-            F.struct(s["stop"].alias("at"), F.concat(acc["out"], gap, mark).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out")))
-
-    done = F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    # what a mark replaces, or the rest of an overlapping span, which goes without one
+    shape = "struct<start:int,stop:int,mark:string>"
+
+    def apart(at, s):
+        own = s["start"] >= at["at"]
+        mark = F.when(own, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(F.lit(""))
+        value = F.struct(F.greatest(s["start"], at["at"]).alias("start"), s["stop"].alias("stop"), mark.alias("mark"))
+        return F.struct(F.greatest(at["at"], s["stop"]).alias("at")), own | (s["stop"] > at["at"]), value
+
+    cuts = _collect(ordered, F.struct(F.lit(0).alias("at")), shape, apart)
+
+    def part(all_cuts, i):
+        some = F.slice(all_cuts, i * PART + 1, PART)
+        first = F.when(i == 0, F.lit(0)).otherwise(F.get(some, 0)["start"])
+        after = F.coalesce(F.get(all_cuts, (i + 1) * PART)["start"], F.char_length(text))
+        piece = F.substring(text, first + 1, after - first)
+
+        def fill(x):
+            start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+            step = lambda acc, c: F.struct((c["stop"] - x["first"]).alias("at"), F.concat(acc["out"], F.substring(x["piece"], acc["at"] + 1, c["start"] - x["first"] - acc["at"]), c["mark"]).alias("out"))
+            return F.aggregate(x["some"], start, step, lambda acc: F.concat(acc["out"], F.substring(x["piece"], acc["at"] + 1, F.char_length(x["piece"]))))
+
+        return F.get(F.transform(F.array(F.struct(piece.alias("piece"), first.alias("first"), some.alias("some"))), fill), 0)
+
+    whole = lambda all_cuts: F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.size(all_cuts) - 1) / PART).cast("int")), lambda i: part(all_cuts, i)), "")
+    return F.when(F.size(spans) == 0, text).otherwise(F.get(F.transform(F.array(cuts), whole), 0))

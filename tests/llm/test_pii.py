@@ -93,3 +93,37 @@ def test_words_in_capitals_after_an_iban(spark):
     for r in got:
         iban = ibans[r.doc_id // 5]
         assert [(s.start, s.stop) for s in r.pii if s.kind == "iban"] == [(5, 5 + len(iban))], r.text
+
+
+def test_time_is_linear_in_matches(spark):
+    """A valid card among many numbers: both passes run over all of them."""
+    import time
+
+    def text(n):
+        return " ".join(f"{i:09d}" for i in range(n)) + "\n4111 1111 1111 1111\n" + "mail a@b.cd " * (n // 20)
+
+    def took(n):
+        df = spark.createDataFrame([(1, text(n))], "doc_id int, text string")
+        began = time.time()
+        row = find_pii(df).select("pii", redact(F.col("text"), F.col("pii")).alias("clean")).first()
+        assert len(row.pii) == 1 + n // 20 and row.clean.count("[CARD]") == 1 and row.clean.count("[EMAIL]") == n // 20
+        assert sorted((s.kind, s.start, s.stop) for s in row.pii) == sorted(brute(text(n)))
+        return time.time() - began
+
+    took(100)
+    took(20_000)
+    assert took(80_000) < 30
+
+
+def test_many_overlapping_spans(spark):
+    """More spans than a part holds, some of them over others."""
+    t = " ".join(f"+4917{i:07d} x{i}@y.zz 4111111111111111 +49 4111111111111111" for i in range(400))
+    df = spark.createDataFrame([(1, t)], "doc_id int, text string")
+    row = find_pii(df).withColumn("clean", redact(F.col("text"), F.col("pii"))).first()
+    assert {(k, a, b) for k, a, b in brute(t)} <= {(s.kind, s.start, s.stop) for s in row.pii}
+    at, out = 0, []
+    for a, b, k in sorted((s.start, s.stop, s.kind) for s in row.pii):
+        if a >= at:
+            out += [t[at:a], f"[{k.upper()}]"]
+        at = max(at, b)
+    assert row.clean == "".join(out) + t[at:]
