@@ -1,5 +1,8 @@
 import hashlib
+import math
+import re
 
+import xxhash
 from pyspark.sql import functions as F
 
 from quadra.llm import op8
@@ -18,6 +21,44 @@ def edited(docs):
     return out
 
 
+def plain(text):
+    """(fingerprint as text, sketch as signed numbers)."""
+    exact, sketch = [0] * 8, [0] * 64
+    for p in filter(None, text.split("\n")):
+        d = hashlib.sha512(p.encode()).digest()
+        exact = [(x + int.from_bytes(d[4 * k : 4 * k + 4], "big")) % 2**32 for k, x in enumerate(exact)]
+    for s in re.split(r"[.!?|\n]+", text):
+        s = s.strip(" ")
+        if s:
+            h = xxhash.xxh64_intdigest(s.encode(), seed=42)
+            for k in range(32):
+                sketch[2 * k] += 1 if h >> k & 1 else -1
+                sketch[2 * k + 1] += 1 if h >> (k + 32) & 1 else -1
+    return "".join(f"{x:08x}" for x in exact) + "".join(f"{x % 2**24:06x}" for x in sketch), sketch
+
+
+def like(a, b):
+    if a[0] == b[0]:
+        return 1.0
+    dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+    aa, bb = dot(a[1], a[1]), dot(b[1], b[1])
+    return max(0.0, min(1.0, dot(a[1], b[1]) / math.sqrt(aa * bb))) if aa and bb else 0.0
+
+
+def test_fingerprints_against_plain_code(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    text = {i: t or "" for i, t in docs}
+    ids = sorted(text, reverse=True)
+    after = dict(zip(ids, ids[1:] + ids[:1]))
+    for r in op8.op8_fingerprint(spark, sf).collect():
+        t, n = text[r.doc_id], text[after[r.doc_id]]
+        k = len(t) // 3
+        own, changed, other = plain(t), plain(t[: len(t) - k] + n[:k]), plain(n)
+        assert (r.fingerprint, r.edited_fingerprint) == (own[0], changed[0])
+        assert abs(r.near_edited - like(own, changed)) < 1e-9 and abs(r.near_next - like(own, other)) < 1e-9
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
@@ -52,4 +93,4 @@ def test_homomorphism(spark):
     df = spark.createDataFrame(rows, "a string, b string, c string, d string")
     a, b, c, d = (lanes(F.col(x)) for x in "abcd")
     r = df.select((a == b).alias("same"), (combine(c, d) == a).alias("plus"), (combine(a, d, -1) == c).alias("minus"), as_text(a).alias("t"), likeness(a, b).alias("l"), likeness(a, c).alias("m")).first()
-    assert r.same and r.plus and r.minus and len(r.t) == 8 * 8 + 64 * 4 and r.l == 1.0 and r.m > 0.4
+    assert r.same and r.plus and r.minus and len(r.t) == 8 * 8 + 64 * 6 and r.l == 1.0 and r.m > 0.4
