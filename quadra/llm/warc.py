@@ -8,13 +8,16 @@ magics start records. Spark's text reader cuts the file at *every* magic (line s
 piece whose header has a length is a candidate with a successor offset. The candidates of one file form a forest
 of pointers to the right, and the records are exactly those that the chain from the file's start reaches:
 
-1. inside a block of a file (what one reader task got) each candidate's pointer is followed to the first offset
-   outside the block, in one pass from the last candidate to the first;
+1. inside a block of a file (BLOCK_BYTES of its uncompressed bytes) each candidate's pointer is followed to the first
+   offset outside the block, in one pass from the last candidate to the first;
 2. between blocks, pointer jumping: in round k every entry knows the entry 2^k blocks further on, and the reached
    set doubles, so that a file of b blocks takes log2(b) small joins;
 3. the reached entry of each block marks its own chain.
 
 Magics inside payloads are never reached, also where the payload holds whole, well-formed records.
+
+Compressed archives are read by one task each, so that they are written in files of about FILE_BYTES. Nulls, repeated rows
+and empty tables: see :func:`write_warc`. A record may be as long as a row of text of Spark's reader (2 GB).
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
 #: Copies of one payload are spread over so many keys when they look up the first of them.
 SALTS = 16
+#: Uncompressed bytes of a file that one group follows, and about so many bytes of payload to a file.
+BLOCK_BYTES, FILE_BYTES = 4 << 20, 512 << 20
 
 
 # ---------------------------------------------------------------- writing
@@ -70,7 +75,8 @@ def write_warc(
     the others refer to it; smaller payloads are all responses. A null payload is the empty one. Repeated rows
     (equal id and payload) get equal records; rows with a null id come last in that order and are written with an
     empty id. Other columns are ignored. An empty table makes an archive folder without records.
-    ``files`` fixes the number of files; else the shuffle's partitions do."""
+    ``files`` fixes the number of files; else the shuffle's partitions do, and a file that has had about FILE_BYTES of
+    payloads is followed by another. Where the shuffle has fewer partitions than such files, rows are dealt out anew."""
     text = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(
         F.col(id_col).alias("id"),
@@ -82,9 +88,12 @@ def write_warc(
     revisits = mark_revisits(rows, "id", "digest", "len", least_revisit)
     on = rows["id"].eqNullSafe(revisits["id"]) & (rows["digest"] == revisits["digest"])
     joined = rows.join(revisits, on, "left").select(rows["*"], revisits["refers_to"])
-    if files:
-        joined = joined.repartition(files)
-    joined.select(_record()).write.option("lineSep", END).option("compression", compression or "none").text(path)
+    count, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("len"), F.lit(0))).first()
+    wanted = files or -(-size // FILE_BYTES)
+    if files or wanted > int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        joined = joined.repartition(wanted)
+    most = 0 if files else max(1, count * FILE_BYTES // max(size, 1))  # records; 0: no bound
+    joined.select(_record()).write.option("lineSep", END).option("compression", compression or "none").option("maxRecordsPerFile", most).text(path)
 
 
 def _record() -> Column:
@@ -134,14 +143,16 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _offsets(rows: DataFrame) -> DataFrame:
-    """Adds ``offset``: where the piece's header starts in the file. Sums inside each block, then over blocks."""
+    """Adds ``offset``: where the piece's header starts in the file, and sets ``block`` to its BLOCK_BYTES. Sums inside what
+    each task read, then over these."""
     step = F.col("size") + len(MAGIC)
     inside = W.partitionBy("file", "block").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum(step).over(inside), F.lit(0)))
     blocks = rows.groupBy("file", "block").agg(F.sum(step).alias("total"))
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     blocks = blocks.withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0))).drop("total")
-    return rows.join(blocks, ["file", "block"]).withColumn("offset", F.col("base") + F.col("inside")).drop("base", "inside")
+    rows = rows.join(blocks, ["file", "block"]).withColumn("offset", F.col("base") + F.col("inside")).drop("base", "inside")
+    return rows.withColumn("block", F.floor(F.col("offset") / BLOCK_BYTES))
 
 
 def _exits(group):
@@ -169,7 +180,7 @@ def verify_chain(candidates: DataFrame) -> DataFrame:
     """(file, offset) of the candidates that the chain from each file's start reaches.
 
     ``candidates``: file string, block long, offset long, succ long (the offset at which the next header would
-    start). Null pointers and candidates that point nowhere end a chain. A group is what one reader task read."""
+    start). Null pointers and candidates that point nowhere end a chain. A group is a block of a file."""
     base = candidates.select("file", "block", "offset", "succ").where("succ is not null").distinct()
     hops = cut(
         base.groupBy("file", "block").applyInPandas(
@@ -230,21 +241,14 @@ def _small(fields: dict[str, Column]) -> bool:
 
 
 def _reassemble(scan: DataFrame, broken: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Records whose payload was cut at a magic. Only the files that hold such records are grouped."""
-    files = broken.select("file").distinct()
-    parts = _offsets(scan.select("file", "block", "at", "size", "raw").join(files, "file", "left_semi"))
-    spans = broken.select("file", F.col("offset").alias("first"), F.col("header").alias("head"), "need")
-    # Pieces and record starts meet in one ordered pass; each piece belongs to the last start before it.
-    tagged = parts.join(spans, (parts["file"] == spans["file"]) & (parts["offset"] == spans["first"]), "left").select(
-        parts["file"], "offset", "raw", "first", "head", "need"
-    )
-    order = W.partitionBy("file").orderBy("offset").rowsBetween(W.unboundedPreceding, 0)
-    last = lambda c: F.last(c, ignorenulls=True).over(order)
-    owned = tagged.withColumns({"own": last("first"), "own_need": last("need")})
-    owned = owned.where((F.col("own").isNotNull()) & (F.col("offset") < F.col("own") + F.col("own_need")))
-    joined = owned.groupBy("file", "own").agg(
-        F.array_sort(F.collect_list(F.struct("offset", "raw"))).alias("parts"), F.first("head", ignorenulls=True).alias("header")
-    )
+    """Records whose payload was cut at a magic. Pieces meet the records in the blocks that these span, so that only pieces
+    of such records move."""
+    parts = _offsets(scan.select("file", "block", "at", "size", "raw").join(broken.select("file").distinct(), "file", "left_semi"))
+    blocks = F.sequence(F.floor(F.col("offset") / BLOCK_BYTES), F.floor((F.col("offset") + F.col("need")) / BLOCK_BYTES))
+    spans = broken.select("file", F.col("offset").alias("own"), "need", F.explode(blocks).alias("block"))
+    owned = parts.join(spans, ["file", "block"]).where((F.col("offset") >= F.col("own")) & (F.col("offset") < F.col("own") + F.col("need")))
+    joined = owned.groupBy("file", "own").agg(F.array_sort(F.collect_list(F.struct("offset", "raw"))).alias("parts"))
+    joined = joined.join(broken.select("file", F.col("offset").alias("own"), "header"), ["file", "own"])
     glue = F.lit(MAGIC).cast("binary")
     data = F.aggregate("parts", F.lit(None).cast("binary"), lambda acc, x: F.when(acc.isNull(), x["raw"]).otherwise(F.concat(acc, glue, x["raw"])))
     number = F.regexp_extract("header", r"(?i)(?:^|\r\n)Content-Length:[ \t]*([0-9]{1,18})[ \t]*(?:\r\n|$)", 1).cast("int")

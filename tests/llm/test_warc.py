@@ -2,7 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from quadra.llm import op1
+from quadra.llm import op1, warc
 from quadra.llm.warc import END, MAGIC, read_warc, write_warc
 from tests.llm.oracle import same
 
@@ -69,6 +69,27 @@ def test_chain_over_many_blocks(spark, tmp_path):
         assert seen[i].sha in (digest, hashlib.sha256(b"").hexdigest())
 
 
+def test_blocks_inside_one_compressed_file(spark, tmp_path, monkeypatch):
+    """A gzip file is one read, but the chain goes from block to block; records lie over several blocks."""
+    monkeypatch.setattr(warc, "BLOCK_BYTES", 1000)
+    rows = [(i, "u", (NESTED + str(i)) * (i % 40) + "p" * (i % 50), "", "") for i in range(300)]
+    path = str(tmp_path / "zip")
+    write_warc(_pages(spark, rows), path, files=1)
+    got = {int(r.record_id.split(":")[-1]): (r.record_type, bytes(r.payload)) for r in read_warc(spark, path).collect()}
+    first = {}
+    for i, _, h, _, _ in rows:
+        first.setdefault(h, i)
+    assert got == {i: ("response", h.encode()) if len(h) < 100 or first[h] == i else ("revisit", b"") for i, _, h, _, _ in rows}
+
+
+def test_files_are_rolled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    path = str(tmp_path / "rolled")
+    write_warc(_pages(spark, [(i, "u", f"{i} " * 500, "", "") for i in range(200)]), path)
+    assert len(list((tmp_path / "rolled").glob("part-*"))) >= 15
+    assert read_warc(spark, path).count() == 200
+
+
 def test_empty_table_and_null_ids(spark, tmp_path):
     path = str(tmp_path / "none")
     write_warc(_pages(spark, []), path)
