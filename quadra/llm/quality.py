@@ -10,9 +10,13 @@ The limit for function words is learned: by length class, the ``function_quantil
 never more than ``function_share`` of the distance of a text that has no function word at all.
 
 References come from the documents themselves: sums over the prose of each language that passes the base rules, one row per
-language (the languages are a fixed list, so that the table is as small for any corpus).
+language. Languages with known words are a fixed list. Any other language of enough prose (``least_documents``, and a
+share of 1 / MOST_LANGUAGES) has a reference for its characters only, which counts for its own documents; documents of a
+language without a reference are not judged. Documents without a language are judged by the fixed list.
 
-Null texts have no words and fail the base rules. Repeated rows are judged alike; other columns are left alone.
+Null texts have no words and fail the base rules; so do empty texts. Very long texts are measured whole. Repeated rows
+are judged alike. An empty table gives no rows. Columns of the input that have the name of an added one are
+replaced, so that :func:`measure` should get only the columns it needs, or others inside a struct; all else is left alone.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadra.llm.text import words
+from quadra.session import cut
 
 #: Frequent function words, by language.
 COMMON_WORDS = {
@@ -42,6 +47,8 @@ FUNCTION_WORDS = {
 }
 FUNCTION = list(dict.fromkeys(w for ws in FUNCTION_WORDS.values() for w in ws))
 CLASSES = ["upper", "digit", "stop", "symbol", "space", "wide", "other"]
+#: There cannot be more languages with a share of 1 / MOST_LANGUAGES of the prose.
+MOST_LANGUAGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -60,6 +67,7 @@ class Limits:
     least_chars: int = 300
     least_words: int = 100
     reference_symbols_percent: int = 5
+    least_documents: int = 50
     languages: list = field(default_factory=lambda: list(COMMON_WORDS))
 
 
@@ -104,12 +112,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "__digit": count("[0-9]"),
         "__stop": count("[.,;:!?]"),
         "__space": (F.char_length("__text") - F.col("word_chars")).cast("double"),
-        "__wide": (F.octet_length("__text") - F.char_length("__text")).cast("double"),
+        "__wide": count("[^\\x00-\\x7F]"),
         "__counts": F.array(*[(F.size("__hits") - F.size(F.array_remove("__hits", w))).cast("double") for w in COMMON]),
         "__function_counts": F.array(*[(F.size("__function") - F.size(F.array_remove("__function", w))).cast("double") for w in FUNCTION]),
     })
     rest = F.char_length("__text") - F.col("__upper") - F.col("__digit") - F.col("__stop") - F.col("n_symbols") - F.col("__space") - F.col("__wide")
-    char_hist = F.array("__upper", "__digit", "__stop", F.col("n_symbols").cast("double"), "__space", "__wide", F.greatest(F.lit(0.0), rest))
+    char_hist = F.array("__upper", "__digit", "__stop", F.col("n_symbols").cast("double"), "__space", "__wide", rest)
     with_rest = lambda counts, hits: F.concat(counts, F.array((F.col("n_words") - F.size(hits)).cast("double")))
     df = df.withColumns({"char_hist": char_hist, "word_hist": with_rest("__counts", "__hits"), "function_hist": with_rest("__function_counts", "__function")})
     return df.drop("__text", "__words", "__lines", "__windows", "__hits", "__function", "__upper", "__digit", "__stop", "__space", "__wide", "__counts", "__function_counts")
@@ -120,12 +128,13 @@ def base_failed(limits: Limits) -> Column:
 
 
 class References(dict):
-    """language -> (character, word, function-word histogram) as shares; and the limits of the function-word distance by
-    length class (see :func:`_length_class`)."""
+    """language -> (character, word, function-word histogram) as shares; the limits of the function-word distance by
+    length class (see :func:`_length_class`); and ``others``, a table (language, character histogram) of languages without
+    known words, at most MOST_LANGUAGES rows."""
 
-    def __init__(self, histograms: dict, function_limits: dict[int, float], function_cap: float):
+    def __init__(self, histograms: dict, function_limits: dict[int, float], function_cap: float, others: DataFrame | None = None):
         super().__init__(histograms)
-        self.function_limits, self.function_cap = function_limits, function_cap
+        self.function_limits, self.function_cap, self.others = function_limits, function_cap, others
 
 
 def _length_class(n: Column) -> Column:
@@ -137,18 +146,23 @@ def fit_references(measured: DataFrame, limits: Limits, lang: str = "lang") -> R
     """The histograms of each language that has documents, as shares, and the limits that follow from the prose itself.
     ``measured`` should be a stored table, since this and :func:`judge` read it again."""
     prose = 100 * F.col("n_symbols") <= limits.reference_symbols_percent * F.col("n_words")
-    good = measured.where(~base_failed(limits) & prose & F.col(lang).isin(limits.languages))
+    every = measured.where(~base_failed(limits) & prose & F.col(lang).isNotNull())
+    good = every.where(F.col(lang).isin(limits.languages))
     sums = lambda c, n: [F.sum(F.get(c, i)).alias(f"{c}_{i}") for i in range(n)]
     n, m, k = len(CLASSES), len(COMMON) + 1, len(FUNCTION) + 1
+    least = max(limits.least_documents, every.count() / MOST_LANGUAGES)
+    others = every.where(~F.col(lang).isin(limits.languages)).groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"), *sums("char_hist", n)).where(F.col("__n") >= least)
+    total = sum(F.col(f"char_hist_{i}") for i in range(n))
+    others = cut(others.select("__lang", F.array(*[F.col(f"char_hist_{i}") / total for i in range(n)]).alias("__own")))
     rows = good.groupBy(lang).agg(*sums("char_hist", n), *sums("word_hist", m), *sums("function_hist", k)).orderBy(lang).collect()  # a row a language
     share = lambda xs: [x / max(sum(xs), 1.0) for x in xs]
     found = {r[0]: (share(r[1 : 1 + n]), share(r[1 + n : 1 + n + m]), share(r[1 + n + m :])) for r in rows}
     if not found:
-        return References({}, {}, 1.0)
+        return References({}, {}, 1.0, others)
     own = good.where(F.col("n_words") >= limits.least_words).select(_length_class(F.col("n_words")).alias("k"), nearest("function_hist", found, 2).alias("d"))
     top = own.groupBy("k").agg(F.percentile_approx("d", limits.function_quantile, 10_000)).collect()  # a row a length class
     none = min(_distance_without_function_words(h[2][-1]) for h in found.values())
-    return References(found, {r[0]: r[1] for r in top}, limits.function_share * none)
+    return References(found, {r[0]: r[1] for r in top}, limits.function_share * none, others)
 
 
 def _distance_without_function_words(rest: float) -> float:
@@ -157,10 +171,10 @@ def _distance_without_function_words(rest: float) -> float:
     return math.sqrt(max(0.0, (-math.log2(m) + (1 - rest) + (rest * math.log2(rest / m) if rest else 0.0)) / 2))
 
 
-def js_distance(counts: Column, reference: list[float]) -> Column:
+def js_distance(counts: Column, reference: list[float] | Column) -> Column:
     """Jensen-Shannon distance of a histogram of counts from shares; null for an empty histogram."""
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-    q = F.array(*[F.lit(float(x)) for x in reference])
+    q = reference if isinstance(reference, Column) else F.array(*[F.lit(float(x)) for x in reference])
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
 
     def term(x, y):
@@ -176,7 +190,7 @@ def nearest(hist: str, references: dict, k: int) -> Column:
     return F.least(*[js_distance(F.col(hist), r[k]) for r in references.values()], F.lit(1.0)) if references else F.lit(0.0)
 
 
-def judge(measured: DataFrame, references: dict, limits: Limits = Limits()) -> DataFrame:
+def judge(measured: DataFrame, references: dict, limits: Limits = Limits(), lang: str = "lang") -> DataFrame:
     """Adds char_distance, word_distance and function_distance (to the nearest language), base_failed and kept."""
     df = measured.withColumns({
         "char_distance": nearest("char_hist", references, 0),
@@ -184,11 +198,20 @@ def judge(measured: DataFrame, references: dict, limits: Limits = Limits()) -> D
         "function_distance": nearest("function_hist", references, 2),
         "base_failed": base_failed(limits),
     })
+    listed = F.col(lang).isNull() | F.col(lang).isin(limits.languages)
+    judged = listed
+    others = getattr(references, "others", None)
+    if others is not None:
+        df = df.join(F.broadcast(others), F.col(lang) == F.col("__lang"), "left")
+        df = df.withColumn("char_distance", F.least("char_distance", F.when(F.col("__own").isNotNull(), js_distance(F.col("char_hist"), F.col("__own")))))
+        judged = listed | F.col("__own").isNotNull()
     chars = F.aggregate("char_hist", F.lit(0.0), lambda a, x: a + x)
-    far = ((chars >= limits.least_chars) & (F.col("char_distance") > limits.chars + limits.chars_noise / F.sqrt(chars))) | ((F.col("n_words") >= limits.least_words) & (F.col("word_distance") > limits.words))
+    long = F.col("n_words") >= limits.least_words
+    far = judged & (chars >= limits.least_chars) & (F.col("char_distance") > limits.chars + limits.chars_noise / F.sqrt(chars))
+    far = far | (listed & long & (F.col("word_distance") > limits.words))
     if isinstance(references, References) and references:
         limit, size = F.lit(references.function_cap), _length_class(F.col("n_words"))
         for k, d in references.function_limits.items():
             limit = F.when(size == k, min(d, references.function_cap)).otherwise(limit)
-        far = far | ((F.col("n_words") >= limits.least_words) & (F.col("function_distance") > limit))
-    return df.withColumn("kept", ~F.col("base_failed") & ~far)
+        far = far | (listed & long & (F.col("function_distance") > limit))
+    return df.withColumn("kept", ~F.col("base_failed") & ~far).drop("__lang", "__own")
