@@ -1,16 +1,24 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine with a block-max inverted index.
 
 Fitting takes a bounded sample of the labelled rows (``per_class`` of each label, the first by a hash of the key);
-the bound is a parameter, so that what is broadcast is bounded too. Terms are lower-case words and word beginnings;
-those that speak most for label 1 (z-score of the two proportions) make the vocabulary, and all other words of a text
-count as one more term, so that a stray term in a long text weighs little.
+the bound is a parameter, so that what is broadcast is bounded too. Terms are lower-case words and word beginnings. Every
+term of the sample that speaks for label 1 (in ``least_toxic`` examples of it, z-score of the two proportions at least
+``least_z``) has posting lists of its own, however many there are; all other words of a text count as one more term, so
+that a stray term in a long text weighs little.
 
-The index keeps the examples in blocks of BLOCK, and for each term and block the largest weight. A query's upper bound
-for a block is the product with these maxima; blocks are opened from the best bound on, until the next bound is below
-the k-th best cosine found. The result is the exact list of the k nearest (ties: the smaller key first).
+The index keeps the examples in blocks of BLOCK; a term's posting list names the examples that hold it, block by block, with
+the largest weight of each block. A query's upper bound for a block is the sum over its terms of these maxima; blocks are
+opened from the best bound on, until the next bound is below the k-th best cosine found. The result is the exact list
+of the k nearest (ties: the smaller key first).
 
 Votes are weighted by cosine and by how many labelled rows an example stands for, and calibrated by a logistic curve
-fitted to leave-one-out votes of the examples. The nearest examples are the evidence.
+fitted to leave-one-out votes of the examples. The nearest examples are the evidence. A labelled row of the sample that is
+scored finds itself among its neighbours, and votes.
+
+Null texts are empty texts. Texts without a term of the index, empty ones too, are all alike and have one score. Null keys
+are never learned from. Repeated rows are scored alike, and count once as examples. Very long texts are read whole. Without
+labels all scores are below 0.5; empty tables give no rows. Added columns are named by the caller, so that no column of the
+input is replaced.
 """
 
 from __future__ import annotations
@@ -21,8 +29,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quadra.llm.pretokens import hold
 from quadra.llm.text import pieces, small_batches
@@ -30,13 +40,12 @@ from quadra.session import stored
 
 BLOCK = 64
 PREFIXES = (4, 5, 6)
-CACHE = 120_000
+CACHE = 300_000
 
 
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 4000
-    terms: int = 768
     least_toxic: int = 4
     least_z: float = 4.0
     k: int = 15
@@ -54,8 +63,8 @@ def learnable(key: str = "doc_id"):
 def _terms_column(text):
     """Distinct terms of a text, for the statistics of the sample."""
     ws = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}]+"), lambda w: w != "")
-    starts = [F.transform(F.filter(ws, lambda w, n=n: F.char_length(w) > n), lambda w, n=n: F.concat(F.lit("^"), F.substring(w, 1, n))) for n in PREFIXES]
-    return F.array_distinct(F.concat(ws, *starts))
+    start = lambda n: F.transform(F.filter(ws, lambda w: F.char_length(w) > n), lambda w: F.concat(F.lit("^"), F.substring(w, 1, n)))
+    return F.array_distinct(F.concat(ws, *map(start, PREFIXES)))
 
 
 class Terms:
@@ -101,45 +110,62 @@ class Terms:
 
 
 class BlockMaxIndex:
-    """Exact nearest neighbours by cosine among unit vectors (examples x terms; the last term is in all of them)."""
+    """Exact nearest neighbours by cosine among sparse unit vectors (terms, weights); the last term is in all of them."""
 
     #: Blocks that are opened first; their k-th best cosine tells which others can be left closed.
     FIRST = 4
 
-    def __init__(self, vectors: np.ndarray, k: int):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, k: int):
         n, self.k = len(vectors), k
         # similar examples share blocks, so that bounds are tight: ordered by their strongest term besides the last
-        strongest = np.where(vectors[:, :-1].any(axis=1), vectors[:, :-1].argmax(axis=1), -1) if n and vectors.shape[1] > 1 else np.zeros(n, int)
+        strongest = np.array([t[w[:-1].argmax()] if len(t) > 1 else -1 for t, w in vectors], int)
         self.order = np.lexsort((np.arange(n), strongest))
-        self.postings = np.ascontiguousarray(vectors.T)  # a row a term
-        for row in self.postings:
-            row[:] = row[self.order]
-        starts = np.arange(0, n, BLOCK)
-        self.maxima = np.maximum.reduceat(self.postings, starts, axis=1) if n else np.zeros((vectors.shape[1], 0), np.float32)
-        self.opened = 0
-
-    def _cosines(self, blocks: np.ndarray, at: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        rows = rows[rows < self.postings.shape[1]]
+        place = np.empty(n, np.int64)
+        place[self.order] = np.arange(n)
+        size = [len(t) for t, _ in vectors]
+        term = np.concatenate([t for t, _ in vectors]) if n else np.empty(0, np.int64)
+        weight = np.concatenate([w for _, w in vectors]) if n else np.empty(0)
+        example = np.repeat(place, size)
+        by = np.lexsort((example, term))
+        term, self.example, self.weight = term[by], example[by], weight[by]
+        # one list for each term and block that holds it
+        block = self.example // BLOCK
+        first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if n else np.empty(0, np.int64)
+        self.begin = np.r_[first, len(term)]
+        self.block, self.maxima = block[first], np.maximum.reduceat(self.weight, first) if n else weight
+        self.lists = np.searchsorted(term[first], np.arange(terms + 1))
+        self.n, self.blocks, self.opened = n, -(-n // BLOCK), 0
+
+    def _cosines(self, blocks: np.ndarray, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         self.opened += len(blocks)
-        cos = np.zeros(len(rows))  # in double
-        for t, w in zip(at, q, strict=True):
-            cos += self.postings[t].take(rows) * float(w)
-        return self.order[rows], np.round(cos, 9)
-
-    def nearest(self, query: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(example numbers, cosines), best first, ties by number; ``skip`` is left out."""
-        at = np.flatnonzero(query)
-        q = query[at]
-        bounds = q @ self.maxima[at]
+        wanted = np.zeros(self.blocks, bool)
+        wanted[blocks] = True
+        cos = np.zeros(self.n)
+        for t, x in zip(terms, q, strict=True):
+            a, z = self.lists[t], self.lists[t + 1]
+            use = np.flatnonzero(wanted[self.block[a:z]]) + a
+            lo = self.begin[use]
+            size = self.begin[use + 1] - lo
+            at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+            cos[self.example[at]] += self.weight[at] * x
+        rows = (np.sort(blocks)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        rows = rows[rows < self.n]
+        return self.order[rows], np.round(cos[rows], 9)
+
+    def nearest(self, terms: np.ndarray, q: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """(example numbers, cosines) for a sparse query, best first, ties by number; ``skip`` is left out."""
+        bounds = np.zeros(self.blocks)
+        for t, x in zip(terms, q, strict=True):
+            a, z = self.lists[t], self.lists[t + 1]
+            bounds[self.block[a:z]] += self.maxima[a:z] * x
         best = np.argpartition(-bounds, self.FIRST)[: self.FIRST] if len(bounds) > self.FIRST else np.arange(len(bounds))
-        ids, cos = self._cosines(best, at, q)
+        ids, cos = self._cosines(best, terms, q)
         known = cos[ids != skip]
         kth = np.partition(known, len(known) - self.k)[len(known) - self.k] if len(known) >= self.k else -1.0
-        more = bounds >= kth - 1e-5  # bounds are sums in single precision
+        more = bounds >= kth - 1e-8
         more[best] = False
         if more.any():
-            more_ids, more_cos = self._cosines(np.flatnonzero(more), at, q)
+            more_ids, more_cos = self._cosines(np.flatnonzero(more), terms, q)
             ids, cos = np.r_[ids, more_ids], np.r_[cos, more_cos]
         keep = (cos >= kth) & (ids != skip)
         ids, cos = ids[keep], cos[keep]
@@ -161,18 +187,14 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
 
-    def vector(self, tf, n: int) -> np.ndarray:
-        v = np.zeros(len(self.vocabulary) + 1, np.float32)
-        for t, times in tf:
-            v[t] = (1 + math.log(times)) * self.idf[t]
-        v[-1] = self.settings.rest_weight * (1 + math.log1p(n))
-        return v / np.linalg.norm(v)
+    def vector(self, tf, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of a text by its counts; the last term stands for all words."""
+        terms = np.array([*(t for t, _ in tf), len(self.vocabulary)], np.int64)
+        w = np.array([*((1 + math.log(times)) * self.idf[t] for t, times in tf), self.settings.rest_weight * (1 + math.log1p(n))])
+        return terms, w / np.linalg.norm(w)
 
     def index(self) -> BlockMaxIndex:
-        rows = np.zeros((len(self.counts), len(self.vocabulary) + 1), np.float32)
-        for i, (tf, n) in enumerate(self.counts):
-            rows[i] = self.vector(tf, n)
-        return BlockMaxIndex(rows, self.settings.k)
+        return BlockMaxIndex([self.vector(tf, n) for tf, n in self.counts], len(self.vocabulary) + 1, self.settings.k)
 
     def vote(self, ids: np.ndarray, cos: np.ndarray) -> float:
         w = cos * self.weights[ids]
@@ -199,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key
     p = (F.col("a") + F.col("b")) / max(n1 + n0, 1)
     z = (F.col("a") / max(n1, 1) - F.col("b") / max(n0, 1)) / F.sqrt(p * (1 - p) * (1 / max(n1, 1) + 1 / max(n0, 1)) + 1e-12)
     top = stats.withColumn("z", z).where((F.col("a") >= settings.least_toxic) & (F.col("z") >= settings.least_z))
-    top = top.orderBy(F.desc("z"), "term").limit(settings.terms).collect()
+    top = top.orderBy(F.desc("z"), "term").collect()  # terms of the sample, which Settings bounds
     vocabulary = [r["term"] for r in top]
     df = np.array([r["a"] + r["b"] for r in top])
     idf = np.log((1 + n1 + n0) / (1 + df)) + 1 if len(top) else np.empty(0)
@@ -231,7 +253,7 @@ def _calibrate(model: Model) -> None:
         # examples without any term share one query; leaving out one of their many equal neighbours changes nothing
         shared = (tf, n) if tf else ()
         if tf or shared not in known:
-            known[shared] = model.vote(*index.nearest(model.vector(tf, n), i if tf else -1))
+            known[shared] = model.vote(*index.nearest(*model.vector(tf, n), i if tf else -1))
         votes[i] = known[shared]
     x = np.c_[votes, np.ones(len(votes))]
     beta = np.array([1.0, 0.0])
@@ -249,34 +271,39 @@ def _calibrate(model: Model) -> None:
         model.slope, model.shift = 20.0, -10.0
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """(key, [columns], score, evidence): every row is scored where it is read; the broadcast model is bounded.
-    evidence: the three nearest examples as (key, cosine, label). Null texts are empty texts; key and columns only pass
-    through."""
+def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", columns: list[str] | None = None, into: tuple[str, str] = ("score", "evidence")) -> DataFrame:
+    """(key, [columns], score, evidence), the last two named by ``into``: every row is scored where it is read; the broadcast
+    model is bounded. evidence: the three nearest examples as (key, cosine, label). Null texts are empty texts; key and
+    columns only pass through. Labelled rows of the sample are scored with themselves among the examples."""
     columns = [key] if columns is None else columns
+    if set(into) & set(columns):
+        raise ValueError(f"columns have the names of added ones: {sorted(set(into) & set(columns))}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     types = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in columns] + ["score double", f"evidence array<struct<key:{types[key]},cosine:double,label:int>>"])
+    schema = ", ".join([f"`{c}` {types[c]}" for c in columns] + [f"`{into[0]}` double", f"`{into[1]}` array<struct<key:{types[key]},cosine:double,label:int>>"])
+
+    asked = list(dict.fromkeys([*columns, text]))
+    near_type = pa.list_(pa.struct([("key", to_arrow_type(docs.schema[key].dataType)), ("cosine", pa.float64()), ("label", pa.int32())]))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("toxicity")
         m = shared.value
         index, terms, known = m.index(), Terms(m.vocabulary), {}
-        for batch in (whole.iloc[a : a + 500] for whole in batches for a in range(0, len(whole), 500)):
+        for batch in (whole.slice(a, 500) for whole in batches for a in range(0, whole.num_rows, 500)):
             scores, evidence = [], []
-            for t in batch[text]:
-                tf, n = terms.count(t if isinstance(t, str) else None)
+            for t in batch.column(asked.index(text)).to_pylist():
+                tf, n = terms.count(t)
                 query = (tf, n) if tf else ()  # texts without a term are all alike
                 if query not in known:
                     if len(known) > 5_000:
                         known.clear()
-                    ids, cos = index.nearest(m.vector(tf, n))
-                    known[query] = m.calibrated(m.vote(ids, cos)), [(m.keys[i].item(), float(c), int(m.labels[i])) for i, c in zip(ids[:3], cos[:3])]
+                    ids, cos = index.nearest(*m.vector(tf, n))
+                    near = [{"key": m.keys[i].item(), "cosine": float(c), "label": int(m.labels[i])} for i, c in zip(ids[:3], cos[:3], strict=True)]
+                    known[query] = m.calibrated(m.vote(ids, cos)), near
                 s, near = known[query]
                 scores.append(s)
-                evidence.append([dict(zip(("key", "cosine", "label"), e)) for e in near])
-            out = batch[columns].copy()
-            out["score"], out["evidence"] = scores, evidence
-            yield out
+                evidence.append(near)
+            made = [pa.array(scores, pa.float64()), pa.array(evidence, near_type)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(columns))] + made, names=[*columns, *into])
 
-    return small_batches(docs).select(*dict.fromkeys([*columns, text])).mapInPandas(run, schema)
+    return small_batches(docs).select(*asked).mapInArrow(run, schema)

@@ -1,7 +1,11 @@
+import collections
+import math
 import zlib
 
 import numpy as np
 import pytest
+import regex
+import xxhash
 
 from quadra.llm import op9
 from quadra.llm.toxicity import BlockMaxIndex, Settings, fit, score
@@ -32,20 +36,93 @@ def test_held_out_accuracy(spark, scored):
     assert abs(both.score.mean() - both.toxic.mean()) < 0.04
 
 
+def sparse(v):
+    at = np.flatnonzero(v)
+    return at, v[at]
+
+
 def test_index_is_exact():
     rng = np.random.default_rng(3)
     v = rng.random((700, 40)) * (rng.random((700, 40)) < 0.1)
     v[:, -1] += 0.3
     v[100:110] = v[5]
     v /= np.linalg.norm(v, axis=1, keepdims=True)
-    index = BlockMaxIndex(v, 15)
+    index = BlockMaxIndex([sparse(x) for x in v], 40, 15)
+    assert len(index.example) == np.count_nonzero(v)  # posting lists hold what is there and nothing else
     for i in range(0, 700, 7):
-        ids, cos = index.nearest(v[i], i)
+        ids, cos = index.nearest(*sparse(v[i]), i)
         exact = np.round(v @ v[i], 9)
         exact[i] = -1
         want = np.lexsort((np.arange(700), -exact))[:15]
         assert ids.tolist() == want.tolist() and np.allclose(cos, exact[want])
-    assert index.opened < 100 * len(index.maxima.T)  # some blocks are never opened
+    assert index.opened < 100 * index.blocks  # some blocks are never opened
+
+
+def terms_of(text):
+    """Distinct terms, and their counts."""
+    ws = regex.findall(r"\p{L}+", (text or "").lower())
+    return collections.Counter(t for w in ws for t in (w, *("^" + w[:n] for n in (4, 5, 6) if len(w) > n))), len(ws)
+
+
+def brute(docs, labels):
+    """All scores once more: dense vectors, all cosines, a full sort."""
+    text = {}
+    for i, t in docs:
+        text[i] = min(text.get(i, t or ""), t or "")
+    learn = {i: y for i, y in labels if y is not None and zlib.crc32(str(i).encode()) % 5 != 0}
+    totals = collections.Counter(learn.values())
+    order = lambda y: sorted((i for i in learn if learn[i] == y), key=lambda i: (np.uint64(xxhash.xxh64_intdigest(int(i).to_bytes(8, "little"), seed=42)).view(np.int64), i))
+    sample = sorted(i for y in (0, 1) for i in order(y)[: Settings.per_class] if i in text)
+    size = collections.Counter(learn[i] for i in sample)
+    held = [terms_of(text[i]) for i in sample]
+    a, b = collections.Counter(), collections.Counter()
+    for i, (tf, _) in zip(sample, held):
+        (a if learn[i] else b).update(tf.keys())
+    n1, n0 = size[1], size[0]
+
+    def z(t):
+        p = (a[t] + b[t]) / (n1 + n0)
+        return (a[t] / n1 - b[t] / n0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+
+    vocabulary = [t for t in a if a[t] >= 4 and z(t) >= 4]
+    idf = {t: math.log((1 + n1 + n0) / (1 + a[t] + b[t])) + 1 for t in vocabulary}
+
+    def vector(tf, n):
+        v = np.array([(1 + math.log(tf[t])) * idf[t] if tf[t] else 0.0 for t in vocabulary] + [1 + math.log1p(n)])
+        return v / np.linalg.norm(v)
+
+    examples = np.array([vector(*h) for h in held])
+    y = np.array([learn[i] for i in sample], float)
+    weight = np.array([totals[learn[i]] / size[learn[i]] for i in sample])
+
+    def vote(v, skip=None):
+        cos = np.round(examples @ v, 9)
+        if skip is not None:
+            cos[skip] = -1
+        near = np.lexsort((np.arange(len(cos)), -cos))[:15]
+        w = cos[near] * weight[near]
+        return (w * y[near]).sum() / w.sum()
+
+    hit = lambda tf: any(tf[t] for t in vocabulary)
+    votes = np.array([vote(examples[k], k if hit(held[k][0]) else None) for k in range(len(sample))])
+    x, beta = np.c_[votes, np.ones(len(votes))], np.array([1.0, 0.0])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        grad = x.T @ (weight * (y - p)) - 1e-2 * beta
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
+        beta = beta + np.clip(np.linalg.solve(hess, grad), -5, 5)
+    return {i: 1 / (1 + math.exp(-max(-30.0, min(30.0, beta[0] * vote(vector(*terms_of(t))) + beta[1])))) for i, t in docs}
+
+
+def test_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    labels = [tuple(r) for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic").collect()]
+    want = brute(docs, labels)
+    got = {r.doc_id: r.score for r in op9.op9_toxicity(spark, sf).collect()}
+    assert got.keys() == want.keys()
+    off = [i for i in got if abs(got[i] - want[i]) > 1e-5]
+    assert not off, (len(off), got[off[0]], want[off[0]])
 
 
 def test_edges(spark):
@@ -59,3 +136,13 @@ def test_edges(spark):
     got = {r.doc_id: r.score for r in score(many, fit(many, labels, Settings(per_class=30))).collect()}
     assert all((got[i] >= 0.5) == (i >= 40) for i in range(80))
     assert score(many.limit(0), fit(many, labels)).count() == 0
+
+
+def test_columns_pass_as_they_are(spark):
+    big = (1 << 60) + 1
+    df = spark.createDataFrame([(big, "a text", 0.5, ["x"]), (None, None, None, None)], "doc_id long, text string, score double, evidence array<string>")
+    model = fit(df, spark.createDataFrame([], "doc_id long, toxic int"))
+    with pytest.raises(ValueError):
+        score(df, model, columns=df.columns)
+    got = score(df, model, columns=df.columns, into=("s", "e")).collect()
+    assert sorted((tuple(r)[:4] for r in got), key=repr) == sorted(map(tuple, df.collect()), key=repr)
