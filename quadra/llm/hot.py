@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 HOT, LEAST = 10_000, 256
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, n: str, total: int, how: str = "inner") -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str | list[str], n: str, total: int, how: str = "inner") -> DataFrame:
     """``rows`` with the columns of ``table`` (unique ``key``; ``n``: how many of ``rows`` have it, as far as is known;
     ``total``: the sum of n). ``how`` is inner or left.
 
@@ -19,5 +19,5 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, n: str, total: int, how:
     least = max(total / HOT, LEAST)
     hot = F.broadcast(table.where(F.col(n) >= least))
     cold = table.where(F.col(n) < least)
-    rest = rows.join(hot.select(key), key, "left_anti")
+    rest = rows.join(hot.select(*([key] if isinstance(key, str) else key)), key, "left_anti")
     return rows.join(hot, key).unionByName(rest.join(cold, key, how))

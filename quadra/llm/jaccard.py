@@ -12,10 +12,14 @@
    links, again no pair list.
 5. Components of the verified links are the classes.
 
-Large buckets and families are dealt out in parts of at most BLOCK nodes, one task for each pair of parts.
+Large buckets and families are dealt out in parts of about BLOCK nodes, one group for each pair of parts; families also by
+n-grams, so that a part holds about GRAMS of them. Nodes, roots and band hashes with very many rows are looked up by
+:mod:`quadra.llm.hot`. Sets hold 64-bit hashes of n-grams; two different n-grams of a pair share one with a chance of
+2^-64.
 
 A text of fewer than ``n`` words is one n-gram of all its words. Texts without words (also null) have no n-grams, no
-links, and each is a class of its own.
+links, and each is a class of its own. Very long texts are read whole. Empty tables give no rows; columns besides key and
+text are not read and clash with nothing.
 """
 
 from __future__ import annotations
@@ -29,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadra.llm.components import connected
+from quadra.llm.hot import lookup
 from quadra.llm.pretokens import hold
 from quadra.llm.text import pieces, small_batches
 from quadra.session import cut, stored
 
-BANDS, ROWS, BLOCK = 30, 5, 1024
+BANDS, ROWS, BLOCK, GRAMS = 30, 5, 1024, 2_000_000
 CACHE = 200_000
 _words: dict[str, int] = {}
 
@@ -117,13 +122,13 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
     return made.dropDuplicates(["node"])
 
 
-def _parts(rows: DataFrame, key: list[str], size: str) -> DataFrame:
-    """Deals groups of more than BLOCK rows out: adds i <= j, and for rows in several pairs of parts a row for each;
-    ``part`` is the row's own part."""
-    k = F.ceil(F.col(size) / BLOCK).cast("int")
+def _parts(rows: DataFrame, key: list[str], parts) -> DataFrame:
+    """Deals groups out in ``parts`` parts: adds i <= j, and for rows in several pairs of parts a row for each; ``part`` is
+    the row's own part."""
+    k = F.greatest(F.ceil(parts), F.lit(1)).cast("int")
     rows = rows.withColumn("__k", k).withColumn("part", F.pmod(F.xxhash64("node"), F.col("__k")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("__k") - 1), lambda o: F.struct(F.least(o, F.col("part")).alias("i"), F.greatest(o, F.col("part")).alias("j")))
-    return rows.withColumn("__p", F.explode(pairs)).withColumns({"i": F.col("__p.i"), "j": F.col("__p.j")}).drop("__p", "__k", size)
+    return rows.withColumn("__p", F.explode(pairs)).withColumns({"i": F.col("__p.i"), "j": F.col("__p.j")}).drop("__p", "__k")
 
 
 def _runs(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
@@ -177,8 +182,8 @@ def candidate_edges(signatures: DataFrame, screen: float) -> DataFrame:
     """Distinct (a, b): a spanning forest of the screened pairs of each bucket."""
     bands = signatures.select("node", F.posexplode("bands").alias("band", "hash"))
     counts = bands.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = bands.join(counts, ["band", "hash"])
-    rows = _parts(members.join(signatures.select("node", "sig"), "node"), ["band", "hash"], "n")
+    members = lookup(bands, counts, ["band", "hash"], "n", BANDS * signatures.count())
+    rows = _parts(members.join(signatures.select("node", "sig"), "node"), ["band", "hash"], F.col("n") / BLOCK)
     key = ["band", "hash", "i", "j"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,10 +239,13 @@ def verified(texts: DataFrame, n: int, threshold: float) -> DataFrame:
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.drop(columns="__t").assign(grams=[np.unique(ngrams(t, n)).tobytes() for t in batch["__t"]])
+            sets = [np.unique(ngrams(t, n)) for t in batch["__t"]]
+            yield batch.drop(columns="__t").assign(size=[len(g) for g in sets], grams=[g.tobytes() for g in sets])
 
-    made = texts.mapInPandas(grams, "family binary, members long, node binary, weight long, grams binary")
-    rows = _parts(made, ["family"], "members")
+    made = stored(texts.mapInPandas(grams, "family binary, members long, node binary, weight long, size long, grams binary"), "grams")
+    total = made.groupBy("family").agg(F.sum("size").alias("all"), F.first("members").alias("members"))
+    rows = lookup(made.drop("members"), total, "family", "members", made.count())
+    rows = _parts(rows, ["family"], F.greatest(F.col("members") / BLOCK, F.col("all") / GRAMS))
     key = ["family", "i", "j"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,22 +286,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     Repeated rows count as documents of their own."""
     rows = docs.select(F.col(key).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__t")).withColumn("node", _node(F.col("__t")))
     blank = ~F.col("__t").rlike("[^ \\t-\\r]")
-    nodes = rows.groupBy("node").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min(blank).alias("blank"))
+    nodes = stored(rows.groupBy("node").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min(blank).alias("blank")), "nodes")
     signatures = stored(_signatures(rows, n), "signatures")
     families = connected(candidate_edges(signatures, screen))
     members = families.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    families = families.join(members, "root").select("node", F.col("root").alias("family"), "members")
-    # one text for each node of a family: any row will do, since their texts are equal
-    wanted = families.join(nodes.select("node", "weight", "rep"), "node")
-    texts = rows.join(wanted, "node").where(F.col("__id").eqNullSafe(F.col("rep"))).dropDuplicates(["node"])
+    families = lookup(families, members, "root", "members", families.count()).select("node", F.col("root").alias("family"), "members")
+    # one text for each node of a family, that of its smallest key: by node and key, since one text may have very many rows
+    wanted = families.join(nodes.select("node", "weight", "rep"), "node").withColumnsRenamed({"node": "__node", "rep": "__rep"})
+    texts = rows.join(wanted, (F.col("node") == F.col("__node")) & F.col("__id").eqNullSafe(F.col("__rep"))).dropDuplicates(["node"])
     checked = stored(verified(texts.select("family", "members", "node", "weight", "__t"), n, threshold), "links")
     classes = connected(checked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.join(links, "node", "left").join(classes, "node", "left").select("node", "rep", "weight", "blank", "links", F.coalesce("root", "node").alias("root"))
     known = cut(known)
-    tops = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    known = known.join(tops, "root")
-    out = rows.select("__id", "node").join(known, "node")
+    tops = known.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    known = cut(lookup(known, cut(tops), "root", "n", known.count()))
+    out = lookup(rows.select("__id", "node"), known.drop("n"), "node", "weight", docs.count())
     copies = F.when(F.col("blank"), F.lit(0)).otherwise(F.col("weight") - 1)
     return out.select(
         F.col("__id").alias(key),
