@@ -78,3 +78,29 @@ def test_packing_of_what_is_left(steps):
 def test_run_gives_the_same(spark, steps):
     key = lambda df: sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in df.collect())
     assert key(corpus_pipeline.run(spark, SF)) == key(steps[5])
+
+
+def test_columns_with_clashing_names(spark):
+    """The values of all columns come out as they went in, whatever the columns are called."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 200")
+    names = ["score", "evidence", "pii", "n_words", "kept", "__first", "__n", "first_id", "node", "weight", "toxicity_score", "document", "char_hist", "class_id"]
+    more = docs.select("*", *[docs.doc_id.cast("string").alias(n) for n in names])
+    columns = more.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        more = corpus_pipeline.stored(stage(spark, more, SF), name)
+        assert more.columns == columns
+        rows = more.collect()
+        assert rows and all(r[n] == str(r.doc_id) for r in rows for n in names), name
+    packing_tests.check(corpus_pipeline.STAGES[-1][1](spark, more, SF).collect(), [(r.doc_id, r.text) for r in rows])
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    odd = spark.createDataFrame([(None, None, None, None, None), (-1, "", "en", "s", 0), (-1, None, "en", "s", None)], docs.schema)
+    mixed = docs.unionByName(docs.where("doc_id < 5")).unionByName(odd)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        done = stage(spark, mixed, SF)
+        assert done.count() > 0, name
+    once = corpus_pipeline.near_duplicate(spark, mixed, SF)
+    assert once.where("doc_id is not null").count() == once.where("doc_id is not null").select("doc_id", "text").distinct().count()
