@@ -1,7 +1,12 @@
 """The corpus pipeline: toxicity, quality rules, near duplicates, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all documents that its predecessor kept, and returns a DataFrame that is
-written as Parquet and read again as the next one's docs. All but the last return the columns of ``documents``.
+written as Parquet and read again as the next one's docs. All but the last return the columns of ``documents``, whatever
+their names: working columns get names that the documents do not have, or the documents travel inside a struct.
+
+Null and empty texts are clean for toxicity and have no personal data; they fail the quality rules. Null keys and repeated
+rows: of equal rows one stays at near duplicates; rows with a null key stay until then and are one class only if they
+are alike. Empty tables stay empty. Very long texts are worked on whole.
 """
 
 from __future__ import annotations
@@ -18,30 +23,46 @@ from quadra.llm.toxicity import fit, score
 from quadra.session import stored, table
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to differ from all columns."""
+    out, taken = [], {c.lower() for c in docs.columns}
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.5 or more go."""
+    into = _free(docs, "toxicity_score", "toxicity_evidence")
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model, columns=docs.columns).where("score < 0.5").select(*docs.columns)
+    return score(docs, model, columns=docs.columns, into=tuple(into)).where(F.col(into[0]) < 0.5).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or diverge from their language go."""
-    measured = stored(measure(docs), "measured")
-    return judge(measured, fit_references(measured, Limits()), Limits()).where("kept").select(*docs.columns)
+    packed = docs.select(F.struct(*docs.columns).alias("document"), F.col("lang").alias("lang"), F.col("text").alias("text"))
+    measured = stored(measure(packed).drop("text"), "measured")
+    return judge(measured, fit_references(measured, Limits()), Limits()).where("kept").select("document.*")
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest doc_id stays; of repeated rows, one."""
-    first = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    once = F.row_number().over(W.partitionBy("doc_id", "text").orderBy("doc_id"))
-    return kept.withColumn("__n", once).where("__n = 1").select(*docs.columns)
+    first, n, digest = _free(docs, "first_id", "row_of_id", "digest_of_text")
+    classes = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(first)).distinct()
+    kept = docs.join(classes, F.col("doc_id").eqNullSafe(F.col(first)), "left_semi")
+    # rows of one key and text; a null key may have very many texts
+    once = F.row_number().over(W.partitionBy("doc_id", digest).orderBy("doc_id"))
+    return kept.withColumn(digest, F.sha2(F.col("text"), 256)).withColumn(n, once).where(F.col(n) == 1).select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind, and n_chars is counted again."""
-    found = find_pii(docs)
-    clean = found.withColumn("text", F.when(F.col("text").isNotNull(), redact(F.col("text"), F.col("pii"))))
+    into = _free(docs, "pii")[0]
+    found = find_pii(docs, into=into)
+    clean = found.withColumn("text", F.when(F.col("text").isNotNull(), redact(F.col("text"), F.col(into))))
     return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
