@@ -4,6 +4,7 @@ import re
 from quadra.llm import jaccard, op6
 from quadra.llm.components import connected
 from quadra.llm.jaccard import near_duplicates
+from tests.llm.oracle import same as sql
 
 
 def brute(docs):
@@ -52,6 +53,11 @@ def test_query_against_brute_force(spark):
     same(op6.op6_ngram_jaccard(spark, sf), docs)
 
 
+def test_query_against_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    sql(op6.op6_ngram_jaccard(spark, sf), op6.SQL["op6_ngram_jaccard"], sf)
+
+
 def family(seed, size, words=120, edits=3):
     rng = random.Random(seed)
     base = [f"w{rng.randint(0, 5000)}" for _ in range(words)]

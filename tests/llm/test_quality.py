@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quadra.llm import op3
 from quadra.llm.quality import COMMON, COMMON_WORDS, FUNCTION, Limits, fit_references, judge, measure
 from quadra.session import stored
+from tests.llm.oracle import same
 
 
 def brute(text):
@@ -81,7 +82,7 @@ def test_query_against_brute_force(spark, docs):
     for d in docs:
         r, chars, (dc, dw, df) = got[d.doc_id], len(d.text or ""), far[d.doc_id]
         if chars:
-            assert abs(r.char_distance - dc) < 1e-9
+            assert abs(r.char_distance - dc) < 1e-6
         long = r.n_words >= limits.least_words
         bad = (chars >= limits.least_chars and dc > limits.chars + limits.chars_noise / math.sqrt(chars)) or (long and dw > limits.words) or (long and df > limit[size[d.doc_id]] + 1e-9)
         assert r.kept == (not r.base_failed and not bad)
@@ -105,6 +106,11 @@ def test_other_languages(spark):
     assert all("__own" not in r.asDict() for r in got.values())
 
 
+def test_query_against_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    same(op3.op3_quality(spark, sf), op3.SQL["op3_quality"], sf)
+
+
 def test_good_documents_stay(spark):
     sf = "/root/testdata/sf0.1"
     rows = op3.op3_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed").select("kept", "quality").collect()
