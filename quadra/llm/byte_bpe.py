@@ -7,6 +7,9 @@ first; each pre-token is encoded on its own, and a pre-token that is a vocabular
 ids up in the inverse mapping. No model is trained, and the vocabulary is read from its file on each executor.
 
 Tasks keep encoded pre-tokens, see :mod:`quadra.llm.pretokens`.
+
+Null texts are empty texts, without ids. Null keys keep their row, repeated rows are encoded each, very long texts are encoded
+whole, a pre-token at a time. Empty tables give no rows; columns besides key and text are not read and clash with nothing.
 """
 
 from __future__ import annotations

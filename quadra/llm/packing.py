@@ -9,6 +9,9 @@ The histogram and the plan are bounded by the window (window/width classes), wha
 on the driver; which piece goes where is decided on the executors: pieces get a number inside their class (counted in
 salted parts, since one length may be very common), and the plan says for each range of numbers which combination,
 place and sequence it is.
+
+A null or empty text is its end token alone. Null keys keep their pieces; repeated rows are packed each. Very long texts fill as many
+windows as they need. Empty tables give no rows; columns besides key and text are not read and clash with nothing.
 """
 
 from __future__ import annotations

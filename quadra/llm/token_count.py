@@ -10,6 +10,9 @@ shape of a frequency list. Nothing is trained.
 
 Each task keeps its trie; it starts anew at ``NODES`` nodes, which costs time and changes no result. Texts are counted
 where they are read, and nothing is shuffled.
+
+Null, empty and blank texts have no tokens; null keys keep their row. Repeated rows are counted each. Very long texts are counted
+whole. Empty tables give no rows; columns besides key and text are not read and clash with nothing.
 """
 
 from __future__ import annotations
