@@ -46,6 +46,9 @@ FUNCTION_WORDS = {
     "es": "el los las una por con para y de la que en se del un no su al es lo como más o pero sus le ha este sin sobre".split(),
 }
 FUNCTION = list(dict.fromkeys(w for ws in FUNCTION_WORDS.values() for w in ws))
+#: What stands between words without the punctuation at their ends. It starts where no punctuation precedes, so that a run of it
+#: is looked at once.
+_BETWEEN = r"(?<![.,;:!?])(?:[.,;:!?]*+[ \t-\r]++|[.,;:!?]++\z)"
 CLASSES = ["upper", "digit", "stop", "symbol", "space", "wide", "other"]
 #: There cannot be more languages with a share of 1 / MOST_LANGUAGES of the prose.
 MOST_LANGUAGES = 10_000
@@ -89,6 +92,13 @@ def _covered(h: Column) -> Column:
     return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(F.get(F.transform(F.array(ordered), places), 0))
 
 
+def _times(found: Column, names: list[str]) -> Column:
+    """How often each of the names is in an array of them. The array is bound once; names that are not in it cost a look only."""
+    each = lambda b: lambda w: F.when(F.array_contains(b["kinds"], w), F.size(b["all"]) - F.size(F.array_remove(b["all"], w))).otherwise(0).cast("double")
+    both = F.transform(F.array(found), lambda f: F.struct(f.alias("all"), F.array_distinct(f).alias("kinds")))
+    return F.get(F.transform(both, lambda b: F.transform(F.array(*map(F.lit, names)), each(b))), 0)
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), and the histograms ``char_hist``,
     ``word_hist`` and ``function_hist`` (array of double, counts)."""
@@ -100,7 +110,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "__lines": lines,
         "__windows": _repeated(F.col("__words"), F.col("n_words").cast("int")),
         "__hits": F.filter("__words", lambda x: x.isin(COMMON)),
-        "__function": F.filter(F.split(F.regexp_replace(F.lower("__text"), "[.,;:!?]+(?=[ \\t-\\r]|$)", ""), "[ \\t-\\r]+"), lambda x: x.isin(FUNCTION)),
+        "__function": F.filter(F.split(F.lower("__text"), _BETWEEN), lambda x: x.isin(FUNCTION)),
         "word_chars": F.char_length(F.regexp_replace("__text", "[ \\t-\\r]+", "")).cast("long"),
         "n_symbols": F.regexp_count("__text", F.lit("[#*$%&|<>]")).cast("long"),
     })
@@ -113,8 +123,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "__stop": count("[.,;:!?]"),
         "__space": (F.char_length("__text") - F.col("word_chars")).cast("double"),
         "__wide": count("[^\\x00-\\x7F]"),
-        "__counts": F.array(*[(F.size("__hits") - F.size(F.array_remove("__hits", w))).cast("double") for w in COMMON]),
-        "__function_counts": F.array(*[(F.size("__function") - F.size(F.array_remove("__function", w))).cast("double") for w in FUNCTION]),
+        "__counts": _times(F.col("__hits"), COMMON),
+        "__function_counts": _times(F.col("__function"), FUNCTION),
     })
     rest = F.char_length("__text") - F.col("__upper") - F.col("__digit") - F.col("__stop") - F.col("n_symbols") - F.col("__space") - F.col("__wide")
     char_hist = F.array("__upper", "__digit", "__stop", F.col("n_symbols").cast("double"), "__space", "__wide", rest)
@@ -171,23 +181,33 @@ def _distance_without_function_words(rest: float) -> float:
     return math.sqrt(max(0.0, (-math.log2(m) + (1 - rest) + (rest * math.log2(rest / m) if rest else 0.0)) / 2))
 
 
-def js_distance(counts: Column, reference: list[float] | Column) -> Column:
-    """Jensen-Shannon distance of a histogram of counts from shares; null for an empty histogram."""
+def _distances(counts: Column, references: list[list[float] | Column]) -> Column:
+    """The smallest Jensen-Shannon distance of a histogram of counts from several shares; null for an empty histogram. The
+    histogram's own shares are computed once, not once a bin or reference."""
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-    q = reference if isinstance(reference, Column) else F.array(*[F.lit(float(x)) for x in reference])
+    shares = F.get(F.transform(F.array(total), lambda t: F.transform(counts, lambda x: x / t)), 0)
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
 
-    def term(x, y):
-        p = x / total
-        m = (p + y) / 2
-        return (part(p, m) + part(y, m)) / 2
+    def term(p, y):
+        # a bin that the text does not have gives half of the reference's share
+        return F.when(p > 0, (part(p, (p + y) / 2) + part(y, (p + y) / 2)) / 2).otherwise(y / 2)
+
+    def distance(ps, reference):
+        q = reference if isinstance(reference, Column) else F.array(*[F.lit(float(x)) for x in reference])
+        return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(ps, q, term), F.lit(0.0), lambda a, x: a + x)))
 
-    return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(counts, q, term), F.lit(0.0), lambda a, x: a + x))))
+    every = F.transform(F.array(shares), lambda ps: F.array_min(F.array(*[distance(ps, r) for r in references])))
+    return F.when(total > 0, F.get(every, 0))
+
+
+def js_distance(counts: Column, reference: list[float] | Column) -> Column:
+    """Jensen-Shannon distance of a histogram of counts from shares; null for an empty histogram."""
+    return _distances(counts, [reference])
 
 
 def nearest(hist: str, references: dict, k: int) -> Column:
-    """Distance of a histogram from the nearest language, by the references' ``k``-th histogram."""
-    return F.least(*[js_distance(F.col(hist), r[k]) for r in references.values()], F.lit(1.0)) if references else F.lit(0.0)
+    """Distance of a histogram from the nearest language, by the references' ``k``-th histogram; 1 for an empty one."""
+    return F.coalesce(_distances(F.col(hist), [r[k] for r in references.values()]), F.lit(1.0)) if references else F.lit(0.0)
 
 
 def judge(measured: DataFrame, references: dict, limits: Limits = Limits(), lang: str = "lang") -> DataFrame:
