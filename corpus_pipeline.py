@@ -5,8 +5,8 @@ written as Parquet and read again as the next one's docs. All but the last retur
 their names: working columns get names that the documents do not have, or the documents travel inside a struct.
 
 Null and empty texts are clean for toxicity and have no personal data; they fail the quality rules. Null keys and repeated
-rows: of equal rows one stays at near duplicates; rows with a null key stay until then and are one class only if they
-are alike. Empty tables stay empty. Very long texts are worked on whole.
+rows: of equal rows one stays at near duplicates; rows with a null key are judged by their texts as others are, and give way to rows
+like them that have a key. Empty tables stay empty. Very long texts are worked on whole.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quadra.llm.jaccard import near_duplicates
+from quadra.llm.jaccard import near_duplicates, text_node
 from quadra.llm.packing import pack_documents
 from quadra.llm.pii import find_pii, redact
 from quadra.llm.quality import Limits, fit_references, judge, measure
@@ -49,10 +49,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest doc_id stays; of repeated rows, one."""
-    first, n, digest = _free(docs, "first_id", "row_of_id", "digest_of_text")
-    classes = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(first)).distinct()
-    kept = docs.join(classes, F.col("doc_id").eqNullSafe(F.col(first)), "left_semi")
+    """Of each class of near duplicates the document with the smallest doc_id stays (of null keys, that with the smallest digest of
+    its text, if the class has no other keys); of repeated rows, one. A row stays by its key and its text, so that rows with a
+    null key do not depend on others that are not like them."""
+    first, node, own, n, digest = _free(docs, "first_id", "first_node", "node_of_text", "row_of_id", "digest_of_text")
+    classes = near_duplicates(docs, leads=True).where("leads").select(F.col("doc_id").alias(first), F.col("node").alias(node)).distinct()
+    marked = docs.withColumn(own, text_node(F.coalesce(F.col("text"), F.lit(""))))
+    kept = marked.join(classes, (F.col(own) == F.col(node)) & F.col("doc_id").eqNullSafe(F.col(first)), "left_semi").drop(own)
     # rows of one key and text; a null key may have very many texts
     once = F.row_number().over(W.partitionBy("doc_id", digest).orderBy("doc_id"))
     return kept.withColumn(digest, F.sha2(F.col("text"), 256)).withColumn(n, once).where(F.col(n) == 1).select(*docs.columns)

@@ -96,7 +96,8 @@ def band_hashes(values: np.ndarray) -> np.ndarray:
     return _mix(h).view(np.int64)
 
 
-def _node(text):
+def text_node(text):
+    """What stands for a text: half of its SHA-256."""
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
@@ -278,13 +279,15 @@ def verified(texts: DataFrame, n: int, threshold: float) -> DataFrame:
     return dealt.mapInPandas(run, "node binary, root binary, links long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, screen: float = 0.6) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, screen: float = 0.6, leads: bool = False) -> DataFrame:
     """One row per document: key, class_id (the smallest key of its class), n_links (other documents at similarity
     ``threshold`` or more, equal texts included) and n_copies (other documents with the same text).
 
     A class is a component of the links. Null keys keep their row; a class of null keys only has a null class_id.
-    Repeated rows count as documents of their own."""
-    rows = docs.select(F.col(key).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__t")).withColumn("node", _node(F.col("__t")))
+    Repeated rows count as documents of their own. With ``leads`` also ``node``, what stands for the row's text, and ``leads``:
+    whether the row has the key and text that its class is known by, which are those of the smallest key, or where all keys are
+    null the smallest node."""
+    rows = docs.select(F.col(key).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__t")).withColumn("node", text_node(F.col("__t")))
     blank = ~F.col("__t").rlike("[^ \\t-\\r]")
     nodes = stored(rows.groupBy("node").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min(blank).alias("blank")), "nodes")
     signatures = stored(_signatures(rows, n), "signatures")
@@ -299,7 +302,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.join(links, "node", "left").join(classes, "node", "left").select("node", "rep", "weight", "blank", "links", F.coalesce("root", "node").alias("root"))
     known = cut(known)
-    tops = known.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    first = [F.min(F.struct(F.col("rep").isNull(), "rep", "node"))["node"].alias("first")] if leads else []
+    tops = known.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("n"), *first)
     known = cut(lookup(known, cut(tops), "root", "n", known.count()))
     out = lookup(rows.select("__id", "node"), known.drop("n"), "node", "weight", docs.count())
     copies = F.when(F.col("blank"), F.lit(0)).otherwise(F.col("weight") - 1)
@@ -308,4 +312,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         F.when(F.col("blank"), F.col("__id")).otherwise(F.col("class_id")).alias("class_id"),
         (copies + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"),
         copies.cast("long").alias("n_copies"),
+        *([F.col("node"), (F.col("blank") | ((F.col("node") == F.col("first")) & F.col("__id").eqNullSafe(F.col("class_id")))).alias("leads")] if leads else []),
     )

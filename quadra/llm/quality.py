@@ -10,9 +10,9 @@ The limit for function words is learned: by length class, the ``function_quantil
 never more than ``function_share`` of the distance of a text that has no function word at all.
 
 References come from the documents themselves: sums over the prose of each language that passes the base rules, one row per
-language. Languages with known words are a fixed list. Any other language of enough prose (``least_documents``, and a
-share of 1 / MOST_LANGUAGES) has a reference for its characters only, which counts for its own documents; documents of a
-language without a reference are not judged. Documents without a language are judged by the fixed list.
+language. Languages with known words are a fixed list. Any other language with ``least_documents`` of prose has a reference for
+its characters only, which counts for its own documents, and meets them in a join on the language (a language with many
+rows is sent to all tasks, the others are shuffled); documents of a language without a reference are not judged. Documents without a language are judged by the fixed list.
 
 Null texts have no words and fail the base rules; so do empty texts. Very long texts are measured whole. Repeated rows
 are judged alike. An empty table gives no rows. Columns of the input that have the name of an added one are
@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quadra.llm.hot import lookup
 from quadra.llm.text import words
 from quadra.session import cut
 
@@ -50,8 +51,6 @@ FUNCTION = list(dict.fromkeys(w for ws in FUNCTION_WORDS.values() for w in ws))
 #: is looked at once.
 _BETWEEN = r"(?<![.,;:!?])(?:[.,;:!?]*+[ \t-\r]++|[.,;:!?]++\z)"
 CLASSES = ["upper", "digit", "stop", "symbol", "space", "wide", "other"]
-#: There cannot be more languages with a share of 1 / MOST_LANGUAGES of the prose.
-MOST_LANGUAGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -139,8 +138,8 @@ def base_failed(limits: Limits) -> Column:
 
 class References(dict):
     """language -> (character, word, function-word histogram) as shares; the limits of the function-word distance by
-    length class (see :func:`_length_class`); and ``others``, a table (language, character histogram) of languages without
-    known words, at most MOST_LANGUAGES rows."""
+    length class (see :func:`_length_class`); and ``others``, a table of languages without known words: __lang, __rows
+    (documents), __own (character histogram as shares, null if there is too little prose)."""
 
     def __init__(self, histograms: dict, function_limits: dict[int, float], function_cap: float, others: DataFrame | None = None):
         super().__init__(histograms)
@@ -160,10 +159,12 @@ def fit_references(measured: DataFrame, limits: Limits, lang: str = "lang") -> R
     good = every.where(F.col(lang).isin(limits.languages))
     sums = lambda c, n: [F.sum(F.get(c, i)).alias(f"{c}_{i}") for i in range(n)]
     n, m, k = len(CLASSES), len(COMMON) + 1, len(FUNCTION) + 1
-    least = max(limits.least_documents, every.count() / MOST_LANGUAGES)
-    others = every.where(~F.col(lang).isin(limits.languages)).groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"), *sums("char_hist", n)).where(F.col("__n") >= least)
+    used = F.coalesce(~base_failed(limits) & prose, F.lit(False))
+    char_sums = [F.sum(F.when(used, F.get("char_hist", i))).alias(f"char_hist_{i}") for i in range(n)]
+    others = measured.where(~F.col(lang).isin(limits.languages)).groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__rows"), F.count_if(used).alias("__n"), *char_sums)
     total = sum(F.col(f"char_hist_{i}") for i in range(n))
-    others = cut(others.select("__lang", F.array(*[F.col(f"char_hist_{i}") / total for i in range(n)]).alias("__own")))
+    own = F.when(F.col("__n") >= limits.least_documents, F.array(*[F.col(f"char_hist_{i}") / total for i in range(n)]))
+    others = cut(others.select("__lang", "__rows", own.alias("__own")))
     rows = good.groupBy(lang).agg(*sums("char_hist", n), *sums("word_hist", m), *sums("function_hist", k)).orderBy(lang).collect()  # a row a language
     share = lambda xs: [x / max(sum(xs), 1.0) for x in xs]
     found = {r[0]: (share(r[1 : 1 + n]), share(r[1 + n : 1 + n + m]), share(r[1 + n + m :])) for r in rows}
@@ -212,19 +213,20 @@ def nearest(hist: str, references: dict, k: int) -> Column:
 
 def judge(measured: DataFrame, references: dict, limits: Limits = Limits(), lang: str = "lang") -> DataFrame:
     """Adds char_distance, word_distance and function_distance (to the nearest language), base_failed and kept."""
-    df = measured.withColumns({
+    others, listed = getattr(references, "others", None), F.col(lang).isNull() | F.col(lang).isin(limits.languages)
+    df = measured.withColumns({"__lang": F.lit(None).cast("string"), "__own": F.lit(None).cast("array<double>")})
+    if others is not None and not others.isEmpty():
+        rest = measured.where(~listed).withColumn("__lang", F.col(lang))
+        met = lookup(rest, others, "__lang", "__rows", others.agg(F.sum("__rows")).first()[0], "left").drop("__rows")
+        df = df.where(listed).unionByName(met)
+    df = df.withColumns({
         "char_distance": nearest("char_hist", references, 0),
         "word_distance": nearest("word_hist", references, 1),
         "function_distance": nearest("function_hist", references, 2),
         "base_failed": base_failed(limits),
     })
-    listed = F.col(lang).isNull() | F.col(lang).isin(limits.languages)
-    judged = listed
-    others = getattr(references, "others", None)
-    if others is not None:
-        df = df.join(F.broadcast(others), F.col(lang) == F.col("__lang"), "left")
-        df = df.withColumn("char_distance", F.least("char_distance", F.when(F.col("__own").isNotNull(), js_distance(F.col("char_hist"), F.col("__own")))))
-        judged = listed | F.col("__own").isNotNull()
+    df = df.withColumn("char_distance", F.least("char_distance", F.when(F.col("__own").isNotNull(), js_distance(F.col("char_hist"), F.col("__own")))))
+    judged = listed | F.col("__own").isNotNull()
     chars = F.aggregate("char_hist", F.lit(0.0), lambda a, x: a + x)
     long = F.col("n_words") >= limits.least_words
     far = judged & (chars >= limits.least_chars) & (F.col("char_distance") > limits.chars + limits.chars_noise / F.sqrt(chars))

@@ -9,11 +9,11 @@ that a stray term in a long text weighs little.
 The index keeps the examples in blocks of BLOCK; a term's posting list names the examples that hold it, block by block, with
 the largest weight of each block. A query's upper bound for a block is the sum over its terms of these maxima; blocks are
 opened from the best bound on, until the next bound is below the k-th best cosine found. The result is the exact list
-of the k nearest (ties: the smaller key first).
+of the k nearest; all examples that tie for the k-th place share the votes left for it, so that no key decides.
 
 Votes are weighted by cosine and by how many labelled rows an example stands for, and calibrated by a logistic curve
 fitted to leave-one-out votes of the examples. The nearest examples are the evidence. A labelled row of the sample that is
-scored finds itself among its neighbours, and votes.
+scored finds itself among its neighbours, and votes: to leave it out, its key would have to be looked at, and keys are no input of a score.
 
 Null texts are empty texts. Texts without a term of the index, empty ones too, are all alike and have one score. Null keys
 are never learned from. Repeated rows are scored alike, and count once as examples. Very long texts are read whole. Without
@@ -152,8 +152,9 @@ class BlockMaxIndex:
         rows = rows[rows < self.n]
         return self.order[rows], np.round(cos[rows], 9)
 
-    def nearest(self, terms: np.ndarray, q: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(example numbers, cosines) for a sparse query, best first, ties by number; ``skip`` is left out."""
+    def nearest(self, terms: np.ndarray, q: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(example numbers, cosines, shares) for a sparse query, best first; ``skip`` is left out. All examples with the k-th
+        best cosine come in, and share the votes that are left: k less the number of better ones. Shares sum to k."""
         bounds = np.zeros(self.blocks)
         for t, x in zip(terms, q, strict=True):
             a, z = self.lists[t], self.lists[t + 1]
@@ -169,8 +170,16 @@ class BlockMaxIndex:
             ids, cos = np.r_[ids, more_ids], np.r_[cos, more_cos]
         keep = (cos >= kth) & (ids != skip)
         ids, cos = ids[keep], cos[keep]
-        first = np.lexsort((ids, -cos))[: self.k]
-        return ids[first], cos[first]
+        if len(cos) > self.k:
+            last = np.partition(cos, len(cos) - self.k)[len(cos) - self.k]
+            ids, cos = ids[cos >= last], cos[cos >= last]
+        first = np.lexsort((ids, -cos))
+        ids, cos = ids[first], cos[first]
+        share = np.ones(len(cos))
+        if len(cos) > self.k:
+            tied = cos == cos[-1]
+            share[tied] = (self.k - np.count_nonzero(~tied)) / np.count_nonzero(tied)
+        return ids, cos, share
 
 
 @dataclass
@@ -196,8 +205,8 @@ class Model:
     def index(self) -> BlockMaxIndex:
         return BlockMaxIndex([self.vector(tf, n) for tf, n in self.counts], len(self.vocabulary) + 1, self.settings.k)
 
-    def vote(self, ids: np.ndarray, cos: np.ndarray) -> float:
-        w = cos * self.weights[ids]
+    def vote(self, ids: np.ndarray, cos: np.ndarray, share: np.ndarray) -> float:
+        w = cos * self.weights[ids] * share
         return float((w * self.labels[ids]).sum() / w.sum()) if w.sum() > 0 else 0.0
 
     def calibrated(self, vote: float) -> float:
@@ -232,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key
             found = [terms.count(t) for t in batch["t"]]
             yield pd.DataFrame({"k": batch["__k"], "y": batch["y"], "ts": [[t for t, _ in tf] for tf, _ in found], "fs": [[f for _, f in tf] for tf, _ in found], "n": [n for _, n in found]})
 
-    rows = seen.mapInPandas(counts, f"k {dict(labels.dtypes)[key]}, y int, ts array<int>, fs array<int>, n long").orderBy("k").collect()
+    rows = seen.mapInPandas(counts, f"k {dict(labels.dtypes)[key]}, y int, ts array<int>, fs array<int>, n long").orderBy("ts", "fs", "n", "y", "k").collect()  # by content, so that keys change no sum
     weight = {y: totals.get(y, 0) / max(size.get(y, 0), 1) for y in (0, 1)}
     model = Model(
         settings, vocabulary, idf, np.array([r["k"] for r in rows]), np.array([r["y"] for r in rows], float),
@@ -297,9 +306,9 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 if query not in known:
                     if len(known) > 5_000:
                         known.clear()
-                    ids, cos = index.nearest(*m.vector(tf, n))
+                    ids, cos, share = index.nearest(*m.vector(tf, n))
                     near = [{"key": m.keys[i].item(), "cosine": float(c), "label": int(m.labels[i])} for i, c in zip(ids[:3], cos[:3], strict=True)]
-                    known[query] = m.calibrated(m.vote(ids, cos)), near
+                    known[query] = m.calibrated(m.vote(ids, cos, share)), near
                 s, near = known[query]
                 scores.append(s)
                 evidence.append(near)

@@ -104,3 +104,14 @@ def test_nulls_repeats_and_empty_tables(spark):
         assert done.count() > 0, name
     once = corpus_pipeline.near_duplicate(spark, mixed, SF)
     assert once.where("doc_id is not null").count() == once.where("doc_id is not null").select("doc_id", "text").distinct().count()
+
+
+def test_null_keys_are_decided_row_by_row(spark):
+    """A row with a null key gives way to a row like it, whatever other null keys there are; of null keys only, one stays."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    a, b = " ".join(f"first{i}" for i in range(60)), " ".join(f"second{i}" for i in range(60))
+    left = lambda rows: sorted((r.doc_id is None, r.text) for r in corpus_pipeline.near_duplicate(spark, spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], schema), SF).collect())
+    assert left([(1, a), (None, a)]) == [(False, a)]
+    assert left([(1, a), (None, a), (None, b)]) == sorted([(False, a), (True, b)])
+    assert left([(1, a), (None, a + " end"), (None, b)]) == sorted([(False, a), (True, b)])
+    assert len(left([(None, b), (None, b + " end"), (None, b + " other"), (None, b)])) == 1

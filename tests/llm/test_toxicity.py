@@ -50,11 +50,13 @@ def test_index_is_exact():
     index = BlockMaxIndex([sparse(x) for x in v], 40, 15)
     assert len(index.example) == np.count_nonzero(v)  # posting lists hold what is there and nothing else
     for i in range(0, 700, 7):
-        ids, cos = index.nearest(*sparse(v[i]), i)
+        ids, cos, share = index.nearest(*sparse(v[i]), i)
         exact = np.round(v @ v[i], 9)
         exact[i] = -1
-        want = np.lexsort((np.arange(700), -exact))[:15]
-        assert ids.tolist() == want.tolist() and np.allclose(cos, exact[want])
+        last = np.sort(exact)[-15]
+        want = [k for k in np.lexsort((np.arange(700), -exact)) if exact[k] >= last]
+        assert ids.tolist() == want and np.allclose(cos, exact[want]) and np.isclose(share.sum(), 15)
+        assert (share[cos > last] == 1).all() and len(set(share[cos == last])) == 1
     assert index.opened < 100 * index.blocks  # some blocks are never opened
 
 
@@ -99,9 +101,10 @@ def brute(docs, labels):
         cos = np.round(examples @ v, 9)
         if skip is not None:
             cos[skip] = -1
-        near = np.lexsort((np.arange(len(cos)), -cos))[:15]
-        w = cos[near] * weight[near]
-        return (w * y[near]).sum() / w.sum()
+        last = np.sort(cos)[-15]
+        above, tied = cos > last, cos == last
+        w = cos * weight * (above + tied * (15 - above.sum()) / tied.sum())
+        return (w * y).sum() / w.sum()
 
     hit = lambda tf: any(tf[t] for t in vocabulary)
     votes = np.array([vote(examples[k], k if hit(held[k][0]) else None) for k in range(len(sample))])
@@ -125,6 +128,20 @@ def test_query_against_brute_force(spark):
     assert not off, (len(off), got[off[0]], want[off[0]])
 
 
+def test_keys_decide_no_score(spark):
+    """The same labelled texts under other keys (learnable ones as well), in another order: 400 alike, one in ten of them toxic."""
+    texts = [("plain words of no kind", int(i % 10 == 0)) for i in range(400)] + [(f"some awfulword here and {i}", 1) for i in range(60)]
+    keys = [k for k in range(1, 2_000) if zlib.crc32(str(k).encode()) % 5 != 0][: len(texts)]
+    got = []
+    for order in (keys, keys[::-1]):
+        docs = spark.createDataFrame([(k, t) for k, (t, _) in zip(order, texts)], "doc_id long, text string")
+        labels = spark.createDataFrame([(k, y) for k, (_, y) in zip(order, texts)], "doc_id long, toxic int")
+        scores = {r.doc_id: r.score for r in score(docs, fit(docs, labels)).collect()}
+        got.append([scores[k] for k in order])
+    assert got[0] == got[1]
+    assert got[0][0] < 0.5 < got[0][-1]
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, 2), (2, "you bad trash", 3), (2, "you bad trash", 3), (None, "fine " * 9000, 1)], "doc_id long, text string, score int")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
