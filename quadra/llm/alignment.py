@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,7 +78,10 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
         self.b_marked = np.array([x[:1] == b" " for x in self.b_bytes])
-        self.b_size = len(pieces)
+        self.a_lengths, self.b_lengths, self.b_size = self.a_length.tolist(), self.b_length.tolist(), len(pieces)
+        # an id as text, with what follows it inside a group or at the end of the group's side
+        self.b_texts = 2 * len(self.a_length)
+        self.texts = [b"%d%s" % (i, c) for n, ends in ((len(self.a_length), (b",", b"|")), (len(pieces), (b",", b";"))) for i in range(n) for c in ends]
         self.cut = regex.compile(rf"(?<! ) (?=[^{_WIDE}])").split
         self.parts: dict[str, tuple[bytes, bytes, bool]] = {}
         self.windows: dict[tuple[bytes, bytes], tuple[bytes, int, int, bytes]] = {}
@@ -84,16 +89,11 @@ class Aligner:
     # ------------------------------------------------------------ parts
 
     def _encode(self, parts: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Parts without the space before them -> (A ids, B ids, whether both spell the part)."""
+        """Parts without the space before them -> (A ids, B ids, whether B spells the part)."""
         a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
         b = self.b.encode(parts, num_threads=1)
-        out = []
-        for part, x, y in zip(parts, a, b, strict=True):
-            ids = np.array(x.ids, np.int32)
-            raw = part.encode()
-            same = self.a_length[ids].sum() == len(raw) + 1 and b"".join(map(self.b_bytes.__getitem__, y)) == b" " + raw
-            out.append((ids.tobytes(), np.array(y, np.int32).tobytes(), bool(same)))
-        return out
+        spelled, packed = self.b_bytes.__getitem__, lambda ids: array("i", ids).tobytes()
+        return [(packed(x.ids), packed(y), b"".join(map(spelled, y)) == b" " + p.encode()) for p, x, y in zip(parts, a, b, strict=True)]
 
     def encoded(self, parts: list[str], often: np.ndarray) -> list[tuple[bytes, bytes, bool]]:
         """Encodings of different parts; those that stand more than once here are remembered."""
@@ -119,43 +119,84 @@ class Aligner:
 
     # ------------------------------------------------------------ windows
 
-    def _align(self, a: np.ndarray, b: np.ndarray) -> tuple[bytes, int, int, bytes]:
+    def _align(self, a_ids: bytes, b_ids: bytes) -> tuple[bytes, int, int, bytes]:
         """(groups as text, their number, number of links, pairs with their numbers) of one window."""
-        a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
-        both = np.intersect1d(a_end, b_end)
-        a_cut, b_cut = np.searchsorted(a_end, both) + 1, np.searchsorted(b_end, both) + 1
+        a, b, size = array("i", a_ids), array("i", b_ids), self.b_size
+        a_long, b_long = self.a_lengths, self.b_lengths
         text, links, pairs = [], 0, []
-        for i, j, k, m in zip([0, *a_cut[:-1]], a_cut, [0, *b_cut[:-1]], b_cut, strict=True):
-            x, y = a[i:j], b[k:m]
-            text.append(",".join(map(str, x.tolist())) + "|" + ",".join(map(str, y.tolist())))
-            links += len(x) * len(y)
-            if len(x) == len(y) == 1:
-                pairs.append(np.array([(int(x[0]) * self.b_size + int(y[0])) << 32 | 1], np.int64))
+        i = k = 0
+        while i < len(a):
+            j, m = i + 1, k + 1
+            ahead = a_long[a[i]] - b_long[b[k]]  # bytes that A's tokens of this group have more than B's
+            while ahead:
+                if ahead < 0:
+                    ahead += a_long[a[j]]
+                    j += 1
+                else:
+                    ahead -= b_long[b[m]]
+                    m += 1
+            if j - i == 1 == m - k:
+                text.append(f"{a[i]}|{b[k]}")
+                pairs.append((a[i] * size + b[k]) << 32 | 1)
+                links += 1
             else:
-                (xs, xn), (ys, yn) = (np.unique(v, return_counts=True) for v in (x.astype(np.int64), y.astype(np.int64)))
-                pairs.append((((xs[:, None] * self.b_size + ys) << 32) | (xn[:, None] * yn)).ravel())
-        return ";".join(text).encode(), len(text), links, np.concatenate(pairs).tobytes()
+                x, y = a[i:j], b[k:m]
+                text.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
+                links += len(x) * len(y)
+                yn = Counter(y).items()
+                pairs += [(p * size + q) << 32 | n * o for p, n in Counter(x).items() for q, o in yn]
+            i, k = j, m
+        return ";".join(text).encode(), len(text), links, array("q", pairs).tobytes()
+
+    def _align_many(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[bytes, int, int, bytes]]:
+        """The same for many short windows at once."""
+        a, b = (np.frombuffer(b"".join(k[s] for k in keys), np.int32).astype(np.int64) for s in (0, 1))
+        an, bn = (np.array([len(k[s]) // 4 for k in keys], np.int64) for s in (0, 1))
+        a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        at = np.searchsorted(b_end, a_end)
+        a_last = b_end[at] == a_end  # tokens that end a group
+        b_last = np.zeros(len(b), bool)
+        b_last[at[a_last]] = True
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        na, nb = np.bincount(a_group), np.bincount(b_group)
+        window = np.repeat(np.arange(len(keys)), an)[a_last]
+        groups = np.bincount(window, minlength=len(keys))
+        links = np.bincount(window, weights=na * nb, minlength=len(keys)).astype(np.int64)
+        times = nb[a_group]  # each A token with all B tokens of its group
+        other = np.repeat((np.cumsum(nb) - nb)[a_group] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        pairs = ((np.repeat(a, times) * self.b_size + b[other]) << 32 | 1).tobytes()
+        order = np.argsort(np.r_[a_group, b_group], kind="stable")  # A's tokens of a group, then B's
+        words = np.r_[2 * a + a_last, self.b_texts + 2 * b + b_last][order].tolist()
+        text, out, i, k = self.texts.__getitem__, [], 0, 0
+        for n, g, m in zip((an + bn).tolist(), groups.tolist(), links.tolist(), strict=True):
+            out.append((b"".join(map(text, words[i : i + n]))[:-1], g, m, pairs[k : k + 8 * m]))
+            i, k = i + n, k + 8 * m
+        return out
 
     def aligned(self, a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> list[tuple[bytes, int, int, bytes]]:
-        """What the windows that start at tokens ``ia`` and ``ib`` align to."""
+        """What the windows that start at tokens ``ia`` and ``ib`` align to. Windows that stand more than once here are remembered."""
         x, y = a.tobytes(), b.tobytes()
         ia, ib = [*(4 * ia).tolist(), len(x)], [*(4 * ib).tolist(), len(y)]
         keys = [(x[i:j], y[k:m]) for i, j, k, m in zip(ia, ia[1:], ib, ib[1:], strict=False)]
         known, got = self.windows, list(map(self.windows.get, keys))
-        fresh: dict = {}
-        for n, w in enumerate(got):
+        missing = [n for n, w in enumerate(got) if w is None]
+        new = dict.fromkeys(keys[n] for n in missing)
+        short = [k for k in new if len(k[0]) + len(k[1]) <= 4 * WINDOW]
+        if short:
+            new.update(zip(short, self._align_many(short), strict=True))
+        for k, w in new.items():
             if w is None:
-                key = keys[n]
-                w = known.get(key)
-                if w is None:
-                    w = fresh.get(key)
-                    if w is None:
-                        w = fresh[key] = self._align(np.frombuffer(key[0], np.int32), np.frombuffer(key[1], np.int32))
-                    elif len(key[0]) <= 4 * WINDOW:  # seen for the second time
-                        if len(known) >= CACHE:
-                            known.clear()
-                        known[key] = w
-                got[n] = w
+                new[k] = self._align(*k)
+        if len(known) + len(new) > CACHE:
+            known.clear()
+        once = set()
+        for n in missing:
+            key = keys[n]
+            got[n] = new[key]
+            if key not in once:
+                once.add(key)
+            elif len(key[0]) <= 4 * WINDOW:
+                known[key] = got[n]
         return got
 
     # ------------------------------------------------------------ documents
@@ -166,13 +207,15 @@ class Aligner:
         parts, n = self.split(texts)
         words, at = distinct(parts)
         found = self.encoded(words.to_pylist(), np.bincount(at, minlength=len(words)) > 1)
-        ok = np.array([x[2] for x in found], bool)
+        a_flat, a_size = np.frombuffer(b"".join(x[0] for x in found), np.int32), np.array([len(x[0]) // 4 for x in found], np.int64)
+        spelled = np.bincount(np.repeat(np.arange(len(words)), a_size), weights=self.a_length[a_flat], minlength=len(words))
+        ok = np.array([x[2] for x in found], bool) & (spelled == pc.binary_length(words).to_numpy(zero_copy_only=False) + 1)
         wrong = np.bincount(np.repeat(np.arange(total), n)[~ok[at]], minlength=total) > 0
         empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         good = ~wrong & ~empty
         which = at[np.repeat(good, n)]
         doc_of_part = np.repeat(np.arange(total), np.where(good, n, 0))
-        a, an = chosen(np.frombuffer(b"".join(x[0] for x in found), np.int32), np.array([len(x[0]) // 4 for x in found], np.int64), which)
+        a, an = chosen(a_flat, a_size, which)
         b, bn = chosen(np.frombuffer(b"".join(x[1] for x in found), np.int32), np.array([len(x[1]) // 4 for x in found], np.int64), which)
         n_a, n_b = (np.bincount(doc_of_part, weights=c, minlength=total).astype(np.int64) for c in (an, bn))
         a_start, b_start = (np.cumsum(lengths[ids]) - lengths[ids] for lengths, ids in ((self.a_length, a), (self.b_length, b)))
