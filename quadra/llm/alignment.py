@@ -41,7 +41,7 @@ from quadra.llm.subwords import chosen, distinct, slices
 from quadra.session import stored
 
 #: Bytes of texts that are aligned together; entries of each cache of a Python worker; tokens of a window that is remembered.
-SLICE, CACHE, WINDOW = 4 << 20, 200_000, 64
+SLICE, CACHE, WINDOW = 2 << 20, 100_000, 64
 #: The most pairs whose counts are sent to all tasks.
 COMMON = 250_000
 #: White space in the widest sense: at a space before one of these no part starts.

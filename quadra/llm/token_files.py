@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quadra.llm.packing import _encoder, _encoders
+from quadra.llm.packing import _byte_chars, _simple
 from quadra.llm.pretokens import hold
 from quadra.llm.subwords import chosen, distinct, slices
 from quadra.llm.text import SPACES
@@ -43,6 +44,8 @@ from quadra.session import stored
 
 #: Bytes of frames in a block; bytes of texts that are encoded together; compression level.
 BLOCK, SLICE, LEVEL = 1 << 20, 4 << 20, 3
+#: Words and pre-tokens that a Python worker remembers. Words of these letters only change their case before they are split.
+CACHE, PARTS, PLAIN = 200_000, 400_000, "^[\\x21-\\x7e\\x{a1}-\\x{ac}\\x{ae}-\\x{17f}]*$"
 #: Sample and size of the dictionary.
 SAMPLE, SAMPLE_CHARS, DICTIONARY = 2_000, 20_000, 64 << 10
 
@@ -55,15 +58,76 @@ def _words(texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(texts, " ")
 
 
+class Words:
+    """Ids of different words. Words and pre-tokens that were met before are looked up; CACHE and PARTS bound what is remembered."""
+
+    def __init__(self, path: str):
+        import os
+
+        import regex
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok, pattern, self.chars = Tokenizer.from_file(path), _simple(path), _byte_chars()
+        self.model, self.find = self.tok.model, regex.compile(f"{pattern}|\n").findall if pattern else None
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"\n": b""}
+
+    def _merged(self, part: str) -> bytes:
+        return array("I", [x.id for x in self.model.tokenize(part.encode().decode("latin-1").translate(self.chars))]).tobytes()
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids joined, number of each word's) of printable words of Latin letters, whose pre-tokens are found in one text of all of
+        them, and merged once each."""
+        parts, at = distinct(pa.array(self.find("\n".join(words).lower()), pa.large_string()))
+        names = parts.to_pylist()
+        got = list(map(self.parts.get, names))
+        new = [k for k, x in enumerate(got) if x is None]
+        if len(self.parts) + len(new) > PARTS:
+            self.parts = {"\n": b""}
+        for k in new:
+            got[k] = self.parts[names[k]] = self._merged(names[k])
+        ids, n = chosen(np.frombuffer(b"".join(got), "<u4"), np.array([len(x) // 4 for x in got], np.int64), at)
+        ends = at == names.index("\n") if len(words) > 1 else np.zeros(len(at), bool)
+        return ids, np.bincount(np.cumsum(ends), weights=n, minlength=len(words)).astype(np.int64)
+
+    def encode(self, words: pa.Array, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids joined, numbers of ids, where each word is among these). Words that are met ``often`` are remembered."""
+        plain = pc.match_substring_regex(words, PLAIN) if self.find else pa.array(np.zeros(len(words), bool))
+        plain = pc.and_(plain, pc.invert(pc.match_substring(words, "<|"))).to_numpy(zero_copy_only=False)
+        names = words.to_pylist()
+        got = list(map(self.words.get, names))
+        known = np.array([x is not None for x in got], bool)
+        easy, hard = np.flatnonzero(~known & plain), np.flatnonzero(~known & ~plain)
+        ids, n = self._plain([names[k] for k in easy.tolist()]) if len(easy) else (np.empty(0, "<u4"), np.empty(0, np.int64))
+        others = [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast([names[k] for k in hard.tolist()], add_special_tokens=False)] if len(hard) else []
+        have = [got[k] for k in np.flatnonzero(known).tolist()]
+        flat = np.concatenate([np.frombuffer(b"".join(have), "<u4"), ids, *others])
+        size = np.r_[np.array([len(x) // 4 for x in have], np.int64), n, np.array([len(x) for x in others], np.int64)]
+        order = np.r_[np.flatnonzero(known), easy, hard]
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        keep = np.flatnonzero(often & ~known)
+        if len(self.words) + len(keep) > CACHE:
+            self.words.clear()
+        ends, raw = 4 * np.cumsum(size), flat.tobytes()
+        for k, e, m in zip(keep.tolist(), ends[place[keep]].tolist(), (4 * size[place[keep]]).tolist(), strict=True):
+            self.words[names[k]] = raw[e - m : e]
+        return flat, size, place
+
+
+_known: dict[str, Words] = {}
+
+
 def encode_slice(texts: pa.Array, tokenizer: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts joined, number of each text's), each with its end id. A word of the slice is looked up once."""
+    if tokenizer not in _known:
+        _known[tokenizer] = Words(tokenizer)
     lists = _words(texts)
     words, at = distinct(lists.flatten())
-    encoder, names = _encoder(tokenizer), words.to_pylist()
-    encoder.ensure(names)
-    encoded = list(map(encoder.__getitem__, names))
-    flat, size = np.frombuffer(b"".join(encoded), "<u4"), np.array([len(x) // 4 for x in encoded], np.int64)
-    ids, lengths = chosen(flat, size, at)
+    flat, size, place = _known[tokenizer].encode(words, np.bincount(at, minlength=len(words)) > 1)
+    ids, lengths = chosen(flat, size, place[at])
     before = np.r_[0, np.cumsum(lengths)]
     ends = before[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
     return np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
@@ -99,7 +163,7 @@ def train(docs: DataFrame, tokenizer: str, width: int, end_id: int = 2, key: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        hold("packing", _encoders)
+        hold("token_files", _known)
         samples = []
         for batch in batches:
             for a, b in slices(texts := _texts(batch, 0), SLICE):
@@ -127,7 +191,7 @@ def compress(docs: DataFrame, tokenizer: str, dictionary: bytes, width: int, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        hold("packing", _encoders)
+        hold("token_files", _known)
         pack, row = _compressor(dictionary).compress, TaskContext.get().partitionId() << 36
         for batch in batches:
             for a, b in slices(texts := _texts(batch, 1), SLICE):
