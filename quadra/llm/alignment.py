@@ -7,9 +7,11 @@ document into groups, and all A and B tokens of a group are linked.
 1. Full tokenisation. Neither tokeniser joins anything across a single space that stands between two characters which are no white
    space (A's pattern starts a pre-token there, no piece of B has a space behind another character), so that a document's
    tokens are those of its parts between such spaces, and each different part of a batch is encoded once.
-2. Anchors: offsets at which both an A token and a B token start, both marked by a space; found for whole batches from the cumulative
-   token lengths. The token before ends there on both sides.
-3. Anchors cut the documents into windows. What a window aligns to depends on its two id tuples alone and is looked up by them.
+2. Anchors: offsets at which both an A token and a B token start, both marked by a space. The token before ends there on both sides. A
+   part that spells its text on both sides starts at one; others stand only in parts that hold further spaces, and are found from
+   the cumulative token lengths.
+3. Anchors cut the documents into windows. What a window aligns to depends on its two id tuples alone and is looked up by them; windows
+   that are new are aligned together.
 4. Counts of linked pairs over all documents: each document has its different pairs once, with how often it links them. Pairs that
    more than 1/COMMON of all rows hold (at most COMMON pairs, whatever the data) are sent to all tasks, all others are joined by a
    shuffle, see :mod:`quadra.llm.hot`. The highest count of each A id is one row an id of A's vocabulary.
@@ -27,6 +29,7 @@ import json
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +39,14 @@ from pyspark.sql import functions as F
 
 from quadra.llm.hot import lookup
 from quadra.llm.packing import _byte_chars
-from quadra.llm.pretokens import hold
+from quadra.llm.pretokens import Recent, hold
 from quadra.llm.subwords import chosen, distinct, slices
 from quadra.session import stored
 
 #: Bytes of texts that are aligned together; entries of each cache of a Python worker; tokens of a window that is remembered.
-SLICE, CACHE, WINDOW = 2 << 20, 100_000, 64
+SLICE, CACHE, WINDOW = 4 << 20, 160_000, 64
+#: Fixed value: how A's text is split into pre-tokens, that of byte-level vocabularies of its kind.
+A_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The most pairs whose counts are sent to all tasks.
 COMMON = 250_000
 #: White space in the widest sense: at a space before one of these no part starts.
@@ -83,28 +88,63 @@ class Aligner:
         self.b_texts = 2 * len(self.a_length)
         self.texts = [b"%d%s" % (i, c) for n, ends in ((len(self.a_length), (b",", b"|")), (len(pieces), (b",", b";"))) for i in range(n) for c in ends]
         self.cut = regex.compile(rf"(?<! ) (?=[^{_WIDE}])").split
-        self.parts: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.windows: dict[tuple[bytes, bytes], tuple[bytes, int, int, bytes]] = {}
+        self.find, self.model, self.chars = regex.compile(A_PATTERN).findall, self.a.model, _byte_chars()
+        self.tokens, self.parts, self.windows = Recent(CACHE), Recent(CACHE), Recent(CACHE)
 
     # ------------------------------------------------------------ parts
 
-    def _encode(self, parts: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Parts without the space before them -> (A ids, B ids, whether B spells the part)."""
-        a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
-        b = self.b.encode(parts, num_threads=1)
-        spelled, packed = self.b_bytes.__getitem__, lambda ids: array("i", ids).tobytes()
-        return [(packed(x.ids), packed(y), b"".join(map(spelled, y)) == b" " + p.encode()) for p, x, y in zip(parts, a, b, strict=True)]
-
-    def encoded(self, parts: list[str], often: np.ndarray) -> list[tuple[bytes, bytes, bool]]:
-        """Encodings of different parts; those that stand more than once here are remembered."""
-        got = list(map(self.parts.get, parts))
+    def _merged(self, pretokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(A ids joined, number of each pre-token's) of different pre-tokens."""
+        names, known = pretokens.to_pylist(), self.tokens
+        got = known.get_all(names)
+        for k, t in enumerate(names):
+            if got[k] is None:
+                got[k] = array("i", [x.id for x in self.model.tokenize(t.encode().decode("latin-1").translate(self.chars))]).tobytes()
+                known.put(t, got[k])
+        return np.frombuffer(b"".join(got), np.int32), np.array([len(x) // 4 for x in got], np.int64)
+
+    def _a_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(A ids joined, number of each part's) of parts with a space before them. Parts without white space at their start and spaces inside
+        are split together, as one text with a space before each, which is where a part's first pre-token starts."""
+        lone = [bool(p) and not p[0].isspace() and " " not in p for p in parts]
+        texts = [p for p, x in zip(parts, lone, strict=True) if x]
+        found = self.find(" " + " ".join(texts)) if texts else []
+        rest = [self.find(" " + p) for p, x in zip(parts, lone, strict=True) if not x]
+        pretokens, at = distinct(pa.array([*found, *chain.from_iterable(rest)], pa.large_string()))
+        flat, size = self._merged(pretokens)
+        first = pc.starts_with(pretokens, " ").to_numpy(zero_copy_only=False)[at[: len(found)]]
+        owner = np.r_[np.cumsum(first) - 1, np.repeat(np.arange(len(texts), len(parts)), [len(r) for r in rest])].astype(np.int64)
+        ids, n = chosen(flat, size, at)
+        number = np.bincount(owner, weights=n, minlength=len(parts)).astype(np.int64)
+        if len(number) != len(parts):
+            raise ValueError("pre-tokens do not start where parts do")
+        place = np.empty(len(parts), np.int64)
+        lone = np.array(lone, bool)
+        place[np.flatnonzero(lone)], place[np.flatnonzero(~lone)] = np.arange(len(texts)), np.arange(len(texts), len(parts))
+        return chosen(ids, number, place)
+
+    def encoded(self, parts: list[str], often: np.ndarray) -> list[tuple[tuple[bytes, bytes], bool]]:
+        """((A ids, B ids), whether both spell the part) of different parts without the space before them; those that stand more than
+        once here are remembered."""
+        got = self.parts.get_all(parts)
         new = [k for k, x in enumerate(got) if x is None]
-        if len(self.parts) + len(new) > CACHE:
-            self.parts.clear()
-        for k, made in zip(new, self._encode([parts[k] for k in new]) if new else [], strict=True):
-            got[k] = made
-            if often[k]:
-                self.parts[parts[k]] = made
+        if not new:
+            return got
+        texts = [parts[k] for k in new]
+        raw = [b" " + p.encode() for p in texts]
+        a, an = self._a_ids(texts)
+        lists = self.b.encode(texts, num_threads=1)
+        b, bn = np.array(array("i", chain.from_iterable(lists)), np.int32), np.array(list(map(len, lists)), np.int64)
+        length = np.array(list(map(len, raw)), np.int64)
+        spelled = lambda ids, n, sizes: np.bincount(np.repeat(np.arange(len(n)), n), weights=sizes[ids], minlength=len(n)) == length
+        same = spelled(a, an, self.a_length) & spelled(b, bn, self.b_length)
+        if b"".join(map(self.b_bytes.__getitem__, b.tolist())) != b"".join(raw):
+            same &= np.array([b"".join(map(self.b_bytes.__getitem__, y)) == r for y, r in zip(lists, raw, strict=True)], bool)
+        x, y, i, j = a.tobytes(), b.tobytes(), [0, *(4 * np.cumsum(an)).tolist()], [0, *(4 * np.cumsum(bn)).tolist()]
+        for k, n, ok, o in zip(new, range(len(new)), same.tolist(), often[new].tolist(), strict=True):
+            got[k] = made = (x[i[n] : i[n + 1]], y[j[n] : j[n + 1]]), ok
+            if o:
+                self.parts.put(texts[n], made)
         return got
 
     def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -173,12 +213,9 @@ class Aligner:
             i, k = i + n, k + 8 * m
         return out
 
-    def aligned(self, a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> list[tuple[bytes, int, int, bytes]]:
-        """What the windows that start at tokens ``ia`` and ``ib`` align to. Windows that stand more than once here are remembered."""
-        x, y = a.tobytes(), b.tobytes()
-        ia, ib = [*(4 * ia).tolist(), len(x)], [*(4 * ib).tolist(), len(y)]
-        keys = [(x[i:j], y[k:m]) for i, j, k, m in zip(ia, ia[1:], ib, ib[1:], strict=False)]
-        known, got = self.windows, list(map(self.windows.get, keys))
+    def aligned(self, keys: list[tuple[bytes, bytes]], often: np.ndarray) -> list[tuple[bytes, int, int, bytes]]:
+        """What windows align to, by their id tuples. Those that stand more than once here are remembered."""
+        got = self.windows.get_all(keys)
         missing = [n for n, w in enumerate(got) if w is None]
         new = dict.fromkeys(keys[n] for n in missing)
         short = [k for k in new if len(k[0]) + len(k[1]) <= 4 * WINDOW]
@@ -187,18 +224,21 @@ class Aligner:
         for k, w in new.items():
             if w is None:
                 new[k] = self._align(*k)
-        if len(known) + len(new) > CACHE:
-            known.clear()
-        once = set()
-        for n in missing:
+        for n, o in zip(missing, often[missing].tolist(), strict=True):
             key = keys[n]
             got[n] = new[key]
-            if key not in once:
-                once.add(key)
-            elif len(key[0]) <= 4 * WINDOW:
-                known[key] = got[n]
+            if o and len(key[0]) <= 4 * WINDOW:
+                self.windows.put(key, got[n])
         return got
 
+    def cut_at_anchors(self, a_ids: bytes, b_ids: bytes) -> list[tuple[bytes, bytes]]:
+        """The windows of a part: from each offset at which tokens of both sides start with a space to the next."""
+        a, b = np.frombuffer(a_ids, np.int32), np.frombuffer(b_ids, np.int32)
+        a_start, b_start = (np.cumsum(n[ids]) - n[ids] for n, ids in ((self.a_length, a), (self.b_length, b)))
+        both = np.intersect1d(a_start[self.a_marked[a]], b_start[self.b_marked[b]])
+        i, k = ([*(4 * np.searchsorted(start, both)).tolist(), 4 * len(start)] for start in (a_start, b_start))
+        return [(a_ids[x:y], b_ids[u:v]) for x, y, u, v in zip(i, i[1:], k, k[1:], strict=False)]
+
     # ------------------------------------------------------------ documents
 
     def documents(self, texts: pa.Array) -> dict[str, object]:
@@ -206,37 +246,37 @@ class Aligner:
         total = len(texts)
         parts, n = self.split(texts)
         words, at = distinct(parts)
-        found = self.encoded(words.to_pylist(), np.bincount(at, minlength=len(words)) > 1)
-        a_flat, a_size = np.frombuffer(b"".join(x[0] for x in found), np.int32), np.array([len(x[0]) // 4 for x in found], np.int64)
-        spelled = np.bincount(np.repeat(np.arange(len(words)), a_size), weights=self.a_length[a_flat], minlength=len(words))
-        ok = np.array([x[2] for x in found], bool) & (spelled == pc.binary_length(words).to_numpy(zero_copy_only=False) + 1)
+        often = np.bincount(at, minlength=len(words)) > 1
+        found = self.encoded(words.to_pylist(), often)
+        # a part starts at an anchor: its space marks a token of both sides; only a part that holds further spaces has others
+        spaced = pc.match_substring(words, " ").to_numpy(zero_copy_only=False)
+        keys, size = [x[0] for x in found], np.ones(len(words), np.int64)
+        if spaced.any():
+            lists = [self.cut_at_anchors(*k) if s and ok else [k] for (k, ok), s in zip(found, spaced.tolist(), strict=True)]
+            keys, size = [k for r in lists for k in r], np.array([len(r) for r in lists], np.int64)
+        ok = np.array([x[1] for x in found], bool)
         wrong = np.bincount(np.repeat(np.arange(total), n)[~ok[at]], minlength=total) > 0
-        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        good = ~wrong & ~empty
-        which = at[np.repeat(good, n)]
-        doc_of_part = np.repeat(np.arange(total), np.where(good, n, 0))
-        a, an = chosen(a_flat, a_size, which)
-        b, bn = chosen(np.frombuffer(b"".join(x[1] for x in found), np.int32), np.array([len(x[1]) // 4 for x in found], np.int64), which)
-        n_a, n_b = (np.bincount(doc_of_part, weights=c, minlength=total).astype(np.int64) for c in (an, bn))
-        a_start, b_start = (np.cumsum(lengths[ids]) - lengths[ids] for lengths, ids in ((self.a_length, a), (self.b_length, b)))
-        a_at, b_at = np.flatnonzero(self.a_marked[a]), np.flatnonzero(self.b_marked[b])
-        shared = np.searchsorted(b_start[b_at], a_start[a_at])
-        shared[shared == len(b_at)] = 0
-        same = (b_start[b_at[shared]] == a_start[a_at]) if len(b_at) else np.zeros(len(a_at), bool)
-        ia, ib = a_at[same], b_at[shared[same]]
-        windows = self.aligned(a, b, ia, ib)
-        doc = np.searchsorted(np.cumsum(n_a), ia, "right")
-        count = lambda k: np.bincount(doc, weights=np.array([w[k] for w in windows], np.float64), minlength=total).astype(np.int64)
-        ends = np.cumsum(np.bincount(doc, minlength=total)).tolist()
-        groups = [b";".join([w[0] for w in windows[i:j]]) for i, j in zip([0, *ends], ends, strict=False)]
-        return {"n_a": n_a, "n_b": n_b, "n_groups": count(1), "n_links": count(2), "groups": groups} | self._pairs(windows, doc, total)
-
-    def _pairs(self, windows: list, doc: np.ndarray, total: int) -> dict[str, pa.Array]:
-        """Each document's different pairs, and how often it links them."""
-        links = np.frombuffer(b"".join(w[3] for w in windows), np.int64)
-        owner = np.repeat(doc, np.array([len(w[3]) // 8 for w in windows], np.int64)) if windows else np.empty(0, np.int64)
-        order = np.argsort(key := owner << 32 | links >> 32)
-        key, times = key[order], (links & 0xFFFFFFFF)[order]
+        good = ~wrong & ~pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        # windows of parts that do not spell their text are empty, and no document that stays has them
+        usable = np.repeat(ok, size)
+        windows = self.aligned([k if u else (b"", b"") for k, u in zip(keys, usable.tolist(), strict=True)], np.repeat(often, size))
+        doc = np.repeat(np.arange(total), np.where(good, n, 0))
+        which, times = chosen(np.arange(len(keys)), size, at[np.repeat(good, n)])
+        doc = np.repeat(doc, times)
+        count = lambda values: np.bincount(doc, weights=np.array(values, np.float64)[which], minlength=total).astype(np.int64)
+        ends, text = np.cumsum(np.bincount(doc, minlength=total)).tolist(), [w[0] for w in windows].__getitem__
+        order = which.tolist()
+        made = {"n_a": count([len(k[0]) // 4 for k in keys]), "n_b": count([len(k[1]) // 4 for k in keys]), "n_groups": count([w[1] for w in windows]), "n_links": count([w[2] for w in windows])}
+        made["groups"] = [b";".join(map(text, order[i:j])) for i, j in zip([0, *ends], ends, strict=False)]
+        return made | self._pairs(windows, which, doc, total)
+
+    def _pairs(self, windows: list, which: np.ndarray, doc: np.ndarray, total: int) -> dict[str, pa.Array]:
+        """Each document's different pairs, and how often it links them. A document's equal windows are counted first."""
+        seen, often = np.unique(doc << 32 | which, return_counts=True)
+        links, n = chosen(np.frombuffer(b"".join(w[3] for w in windows), np.int64), np.array([len(w[3]) // 8 for w in windows], np.int64), seen & 0xFFFFFFFF)
+        key = np.repeat(seen >> 32, n) << 32 | links >> 32
+        order = np.argsort(key)
+        key, times = key[order], ((links & 0xFFFFFFFF) * np.repeat(often, n))[order]
         new = np.flatnonzero(np.diff(key, prepend=-1))
         times = np.add.reduceat(times, new) if len(new) else times
         offsets = pa.array(np.r_[0, np.cumsum(np.bincount(key[new] >> 32, minlength=total))], pa.int32())

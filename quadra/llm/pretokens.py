@@ -34,6 +34,31 @@ class Encoded(dict):
             return b"".join(map(self.__getitem__, tokens))
 
 
+class Recent:
+    """What was met lately: two halves of at most ``limit`` / 2 entries; when the new half is full it becomes the old one, and entries
+    of that which are met again move over."""
+
+    def __init__(self, limit: int):
+        self.half, self.new, self.old = limit // 2, {}, {}
+
+    def get_all(self, keys: list) -> list:
+        """The values, or None."""
+        got, old = list(map(self.new.get, keys)), self.old
+        for k, v in enumerate(got):
+            if v is None and (v := old.get(keys[k])) is not None:
+                got[k] = v
+                self.put(keys[k], v)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.half:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+    def clear(self) -> None:
+        self.new, self.old = {}, {}
+
+
 _held: list = []
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quadra.llm.packing import _byte_chars, _simple
-from quadra.llm.pretokens import hold
+from quadra.llm.pretokens import Recent, hold
 from quadra.llm.subwords import chosen, distinct, slices
 from quadra.llm.text import SPACES
 from quadra.session import stored
@@ -71,8 +71,7 @@ class Words:
 
         self.tok, pattern, self.chars = Tokenizer.from_file(path), _simple(path), _byte_chars()
         self.model, self.find = self.tok.model, regex.compile(f"{pattern}|\n").findall if pattern else None
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"\n": b""}
+        self.words, self.parts = Recent(CACHE), Recent(PARTS)
 
     def _merged(self, part: str) -> bytes:
         return array("I", [x.id for x in self.model.tokenize(part.encode().decode("latin-1").translate(self.chars))]).tobytes()
@@ -82,12 +81,11 @@ class Words:
         them, and merged once each."""
         parts, at = distinct(pa.array(self.find("\n".join(words).lower()), pa.large_string()))
         names = parts.to_pylist()
-        got = list(map(self.parts.get, names))
-        new = [k for k, x in enumerate(got) if x is None]
-        if len(self.parts) + len(new) > PARTS:
-            self.parts = {"\n": b""}
-        for k in new:
-            got[k] = self.parts[names[k]] = self._merged(names[k])
+        got = self.parts.get_all(names)
+        for k, x in enumerate(got):
+            if x is None:
+                got[k] = b"" if names[k] == "\n" else self._merged(names[k])
+                self.parts.put(names[k], got[k])
         ids, n = chosen(np.frombuffer(b"".join(got), "<u4"), np.array([len(x) // 4 for x in got], np.int64), at)
         ends = at == names.index("\n") if len(words) > 1 else np.zeros(len(at), bool)
         return ids, np.bincount(np.cumsum(ends), weights=n, minlength=len(words)).astype(np.int64)
@@ -97,7 +95,7 @@ class Words:
         plain = pc.match_substring_regex(words, PLAIN) if self.find else pa.array(np.zeros(len(words), bool))
         plain = pc.and_(plain, pc.invert(pc.match_substring(words, "<|"))).to_numpy(zero_copy_only=False)
         names = words.to_pylist()
-        got = list(map(self.words.get, names))
+        got = self.words.get_all(names)
         known = np.array([x is not None for x in got], bool)
         easy, hard = np.flatnonzero(~known & plain), np.flatnonzero(~known & ~plain)
         ids, n = self._plain([names[k] for k in easy.tolist()]) if len(easy) else (np.empty(0, "<u4"), np.empty(0, np.int64))
@@ -109,11 +107,9 @@ class Words:
         place = np.empty(len(names), np.int64)
         place[order] = np.arange(len(names))
         keep = np.flatnonzero(often & ~known)
-        if len(self.words) + len(keep) > CACHE:
-            self.words.clear()
         ends, raw = 4 * np.cumsum(size), flat.tobytes()
         for k, e, m in zip(keep.tolist(), ends[place[keep]].tolist(), (4 * size[place[keep]]).tolist(), strict=True):
-            self.words[names[k]] = raw[e - m : e]
+            self.words.put(names[k], raw[e - m : e])
         return flat, size, place
 
 
