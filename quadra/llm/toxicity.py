@@ -136,18 +136,22 @@ class BlockMaxIndex:
         self.lists = np.searchsorted(term[first], np.arange(terms + 1))
         self.n, self.blocks, self.opened = n, -(-n // BLOCK), 0
 
-    def _cosines(self, blocks: np.ndarray, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _lists(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(posting lists of all the terms, one a block; number of each term's)."""
+        a = self.lists[terms]
+        n = self.lists[terms + 1] - a
+        return np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum()), n
+
+    def _cosines(self, blocks: np.ndarray, lists: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(examples of the blocks, their cosines) by posting lists and the query's weight for each."""
         self.opened += len(blocks)
         wanted = np.zeros(self.blocks, bool)
         wanted[blocks] = True
-        cos = np.zeros(self.n)
-        for t, x in zip(terms, q, strict=True):
-            a, z = self.lists[t], self.lists[t + 1]
-            use = np.flatnonzero(wanted[self.block[a:z]]) + a
-            lo = self.begin[use]
-            size = self.begin[use + 1] - lo
-            at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-            cos[self.example[at]] += self.weight[at] * x
+        use = wanted[self.block[lists]]
+        lo = self.begin[lists[use]]
+        size = self.begin[lists[use] + 1] - lo
+        at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        cos = np.bincount(self.example[at], self.weight[at] * np.repeat(x[use], size), minlength=self.n)
         rows = (np.sort(blocks)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         rows = rows[rows < self.n]
         return self.order[rows], np.round(cos[rows], 9)
@@ -155,18 +159,17 @@ class BlockMaxIndex:
     def nearest(self, terms: np.ndarray, q: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(example numbers, cosines, shares) for a sparse query, best first; ``skip`` is left out. All examples with the k-th
         best cosine come in, and share the votes that are left: k less the number of better ones. Shares sum to k."""
-        bounds = np.zeros(self.blocks)
-        for t, x in zip(terms, q, strict=True):
-            a, z = self.lists[t], self.lists[t + 1]
-            bounds[self.block[a:z]] += self.maxima[a:z] * x
+        lists, n = self._lists(terms)
+        x = np.repeat(q, n)
+        bounds = np.bincount(self.block[lists], self.maxima[lists] * x, minlength=self.blocks)
         best = np.argpartition(-bounds, self.FIRST)[: self.FIRST] if len(bounds) > self.FIRST else np.arange(len(bounds))
-        ids, cos = self._cosines(best, terms, q)
+        ids, cos = self._cosines(best, lists, x)
         known = cos[ids != skip]
         kth = np.partition(known, len(known) - self.k)[len(known) - self.k] if len(known) >= self.k else -1.0
         more = bounds >= kth - 1e-8
         more[best] = False
         if more.any():
-            more_ids, more_cos = self._cosines(np.flatnonzero(more), terms, q)
+            more_ids, more_cos = self._cosines(np.flatnonzero(more), lists, x)
             ids, cos = np.r_[ids, more_ids], np.r_[cos, more_cos]
         keep = (cos >= kth) & (ids != skip)
         ids, cos = ids[keep], cos[keep]
