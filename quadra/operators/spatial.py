@@ -2,8 +2,9 @@
 
 Each box has a level of its own: the deepest zoom at which it spans at most two tiles each way, so that small boxes have
 small tiles, however crowded their city is. Two boxes that meet share a tile at the lower of their two levels: the
-box of the lower level lists its own tiles, the other one the tiles above its own. A pair is kept in one shared tile
-only, that with the smallest row and column, so that no distinct is needed afterwards.
+box of the lower level lists its own tiles, the other one the tiles above its own, at those levels only that some box of the
+other side has. A pair is kept in one shared tile only, that with the smallest row and column, so that no distinct is
+needed afterwards.
 
 Areas are boxes, or regions: with the columns ``outer`` (a ring) and ``holes`` (an array of rings) beside their box. A country
 may have several rows.
@@ -14,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadra.functions.geometry import BOX, box_columns, box_intersection, boxes_meet, clip_ring, point_in_ring, region_meets_box
+from quadra.functions.geometry import BOX, box_columns, box_intersection, boxes_meet, clip_ring, region_meets_box
 from quadra.functions.tiles import expand_bbox, tile_x, tile_y
+from quadra.operators.cover import build_cover, levels_of, locate_in
 
 #: The deepest level, and the level at which areas are listed for points.
 DEEP, COARSE = 14, 6
@@ -48,11 +50,12 @@ def join_boxes(a: DataFrame, b: DataFrame, more: list[tuple[str, str]] = ()) ->
     left = _placed(full(a).select([F.col(c).alias("a_" + c) for c in a.columns]), "a_")
     right = _placed(full(b).select([F.col(c).alias("b_" + c) for c in b.columns]), "b_")
     own = lambda p: F.array(F.col(p + "tz"))
+    left_levels, right_levels = levels_of(left, "a_tz"), levels_of(right, "b_tz")
     on = F.col("a_t") == F.col("b_t")
     for x, y in more:
         on = on & (F.col("a_" + x) == F.col("b_" + y))
-    below = _listed(left, "a_", F.sequence(F.lit(0), F.col("a_tz"))).join(_listed(right, "b_", own("b_")), on)
-    above = _listed(left, "a_", own("a_")).join(_listed(right.where("b_tz > 0"), "b_", F.sequence(F.lit(0), F.col("b_tz") - 1)), on)
+    below = _listed(left, "a_", F.array_intersect(F.sequence(F.lit(0), F.col("a_tz")), right_levels)).join(_listed(right, "b_", own("b_")), on)
+    above = _listed(left, "a_", own("a_")).join(_listed(right.where("b_tz > 0"), "b_", F.array_intersect(F.sequence(F.lit(0), F.col("b_tz") - 1), left_levels)), on)
     up = lambda c: F.expr(f"shiftright(greatest(a_{c}, b_{c}), {DEEP} - a_t.zoom)")
     home = (F.col("a_t.x") == up("tx0")) & (F.col("a_t.y") == up("ty0"))
     pairs = below.unionByName(above).where(home & boxes_meet(box_columns("a_"), box_columns("b_")))
@@ -64,15 +67,16 @@ def _region(areas: DataFrame) -> list[str]:
 
 
 def locate(points: DataFrame, areas: DataFrame, lon: str = "lon_e7", lat: str = "lat_e7") -> DataFrame:
-    """Points with the columns of each area that holds them; the lower and left border belong to an area. Areas are listed by
-    the tiles of one coarse zoom, at most 4^COARSE to an area; a point is in one of them."""
+    """Points with the columns of each area that holds them; the lower and left border belong to an area. Box areas are listed by
+    the tiles of one coarse zoom, at most 4^COARSE to an area; a point is in one of them. Regions (of a country) are looked up in
+    their cover, and only the country is added."""
+    if _region(areas):
+        return locate_in(points, build_cover(areas), lon, lat)
     spread = _listed(_placed(areas.withColumnsRenamed({c: "k_" + c for c in BOX}), "k_"), "k_", F.array(F.lit(COARSE))).drop("k_tx0", "k_tx1", "k_ty0", "k_ty1", "k_tz")
     at = F.struct(F.lit(COARSE).alias("zoom"), tile_x(lon, F.lit(COARSE)).alias("x"), tile_y(lat, F.lit(COARSE)).alias("y"))
     pairs = points.withColumn("__t", at).join(spread, F.col("__t") == F.col("k_t")).drop("__t", "k_t")
     x, y = F.col(lon), F.col(lat)
     inside = (x >= F.col("k_min_lon_e7")) & (x < F.col("k_max_lon_e7")) & (y >= F.col("k_min_lat_e7")) & (y < F.col("k_max_lat_e7"))
-    if _region(areas):
-        inside = inside & point_in_ring(x, y, F.col("outer")) & ~F.exists("holes", lambda h: point_in_ring(x, y, h))
     return pairs.where(inside).withColumnsRenamed({"k_" + c: c for c in BOX})
 
 
@@ -102,11 +106,12 @@ def shards_of_boxes(df: DataFrame, tiles: DataFrame, keep: list[str]) -> DataFra
 
 
 def shards_of_points(df: DataFrame, tiles: DataFrame, max_zoom: int = 14) -> DataFrame:
-    """Adds zoom, x, y of the leaf that holds a point: the point's tiles of all zooms against the leaves by equality."""
+    """Adds zoom, x, y of the leaf that holds a point: the point's tiles, at the zooms that leaves have, against the leaves."""
+    leaves = tiles.where("final").select(F.col("zoom").cast("int").alias("zoom"), "x", "y")
     up = lambda c: F.expr(f"shiftright({c}, {max_zoom} - zoom)").alias(c)
-    deep = df.withColumns({"x": tile_x("lon_e7", F.lit(max_zoom)), "y": tile_y("lat_e7", F.lit(max_zoom)), "zoom": F.explode(F.sequence(F.lit(0), F.lit(max_zoom)))})
+    deep = df.withColumns({"x": tile_x("lon_e7", F.lit(max_zoom)), "y": tile_y("lat_e7", F.lit(max_zoom)), "zoom": F.explode(levels_of(leaves))})
     deep = deep.select(*df.columns, "zoom", up("x"), up("y"))
-    return deep.join(tiles.where("final").select("zoom", "x", "y"), ["zoom", "x", "y"]).select(*df.columns, "zoom", "x", "y")
+    return deep.join(leaves, ["zoom", "x", "y"]).select(*df.columns, "zoom", "x", "y")
 
 
 def fan_out(relations: DataFrame, tiles: DataFrame, boundaries: DataFrame) -> DataFrame:
@@ -183,12 +188,10 @@ def prove_missing(missing: DataFrame, nodes: DataFrame, boundaries: DataFrame, i
     """Missing shards that hold a node that should be there (J14): per shard the lowest such node and their number.
 
     ``missing``: (country, zoom, x, y, box); ``nodes``: (node_id, lon_e7, lat_e7); nodes of ``ignored`` and ``skipped``
-    (node_id) do not count. The lower and left border belong to a box or a region."""
-    areas = loading_areas(missing, boundaries)
+    (node_id) do not count. A node lies in one leaf, which is looked up among the missing ones first. The lower and left border
+    belong to a box or a region."""
+    leaves = missing.select("zoom", "x", "y").distinct().withColumn("final", F.lit(True))
     usable = nodes.join(ignored, "node_id", "left_anti").join(skipped, "node_id", "left_anti")
-    boxes = usable.select("node_id", *[F.col("lon_e7" if "lon" in c else "lat_e7").alias(c) for c in BOX])
-    pairs = join_boxes(boxes, areas).where((F.col("a_min_lon_e7") < F.col("b_max_lon_e7")) & (F.col("a_min_lat_e7") < F.col("b_max_lat_e7")))
-    if _region(boundaries):
-        x, y = F.col("a_min_lon_e7"), F.col("a_min_lat_e7")
-        pairs = pairs.where(point_in_ring(x, y, F.col("b_outer")) & ~F.exists("b_holes", lambda h: point_in_ring(x, y, h)))
-    return pairs.groupBy(*[F.col("b_" + c).alias(c) for c in ("country", "zoom", "x", "y")]).agg(F.min("a_node_id").alias("node_id"), F.count(F.lit(1)).alias("nodes"))
+    placed = shards_of_points(usable.select("node_id", "lon_e7", "lat_e7"), leaves)
+    held = locate(placed, boundaries.select("country", *_region(boundaries), *BOX)).join(missing.select("country", "zoom", "x", "y").distinct(), ["country", "zoom", "x", "y"])
+    return held.groupBy("country", "zoom", "x", "y").agg(F.min("node_id").alias("node_id"), F.count(F.lit(1)).alias("nodes"))
