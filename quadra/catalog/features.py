@@ -10,7 +10,7 @@ from quadra.functions import geometry as G
 from quadra.functions import tags as P
 from quadra.functions.tiles import degrees_text
 from quadra.operators import entities, relations, spatial
-from quadra.plans import build
+from quadra.plans import build, slicing
 
 QUERIES, SQL = {}, {}
 
@@ -158,6 +158,38 @@ def c2_polygons(s, d):
     return build.slice_polygons(a, T.boundaries(s, d)).select("id", "country", G.to_wkt(F.col("geom"), "POLYGON").alias("geometry"))
 
 
+#: The outlines' edges, which are upright or level: kind of country, upright, where, from, to (degrees in the country's box).
+_BORDERS = """borders AS (SELECT country, upright, CASE WHEN upright THEN min_lon_e7 ELSE min_lat_e7 END + k * 10000000 AS k, CASE WHEN upright THEN min_lat_e7 ELSE min_lon_e7 END + lo * 10000000 AS lo,
+  CASE WHEN upright THEN min_lat_e7 ELSE min_lon_e7 END + hi * 10000000 AS hi
+ FROM boundaries JOIN (VALUES (0, true, 0, 0, 34), (0, true, 36, 17, 34), (0, true, 72, 0, 17), (0, false, 34, 0, 36), (0, false, 17, 36, 72), (0, false, 0, 0, 72),
+  (1, true, 0, 0, 34), (1, true, 24, 0, 34), (1, true, 48, 0, 34), (1, true, 72, 0, 34), (1, true, 54, 10, 24), (1, true, 66, 10, 24),
+  (1, false, 0, 0, 24), (1, false, 34, 0, 24), (1, false, 0, 48, 72), (1, false, 34, 48, 72), (1, false, 10, 54, 66), (1, false, 24, 54, 66),
+  (2, true, 0, 0, 34), (2, true, 72, 0, 34), (2, false, 0, 0, 72), (2, false, 34, 0, 72)) v(i, upright, k, lo, hi) ON CAST(substr(country, 2) AS INTEGER) % 3 = i)"""
+_fdiv = lambda n, d: f"(({n}) // ({d}) - CASE WHEN ({n}) % ({d}) <> 0 AND (({n}) < 0) <> (({d}) < 0) THEN 1 ELSE 0 END)"
+_PIECES = (
+    "wn AS (SELECT way_nodes.* FROM way_nodes SEMI JOIN ways USING (way_id))",
+    _BORDERS,
+    "held AS (SELECT DISTINCT p.way_id, seq, lon_e7, lat_e7, country FROM wn p JOIN rects b ON lon_e7 >= min_lon_e7 AND lon_e7 < max_lon_e7 AND lat_e7 >= min_lat_e7 AND lat_e7 < max_lat_e7)",
+    "steps AS (SELECT * FROM (SELECT way_id, seq, CAST(lon_e7 AS HUGEINT) AS x1, CAST(lat_e7 AS HUGEINT) AS y1, CAST(lead(lon_e7) OVER w AS HUGEINT) AS x2, CAST(lead(lat_e7) OVER w AS HUGEINT) AS y2 FROM wn WINDOW w AS (PARTITION BY way_id ORDER BY seq)) WHERE x2 IS NOT NULL)",
+    # a step along (u, v) crosses the line u = k; points lie a little to the east and, by less, to the north
+    "turned AS (SELECT way_id, seq, true AS upright, x1 AS u1, y1 AS v1, x2 AS u2, y2 AS v2 FROM steps UNION ALL SELECT way_id, seq, false, y1, x1, y2, x2 FROM steps)",
+    "hits AS (SELECT t.*, country, k, sign(u2 - u1) * (v1 * (u2 - u1) + (k - u1) * (v2 - v1) - lo * (u2 - u1)) AS above_lo, sign(u2 - u1) * (v1 * (u2 - u1) + (k - u1) * (v2 - v1) - hi * (u2 - u1)) AS above_hi, (v2 - v1) * sign(u2 - u1) <= 0 OR NOT upright AS tie FROM turned t JOIN borders USING (upright) WHERE (u1 >= k) <> (u2 >= k))",
+    "cr AS (SELECT way_id, seq, country, (abs(k - u1) * 4611686018427387904) // abs(u2 - u1) AS pos, any_value(CASE WHEN upright THEN k ELSE c END) AS lon_e7, any_value(CASE WHEN upright THEN c ELSE k END) AS lat_e7 FROM (SELECT *, v1 + " + _fdiv("(k - u1) * (v2 - v1)", "u2 - u1") + " AS c FROM hits WHERE (above_lo > 0 OR above_lo = 0 AND tie) AND NOT (above_hi > 0 OR above_hi = 0 AND tie)) GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1)",
+    "ev AS (SELECT cr.way_id, cr.country, cr.seq, pos, cr.lon_e7, cr.lat_e7, (h.seq IS NOT NULL) = (row_number() OVER (PARTITION BY cr.way_id, cr.seq, cr.country ORDER BY pos) % 2 = 0) AS start FROM cr LEFT JOIN held h ON h.way_id = cr.way_id AND h.seq = cr.seq AND h.country = cr.country UNION ALL SELECT way_id, country, seq, -1, lon_e7, lat_e7, seq = 1 FROM held)",
+    "runs AS (SELECT *, sum(CASE WHEN start THEN 1 ELSE 0 END) OVER (PARTITION BY way_id, country ORDER BY seq, pos) AS run FROM ev)",
+    "shown AS (SELECT *, lag(lon_e7) OVER w IS NOT DISTINCT FROM lon_e7 AND lag(lat_e7) OVER w IS NOT DISTINCT FROM lat_e7 AS again FROM runs WINDOW w AS (PARTITION BY way_id, country, run ORDER BY seq, pos))",
+    "pieces AS (SELECT way_id, country, run, min((seq, pos)) AS began, string_agg({} || ' ' || {}, ', ' ORDER BY seq, pos) FILTER (NOT again) AS line, count(*) FILTER (NOT again) AS n FROM shown GROUP BY ALL)".format(T.sql_degrees("lon_e7"), T.sql_degrees("lat_e7")),
+)
+
+
+@query("c2_slicing_outlines", "SELECT way_id * 1000000 + piece * 1000 AS id, country, 'LINESTRING (' || line || ')' AS geometry, 'iso_country_code=' || country AS code FROM (SELECT *, row_number() OVER (PARTITION BY way_id ORDER BY began, country) AS piece FROM pieces WHERE n > 1)", *_PIECES, keep=True)
+def c2_outlines(s, d):
+    """Ways of all kinds cut at countries that are polygons: L-shaped, in two parts, with a hole."""
+    made = slicing.country_lines(T.ways(s, d), T.way_nodes(s, d).join(T.ways(s, d).select("way_id"), "way_id", "left_semi"), T.outlines(s, d))
+    code = F.concat(F.lit("iso_country_code="), F.element_at("tags", F.lit("iso_country_code")))
+    return made.select("id", "country", G.to_wkt(F.col("geom")).alias("geometry"), code.alias("code"))
+
+
 @query("c4_subset", """
 SELECT 'feature' AS kind, item_type AS a, id AS b FROM features WHERE tags = 'landuse=forest' AND id % 3000000 = 0
 UNION ALL SELECT 'node', '', node_id FROM (SELECT DISTINCT unnest([first_node, last_node]) AS node_id FROM ways WHERE kind = 'AREA' AND way_id % 3 = 0)
