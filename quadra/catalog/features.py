@@ -9,7 +9,7 @@ from quadra.catalog.tiles import MEET, REL_CTE, relation_boxes
 from quadra.functions import geometry as G
 from quadra.functions import tags as P
 from quadra.functions.tiles import degrees_text
-from quadra.operators import entities, relations, spatial
+from quadra.operators import entities, relations, rings, spatial
 from quadra.plans import build, slicing
 
 QUERIES, SQL = {}, {}
@@ -373,15 +373,33 @@ def a2(s, d):
     return m.select("relation_id", "role", F.size("lines").cast("long").alias("lines"))
 
 
-LINES = f"rel_lines AS (SELECT DISTINCT relation_id, role, line FROM members JOIN (SELECT way_id, {WKT} AS line FROM rings GROUP BY 1) ON way_id = member_id WHERE member_type = 'AREA')"
-RING_COUNTS = "ring_counts AS (SELECT relation_id, CAST(count(*) FILTER (role = 'outer') AS INTEGER) AS outer_rings, CAST(nullif(count(*) FILTER (role = 'inner'), 0) AS INTEGER) AS inner_rings FROM rel_lines GROUP BY 1 HAVING count(*) FILTER (role = 'outer') > 0)"
+#: Each area's outline is closed, so that a ring is a different line of a relation's role. A hole goes to the smallest outer ring that
+#: holds more than half of its corners, by counting edges to the east of each.
+RING_COUNTS = """rel_rings AS (SELECT relation_id, role, line, min(way_id) AS ring FROM (SELECT relation_id, role, line, way_id FROM members JOIN (SELECT way_id, {} AS line FROM rings GROUP BY 1) ON way_id = member_id WHERE member_type = 'AREA') GROUP BY ALL),
+corners AS (SELECT relation_id, role, ring, seq, CAST(lon_e7 AS HUGEINT) AS x, CAST(lat_e7 AS HUGEINT) AS y, CAST(lead(lon_e7) OVER w AS HUGEINT) AS x2, CAST(lead(lat_e7) OVER w AS HUGEINT) AS y2
+ FROM rel_rings JOIN rings ON way_id = ring WINDOW w AS (PARTITION BY relation_id, role, ring ORDER BY seq)),
+ring_sides AS (SELECT * FROM corners WHERE x2 IS NOT NULL),
+ring_areas AS (SELECT relation_id, role, ring, abs(sum(x * y2 - x2 * y)) AS area2, count(*) AS n FROM ring_sides GROUP BY ALL),
+held AS (SELECT relation_id, hole, shell, count(*) AS inside FROM (SELECT h.relation_id, h.ring AS hole, h.seq, o.ring AS shell
+  FROM ring_sides h JOIN ring_sides o ON o.relation_id = h.relation_id AND h.role = 'inner' AND o.role = 'outer'
+  WHERE (o.y > h.y) <> (o.y2 > h.y) AND sign(o.y2 - o.y) * ((o.x2 - o.x) * (h.y - o.y) - (o.y2 - o.y) * (h.x - o.x)) > 0 GROUP BY ALL HAVING count(*) % 2 = 1) GROUP BY ALL),
+owners AS (SELECT relation_id, hole, arg_min(shell, area2) AS shell FROM (SELECT held.*, a.area2 FROM held JOIN ring_areas a ON a.relation_id = held.relation_id AND a.role = 'outer' AND a.ring = shell
+  JOIN ring_areas b ON b.relation_id = held.relation_id AND b.role = 'inner' AND b.ring = hole WHERE 2 * inside > b.n) GROUP BY ALL),
+shapes AS (SELECT a.relation_id, count(*) FILTER (role = 'outer') AS outer_rings, count(shell) AS holes, CAST(sum(CASE WHEN role = 'outer' THEN area2 WHEN shell IS NOT NULL THEN -area2 ELSE 0 END) AS VARCHAR) AS area2
+  FROM ring_areas a LEFT JOIN owners o ON a.role = 'inner' AND o.relation_id = a.relation_id AND o.hole = a.ring GROUP BY 1 HAVING count(*) FILTER (role = 'outer') > 0)""".replace("{}", WKT)
 
 
-@query("a3_polygons", "SELECT * FROM ring_counts", RINGS, LINES, RING_COUNTS, keep=True)
+def ring_numbers(parts):
+    """Columns outer_rings, holes and area2 of multipolygons."""
+    count = lambda c: c.cast("long")
+    return {"outer_rings": count(F.size(parts)), "holes": count(F.aggregate(parts, F.lit(0), lambda a, p: a + F.size(p["holes"]))), "area2": rings.parts_area2(parts).cast("decimal(38,0)").cast("string")}
+
+
+@query("a3_polygons", "SELECT relation_id, outer_rings, holes, area2 FROM shapes", RINGS, RING_COUNTS, keep=True)
 def a3(s, d):
-    """Each area's outline is a closed ring, so that a relation has as many rings as different lines."""
-    p = relations.polygons(relations.merge_lines(relations.member_lines(feature_members(s, d), features(s, d))))
-    return p.select("relation_id", F.size("outer").alias("outer_rings"), F.when(F.col("inner").isNotNull(), F.size("inner")).alias("inner_rings"))
+    """Outer rings, holes that one of them holds, and the area that is left."""
+    p = relations.polygons(relations.member_lines(feature_members(s, d), features(s, d)))
+    return p.withColumns(ring_numbers(F.col("parts"))).drop("parts")
 
 
 @query("a4_relations_of_shards", f"""
@@ -392,22 +410,24 @@ def a4(s, d):
     return relations.relations_of_shards(pairs).withColumn("relations", F.array_join("relations", ","))
 
 
-@query("j3_augment", "SELECT way_id * 1000000 AS id, kind AS item_type FROM ways WHERE kind = 'AREA' UNION ALL SELECT DISTINCT relation_id, 'RELATION' FROM members WHERE member_type = 'AREA' AND role = 'outer'", keep=True)
+@query("j3_augment", "SELECT ring * 1000000 AS id, 'AREA' AS item_type, 1 AS outer_rings, 0 AS holes, CAST(abs(sum(x * y2 - x2 * y)) AS VARCHAR) AS area2 FROM (SELECT way_id AS ring, CAST(lon_e7 AS HUGEINT) AS x, CAST(lat_e7 AS HUGEINT) AS y, CAST(lead(lon_e7) OVER w AS HUGEINT) AS x2, CAST(lead(lat_e7) OVER w AS HUGEINT) AS y2 FROM rings WINDOW w AS (PARTITION BY way_id ORDER BY seq)) WHERE x2 IS NOT NULL GROUP BY ring UNION ALL SELECT relation_id, 'RELATION', outer_rings, holes, area2 FROM shapes", RINGS, RING_COUNTS, keep=True)
 def j3(s, d):
-    """Areas keep their shape; relations without a shape of their own get the assembled outline."""
+    """Areas keep their shape; relations without a shape of their own get the assembled one, all rings of it."""
     m, f = feature_members(s, d), features(s, d).where("item_type = 'AREA'")
-    shapes = relations.polygons(relations.merge_lines(relations.member_lines(m, f)))
     bare = m.where("member_type = 'AREA'").select(F.lit("RELATION").alias("item_type"), F.col("relation_id").alias("id"), F.lit(None).cast(G.POINTS).alias("geom")).distinct()
-    return relations.augment(f.select("item_type", "id", "geom").unionByName(bare), shapes).where("geom is not null").select("id", "item_type")
+    all_of = relations.augment(f.select("item_type", "id", "geom").unionByName(bare), relations.polygons(relations.member_lines(m, f)))
+    own = F.array(F.struct(F.col("geom").alias("outer"), F.array().cast(f"array<{G.POINTS}>").alias("holes")))
+    parts = F.coalesce("parts", F.when(F.col("geom").isNotNull(), own))
+    return all_of.withColumn("parts", parts).where("parts is not null").withColumns(ring_numbers(F.col("parts"))).select("id", "item_type", "outer_rings", "holes", "area2")
 
 
 @query("c5_augmented_shards", f"""
-SELECT b.country, t.zoom, t.x, t.y, r.relation_id, outer_rings FROM outer_box r JOIN tiles t ON final AND {MEET.format(a='r', b='t')}
-JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='r')} JOIN ring_counts USING (relation_id)""", RINGS, LINES, RING_COUNTS,
+SELECT b.country, t.zoom, t.x, t.y, r.relation_id, outer_rings, holes, area2 FROM outer_box r JOIN tiles t ON final AND {MEET.format(a='r', b='t')}
+JOIN boundaries b ON {MEET.format(a='b', b='t')} AND {MEET.format(a='b', b='r')} JOIN shapes USING (relation_id)""", RINGS, RING_COUNTS,
     "outer_box AS (SELECT relation_id, min(min_lon_e7) AS min_lon_e7, min(min_lat_e7) AS min_lat_e7, max(max_lon_e7) AS max_lon_e7, max(max_lat_e7) AS max_lat_e7 FROM members JOIN ways ON member_type = 'AREA' AND role = 'outer' AND way_id = member_id GROUP BY 1)", keep=True)
 def c5(s, d):
     out = relations.augmented_by_shard(feature_members(s, d), features(s, d), T.tiles(s, d), T.boundaries(s, d))
-    return out.select("country", "zoom", "x", "y", "relation_id", F.size("outer").alias("outer_rings"))
+    return out.withColumns(ring_numbers(F.col("parts"))).drop("parts")
 
 
 @query("j15_leaf_members", """

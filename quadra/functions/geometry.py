@@ -1,11 +1,9 @@
 """Geometry on arrays of struct(lon_e7, lat_e7), in column expressions: exact integer arithmetic, but for the rounded
-points where outlines are cut. Only the chaining of lines to rings is Python, a small helper behind Arrow batches."""
+points where outlines are cut."""
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quadra.functions.tiles import degrees_text
@@ -153,47 +151,3 @@ def clip_ring(ring: Column, box: dict[str, Column]) -> Column:
         r = _clip_side(r, axis, box[side], sign)
     single = _bound(r, lambda r: F.filter(r, lambda p, i: p != F.get(r, F.when(i > 0, i - 1).otherwise(F.size(r) - 1))))
     return _bound(single, lambda r: F.when(F.size(r) > 2, F.concat(r, F.slice(r, 1, 1))).otherwise(F.array().cast(POINTS)))
-
-
-def chain_rings(lines: list[list[dict]]) -> list[list[dict]] | None:
-    """Chains lines by shared ends to closed rings, the first line that fits each time; None if an end is left open."""
-    left, out = sorted([(p["lon_e7"], p["lat_e7"]) for p in line] for line in lines), []
-    at, used = defaultdict(list), [False] * len(left)
-    for i in reversed(range(len(left))):
-        for end in {left[i][0], left[i][-1]}:
-            at[end].append(i)  # the smallest last
-
-    def take(end: tuple[int, int]) -> int | None:
-        while at[end] and used[at[end][-1]]:
-            at[end].pop()
-        return at[end].pop() if at[end] else None
-
-    for i, line in enumerate(left):
-        if used[i]:
-            continue
-        used[i], ring = True, list(line)
-        while ring[0] != ring[-1]:
-            k = take(ring[-1])
-            if k is None:
-                return None
-            used[k] = True
-            ring += (left[k] if left[k][0] == ring[-1] else left[k][::-1])[1:]
-        if len(ring) < 4:
-            return None
-        out.append([{"lon_e7": x, "lat_e7": y} for x, y in ring])
-    return out
-
-
-def assemble_rings(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(key, columns): each column, an array of lines, becomes an array of rings (A3), or null where they do not close."""
-    import pyarrow as pa
-
-    point = pa.struct([("lon_e7", pa.int64()), ("lat_e7", pa.int64())])
-    schema = pa.schema([(key, pa.int64()), *[(c, pa.list_(pa.list_(point))) for c in columns]])
-
-    def run(batches):
-        for batch in batches:
-            rows = [{key: r[key]} | {c: chain_rings(r[c]) if r[c] is not None else None for c in columns} for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    return df.select(F.col(key).cast("long").alias(key), *columns).mapInArrow(run, f"{key} long, " + ", ".join(f"{c} array<{POINTS}>" for c in columns))

@@ -160,12 +160,14 @@ def inside_tile(x: Column, y: Column) -> Column:
     return F.when(F.size("edges") == 0, F.lit(True)).otherwise(F.col("odd") != (F.size(changes) % 2 == 1))
 
 
-def locate_in(points: DataFrame, cover: DataFrame, lon: str = "lon_e7", lat: str = "lat_e7", key: str = "country") -> DataFrame:
+def locate_in(points: DataFrame, cover: DataFrame, lon: str = "lon_e7", lat: str = "lat_e7", key: str = "country", on: Column | None = None) -> DataFrame:
     """Points with the key of each area that holds them. A point is listed at the levels of the cover, and meets one tile of each area.
-    A crowded tile's points may be split by Spark among tasks, as its few edges are short."""
+    A crowded tile's points may be split by Spark among tasks, as its few edges are short. ``on``: a further condition on a point's
+    columns and the key."""
     deep = points.withColumns({"__x": tile_x(lon, F.lit(DEEP)), "__y": tile_y(lat, F.lit(DEEP))}).withColumn("__zoom", F.explode(levels_of(cover)))
     up = lambda c: F.expr(f"shiftright({c}, {DEEP} - __zoom)")
     at = F.struct(F.col("__zoom").alias("zoom"), up("__x").alias("x"), up("__y").alias("y"))
     keyed = cover.select(key, "odd", "corner_x", "corner_y", "edges", F.struct(F.col("zoom").cast("int").alias("zoom"), "x", "y").alias("__tile"))
-    met = deep.withColumn("__t", at).join(keyed, F.col("__t") == F.col("__tile")).where(inside_tile(F.col(lon), F.col(lat)))
+    same = F.col("__t") == F.col("__tile")
+    met = deep.withColumn("__t", at).join(keyed, same if on is None else same & on).where(inside_tile(F.col(lon), F.col(lat)))
     return met.select(*points.columns, key)

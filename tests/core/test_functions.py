@@ -66,17 +66,6 @@ def test_clip(spark):
     assert one(spark, G.clip_ring(square(), lits(50, 50, 60, 60))) == []
 
 
-def test_ring_assembly():
-    line = lambda *pts: [{"lon_e7": x, "lat_e7": y} for x, y in pts]
-    rings = G.chain_rings([line((0, 0), (1, 0)), line((1, 1), (1, 0)), line((1, 1), (0, 0)), line((5, 5), (6, 5), (6, 6), (5, 5))])
-    assert sorted(len(r) for r in rings) == [4, 4] and all(r[0] == r[-1] for r in rings)
-    assert G.chain_rings([line((0, 0), (1, 0)), line((1, 1), (1, 0))]) is None
-    assert G.chain_rings([]) == []
-    n = 20_000  # a coastline in pieces: in time linear in their number
-    coast = G.chain_rings([line((i, 0), (i + 1, 0)) if i % 2 else line((i + 1, 0), (i, 0)) for i in range(n)] + [line((n, 0), (0, 5)), line((0, 5), (0, 0))])
-    assert len(coast) == 1 and len(coast[0]) == n + 3
-
-
 def test_tag_filters(spark):
     df = spark.createDataFrame([(1, {"a": "1", "b": "2"}), (2, {"a": "2"}), (3, None)], "id int, tags map<string,string>")
     ids = lambda rule: [r.id for r in df.where(P.tag_filter(rule)).orderBy("id").collect()]
