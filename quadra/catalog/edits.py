@@ -423,6 +423,17 @@ def j17(s, d):
     return C.floaters(edges(s, d))
 
 
+FLOATING = (
+    "ends AS (SELECT DISTINCT abs(id) AS e, unnest([start_node, end_node]) AS node FROM edges)",
+    "gone AS (SELECT * FROM edges WHERE abs(id) NOT IN (SELECT e FROM ends WHERE node IN (SELECT node FROM ends GROUP BY 1 HAVING count(*) > 1)))",
+)
+
+
+@query("j17_floater_removes", "SELECT 'EDGE' AS item_type, id, 'REMOVE' AS change_type FROM gone UNION ALL SELECT DISTINCT 'NODE', unnest([start_node, end_node]), 'REMOVE' FROM gone", *EDGES, *FLOATING, keep=True)
+def j17_removes(s, d):
+    return C.floater_removes(edges(s, d))
+
+
 @query("j18_turn_restrictions", """
 SELECT node_id, f AS from_edge, t AS to_edge FROM (SELECT a.end_node AS node_id, a.id AS f, b.id AS t, row_number() OVER (PARTITION BY a.end_node ORDER BY a.id, b.id) AS rn
  FROM edges a JOIN edges b ON b.start_node = a.end_node AND a.id <> -b.id JOIN ins ON ins.node_id = a.end_node JOIN outs ON outs.node_id = a.end_node WHERE ni + no > 3) WHERE rn = 1""", *EDGES, *ADJ)

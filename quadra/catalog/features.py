@@ -10,7 +10,7 @@ from quadra.functions import geometry as G
 from quadra.functions import tags as P
 from quadra.functions.tiles import degrees_text
 from quadra.operators import entities, relations, rings, spatial
-from quadra.plans import build, slicing
+from quadra.plans import build, raw, slicing
 
 QUERIES, SQL = {}, {}
 
@@ -111,6 +111,49 @@ def s6(s, d):
     return build.read_raw(w.where("way_id % 2 = 0"), area, w.where("way_id % 2 = 1"), rule=~P.has_tag("waterway")).select("way_id", "kind")
 
 
+_BOX = dict(zip(G.BOX, (-360000000, 0, 360000000, 400000000)))
+#: Two inputs: the second has a second version of every third node (it has moved), of every fifth way (it is shorter) and of every tenth
+#: customer's relation (it has one member left).
+RAW = (
+    "raw_nodes AS (SELECT node_id, CASE WHEN node_id % 3 = 0 THEN lon_e7 + 50000000 ELSE lon_e7 END AS lon_e7, lat_e7 FROM nodes)",
+    "raw_ways AS (SELECT way_id, node_id FROM way_nodes JOIN ways USING (way_id) WHERE way_id % 5 <> 0 OR seq <= 2)",
+    "raw_members AS (SELECT * FROM members WHERE NOT (relation_id % 10 = 0 AND member_type = 'AREA' AND seq <> 1))",
+    "inside AS (SELECT node_id FROM raw_nodes WHERE {})",
+    "kept_ways AS (SELECT DISTINCT way_id FROM raw_ways JOIN inside USING (node_id))",
+    "kept_nodes AS (SELECT node_id FROM inside UNION SELECT node_id FROM raw_ways JOIN kept_ways USING (way_id))",
+    "lower_relations AS (SELECT DISTINCT relation_id FROM raw_members JOIN kept_ways ON member_type = 'AREA' AND way_id = member_id)",
+    "kept_relations AS (SELECT relation_id FROM lower_relations UNION SELECT m.relation_id FROM raw_members m JOIN lower_relations l ON member_type = 'RELATION' AND member_id = l.relation_id)",
+)
+_RAW_SQL = "SELECT 'node' AS kind, node_id AS id, lon_e7 AS value FROM kept_nodes JOIN raw_nodes USING (node_id) UNION ALL SELECT 'way', way_id, count(*) FROM raw_ways JOIN kept_ways USING (way_id) GROUP BY way_id UNION ALL SELECT 'relation', relation_id, count(*) FROM raw_members JOIN kept_relations USING (relation_id) GROUP BY relation_id"
+_IN_BOX = "lon_e7 BETWEEN -360000000 AND 360000000 AND lat_e7 BETWEEN 0 AND 400000000"
+
+
+def _completed(s, d, areas=None):
+    n = T.nodes(s, d).select("node_id", F.lit(1).alias("version"), "lon_e7", "lat_e7")
+    w = T.ways(s, d).select("way_id", F.lit(1).alias("version"), "nodes")
+    m = T.members(s, d).select("relation_id", F.lit(1).alias("version"), "seq", F.when(F.col("member_type") == "AREA", "WAY").otherwise(F.col("member_type")).alias("member_type"), "member_id", "role")
+    two = F.lit(2).alias("version")
+    n2 = n.where("node_id % 3 = 0").select("node_id", two, (F.col("lon_e7") + 50000000).alias("lon_e7"), "lat_e7")
+    w2 = w.where("way_id % 5 = 0").select("way_id", two, F.slice("nodes", 1, 2).alias("nodes"))
+    m2 = m.where("relation_id % 10 = 0 and member_type = 'WAY' and seq = 1").withColumn("version", F.lit(2))
+    got = raw.complete([n, n2], [w, w2, w.where("way_id % 2 = 0")], [m, m2], _BOX, areas)
+    part = lambda kind, df, key, value: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), value.cast("long").alias("value"))
+    relations_of = got["members"].groupBy("relation_id").agg(F.count(F.lit(1)).alias("n"))
+    return part("node", got["nodes"], "node_id", F.col("lon_e7")).unionByName(part("way", got["ways"], "way_id", F.size("nodes"))).unionByName(part("relation", relations_of, "relation_id", F.col("n")))
+
+
+@query("s6_completed", _RAW_SQL, *[c.format(_IN_BOX) for c in RAW], keep=True)
+def s6_completed(s, d):
+    """Nodes, ways and relations from inputs with overlapping versions: whole ways, relations of what stays."""
+    return _completed(s, d)
+
+
+@query("s6_completed_outlines", _RAW_SQL, *[c.format(_IN_BOX + " AND EXISTS (SELECT 1 FROM rects b WHERE lon_e7 >= b.min_lon_e7 AND lon_e7 < b.max_lon_e7 AND lat_e7 >= b.min_lat_e7 AND lat_e7 < b.max_lat_e7)") for c in RAW], keep=True)
+def s6_outlines(s, d):
+    """The same inside of countries that are polygons."""
+    return _completed(s, d, T.outlines(s, d))
+
+
 @query("c3_sectioning", "SELECT id, way_id, section, start_node, end_node, 'LINESTRING (' || line || ')' AS geometry FROM edges", *EDGES, keep=True)
 def c3(s, d):
     return edges(s, d).select("id", "way_id", "section", "start_node", "end_node", G.to_wkt(F.col("geom")).alias("geometry"))
@@ -195,13 +238,26 @@ SELECT 'feature' AS kind, item_type AS a, id AS b FROM features WHERE tags = 'la
 UNION ALL SELECT 'node', '', node_id FROM (SELECT DISTINCT unnest([first_node, last_node]) AS node_id FROM ways WHERE kind = 'AREA' AND way_id % 3 = 0)
 UNION ALL SELECT 'member', role, member_id * 1000000 FROM members WHERE member_type = 'AREA' AND member_id % 3 = 0""", FEATURES, keep=True)
 def c4(s, d):
+    return _subset(s, d, "SOFT")
+
+
+def _subset(s, d, cut):
     w = T.ways(s, d)
     nodes_of = w.where("kind = 'AREA'").select((F.col("way_id") * 1_000_000).alias("id"), F.posexplode("nodes").alias("pos", "node_id"), (F.size("nodes") - 1).alias("n")).select("id", "node_id", (F.col("pos") == 0).alias("first"), (F.col("pos") == F.col("n")).alias("last"))
-    got = build.subset(features(s, d), nodes_of, feature_members(s, d), P.tag_filter("landuse->forest") & (F.col("id") % 3_000_000 == 0))
+    got = build.subset(features(s, d), nodes_of, feature_members(s, d), P.tag_filter("landuse->forest") & (F.col("id") % 3_000_000 == 0), cut)
     f = got["features"].select(F.lit("feature").alias("kind"), F.col("item_type").alias("a"), F.col("id").alias("b"))
     return f.unionByName(got["nodes"].select(F.lit("node").alias("kind"), F.lit("").alias("a"), F.col("node_id").alias("b"))).unionByName(got["members"].select(F.lit("member").alias("kind"), F.col("role").alias("a"), F.col("member_id").alias("b")))
 
 
+@query("c4_silk_subset", """
+SELECT 'feature' AS kind, item_type AS a, id AS b FROM features WHERE tags = 'landuse=forest' AND id % 3000000 = 0
+UNION ALL SELECT 'node', '', node_id FROM (SELECT DISTINCT node_id FROM way_nodes JOIN ways USING (way_id) WHERE kind = 'AREA' AND way_id % 3 = 0)
+UNION ALL SELECT 'member', role, member_id * 1000000 FROM members WHERE member_type = 'AREA' AND member_id % 3 = 0""", FEATURES, keep=True)
+def c4_silk(s, d):
+    """All nodes of each way that is kept, not its ends alone."""
+    return _subset(s, d, "SILK")
+
+
 @query("c14_world", "SELECT '0-0-0' AS shard, 'WORLD' AS country, item_type, count(*) AS n FROM features GROUP BY ALL", FEATURES)
 def c14(s, d):
     return features(s, d).groupBy(F.lit("0-0-0").alias("shard"), F.lit("WORLD").alias("country"), "item_type").agg(F.count(F.lit(1)).alias("n"))

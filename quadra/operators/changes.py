@@ -385,6 +385,13 @@ def floaters(edges: DataFrame) -> DataFrame:
     return edges.select("id", F.abs("id").alias("e")).join(tied, "e", "left_anti").select("id")
 
 
+def floater_removes(edges: DataFrame) -> DataFrame:
+    """(item_type, id, change_type): the removal of each floating edge, its reverse, and both of its nodes."""
+    gone = edges.join(floaters(edges), "id", "left_semi")
+    nodes = gone.select(F.explode(F.array("start_node", "end_node")).alias("id")).distinct()
+    return gone.select(F.lit("EDGE").alias("item_type"), "id").unionByName(nodes.select(F.lit("NODE").alias("item_type"), "id")).withColumn("change_type", F.lit("REMOVE"))
+
+
 def turn_restrictions(edges: DataFrame, valence: DataFrame, above: int) -> DataFrame:
     """(node_id, from_edge, to_edge): per node of a higher valence the pair of smallest ids that is no U-turn."""
     busy = valence.where(F.col("valence") > above).select("node_id")
