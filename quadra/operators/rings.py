@@ -102,6 +102,19 @@ def multipolygons(rings: DataFrame) -> DataFrame:
     return parts.groupBy("relation_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
 
 
+def nested(rings: DataFrame) -> DataFrame:
+    """(relation_id, ring_id, depth): by how many other rings of its relation more than half of a ring's corners are held; rings that none
+    holds have no row. ``rings``: (relation_id, ring_id, outer, holes), with empty holes."""
+    several = rings.join(rings.groupBy("relation_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "relation_id", "left_semi")
+    shells = several.withColumn("shell", F.struct("relation_id", "ring_id"))
+    corners = several.select("relation_id", "ring_id", F.size("outer").alias("n"), F.explode(F.slice("outer", 1, F.greatest(F.size("outer") - 1, F.lit(1)))).alias("p"))
+    corners = corners.select("relation_id", "ring_id", (F.col("n") - 1).alias("n"), "p.*")
+    other = (F.col("relation_id") == F.col("shell.relation_id")) & (F.col("ring_id") != F.col("shell.ring_id"))
+    held = locate_in(corners, build_cover(shells.select("shell", "outer", "holes"), "shell"), key="shell", on=other)
+    most = held.groupBy("relation_id", "ring_id", "n", "shell").agg(F.count(F.lit(1)).alias("inside")).where(2 * F.col("inside") > F.col("n"))
+    return most.groupBy("relation_id", "ring_id").agg(F.count(F.lit(1)).alias("depth"))
+
+
 def parts_area2(parts: Column) -> Column:
     """Twice the area of a multipolygon, in square e7 units: its outer rings without their holes."""
     total = lambda of: F.aggregate(of, F.lit(0).cast("decimal(38,0)"), lambda a, r: (a + area2(r)).cast("decimal(38,0)"))

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quadra.functions.geometry import bounds, feature_id
+from quadra.functions.geometry import POINTS, bounds, feature_id
 from quadra.functions.tiles import E7, tile_x, tile_y
-from quadra.operators.cover import DEEP, EDGE, build_cover, cross, levels_of, locate_in
+from quadra.operators.cover import EDGE, build_cover, cross, levels_of, locate_in
+from quadra.operators.rings import chain, multipolygons, nested
+from quadra.session import cut
 
 #: Tiles of a segment are found in floating point, with so much room (1e-7 degree); the exact test follows.
 ROOM = 50
@@ -50,9 +52,9 @@ def _floor_div(n: str, d: str) -> str:
     return f"(({n}) div ({d}) - case when ({n}) < 0 and ({n}) <> cast((({n}) div ({d})) as decimal(19,0)) * ({d}) then 1 else 0 end)"
 
 
-def crossings(steps: DataFrame, cover: DataFrame, key: str = "country") -> DataFrame:
+def crossings(steps: DataFrame, cover: DataFrame, key: str = "country", up: bool = False) -> DataFrame:
     """(way_id, seq, key, at, lon_e7, lat_e7): where segments go into or out of an area. ``at``: parameter along the segment in 2^-62.
-    The point is rounded down; on an upright or level border it lies on the border."""
+    The point is rounded down (or ``up``); on an upright or level border it lies on the border."""
     border = cover.where(F.size("edges") > 0).select(key, F.struct(F.col("zoom").cast("int").alias("zoom"), "x", "y").alias("t"), F.explode("edges").alias("e")).select(key, "t", "e.*")
     near = _tiles_of_segments(steps, levels_of(border.select(F.col("t.zoom").alias("zoom")))).join(border, "t").drop("t")
     boxes = [(F.least(a, b) <= F.greatest(c, d)) for a, b, c, d in (("x1", "x2", "px", "qx"), ("px", "qx", "x1", "x2"), ("y1", "y2", "py", "qy"), ("py", "qy", "y1", "y2"))]
@@ -67,14 +69,15 @@ def crossings(steps: DataFrame, cover: DataFrame, key: str = "country") -> DataF
     edge = lambda v: F.when(F.col(v) != 0, F.col(v) > 0).when(dy != 0, dy > 0).otherwise(dx < 0)
     met = near.where((point("from_side") != point("to_side")) & (edge("p_side") != edge("q_side"))).dropDuplicates(["way_id", "seq", key, *EDGE])
     met = met.withColumns({"n": F.abs("from_side"), "d": F.abs(F.col("from_side") - F.col("to_side")).cast("decimal(38,0)")})
-    along = lambda a, b: F.expr(f"{a} + {_floor_div(f'cast(n * cast({b} - {a} as decimal(19,0)) as decimal(38,0))', 'd')}").cast("long")
+    sign = "-1 * " if up else ""
+    along = lambda a, b: F.expr(f"{a} + {sign}{_floor_div(f'cast(n * cast({sign}({b} - {a}) as decimal(19,0)) as decimal(38,0))', 'd')}").cast("long")
     at = F.expr("(cast(n * cast(4611686018427387904 as decimal(19,0)) as decimal(38,0))) div d")
     each = met.select("way_id", "seq", key, at.alias("at"), along("x1", "x2").alias("lon_e7"), along("y1", "y2").alias("lat_e7"))
     odd = each.groupBy("way_id", "seq", key, "at").agg(F.count(F.lit(1)).alias("n"), F.min("lon_e7").alias("lon_e7"), F.min("lat_e7").alias("lat_e7")).where("n % 2 = 1")
     return odd.drop("n")
 
 
-def slice_lines(way_nodes: DataFrame, areas: DataFrame, key: str = "country") -> DataFrame:
+def slice_lines(way_nodes: DataFrame, areas: DataFrame, key: str = "country", up: bool = False) -> DataFrame:
     """(way_id, piece, country, geom): ways cut at the borders of areas (``outer``, ``holes``; several rows to a country).
 
     Pieces are numbered from 1 along the way; they end and start at the border's points. What lies outside of all areas is dropped, and
@@ -83,7 +86,7 @@ def slice_lines(way_nodes: DataFrame, areas: DataFrame, key: str = "country") ->
     rows = way_nodes.select("way_id", "seq", "lon_e7", "lat_e7")
     inside = locate_in(rows, cover, key=key)
     place = W.partitionBy("way_id", "seq", key).orderBy("at")
-    marked = crossings(segments(rows), cover, key).withColumn("k", F.row_number().over(place)).join(inside.select("way_id", "seq", key, F.lit(True).alias("held")), ["way_id", "seq", key], "left")
+    marked = crossings(segments(rows), cover, key, up).withColumn("k", F.row_number().over(place)).join(inside.select("way_id", "seq", key, F.lit(True).alias("held")), ["way_id", "seq", key], "left")
     enters = F.coalesce("held", F.lit(False)) == (F.col("k") % 2 == 0)
     events = marked.select("way_id", key, "seq", "at", "lon_e7", "lat_e7", enters.alias("start"))
     events = events.unionByName(inside.select("way_id", key, "seq", F.lit(-1).cast("long").alias("at"), "lon_e7", "lat_e7", (F.col("seq") == 1).alias("start")))
@@ -98,9 +101,39 @@ def slice_lines(way_nodes: DataFrame, areas: DataFrame, key: str = "country") ->
     return done.withColumn("piece", number).select("way_id", "piece", F.col(key).alias("country"), "geom")
 
 
+def _ring_nodes(areas: DataFrame, key: str) -> DataFrame:
+    """The rings of areas as ways: way_id is struct(key, ring number)."""
+    rings = areas.select(key, F.posexplode(F.concat(F.array("outer"), F.coalesce("holes", F.array().cast(f"array<{POINTS}>")))).alias("n", "ring"))
+    owner = rings.withColumn("way_id", F.struct(F.col(key).alias("of"), "n", F.xxhash64("ring").alias("h")))  # an area may have several rows
+    return owner.select("way_id", F.posexplode("ring").alias("seq", "p")).select("way_id", (F.col("seq") + 1).alias("seq"), "p.*")
+
+
+def _turned(areas: DataFrame) -> DataFrame:
+    turn = lambda r: F.transform(r, lambda p: F.struct((-p["lon_e7"]).alias("lon_e7"), (-p["lat_e7"]).alias("lat_e7")))
+    return areas.withColumns({"outer": turn(F.col("outer")), "holes": F.transform("holes", turn)})
+
+
+def intersections(a: DataFrame, b: DataFrame, a_key: str = "id", b_key: str = "country") -> DataFrame:
+    """(a_key, b_key, parts): what each area of ``a`` has in common with each of ``b``, as multipolygons; both have ``outer`` and ``holes``.
+
+    The border of what is common is made of the parts of a's rings inside of b and of b's rings inside of a. Both are cut by
+    :func:`slice_lines`; their ends are the same crossings, rounded alike, so that chaining by shared ends gives the rings, however many
+    pieces a concave outline falls into. Points of a count as moved a little to the north-east of b, and points of b to the south-west of
+    a, which is the same, so that both cuts agree where borders touch. Rings inside of an odd number of others are holes."""
+    cut_a = slice_lines(_ring_nodes(a, a_key), b, b_key).select(F.col("way_id.of").alias("a"), F.col("country").alias("b"), "geom")
+    back = {"lon_e7": -F.col("lon_e7"), "lat_e7": -F.col("lat_e7")}
+    turned = slice_lines(_ring_nodes(b, b_key).withColumns(back), _turned(a), a_key, up=True)
+    cut_b = turned.select(F.col("country").alias("a"), F.col("way_id.of").alias("b"), F.transform("geom", lambda p: F.struct((-p["lon_e7"]).alias("lon_e7"), (-p["lat_e7"]).alias("lat_e7"))).alias("geom"))
+    lines = cut_a.unionByName(cut_b).select(F.struct("a", "b").alias("relation_id"), F.lit("ring").alias("role"), "geom").distinct()
+    rings = cut(chain(lines).where("ring is not null").select("relation_id", F.sha2(F.col("ring").cast("string"), 256).alias("ring_id"), F.col("ring").alias("outer")))
+    found = nested(rings.withColumn("holes", F.array().cast(f"array<{POINTS}>")))
+    roles = rings.join(found, ["relation_id", "ring_id"], "left").select("relation_id", F.when(F.coalesce("depth", F.lit(0)) % 2 == 1, "inner").otherwise("outer").alias("role"), F.col("outer").alias("ring"))
+    return multipolygons(roles).select(F.col("relation_id.a").alias(a_key), F.col("relation_id.b").alias(b_key), "parts")
+
+
 def country_lines(ways: DataFrame, way_nodes: DataFrame, areas: DataFrame) -> DataFrame:
     """(id, way_id, piece, country, geom, tags, box): the pieces as features; the tag ``iso_country_code`` says where each lies."""
-    cut = slice_lines(way_nodes, areas).join(ways.select("way_id", "tags"), "way_id")
+    pieces = slice_lines(way_nodes, areas).join(ways.select("way_id", "tags"), "way_id")
     code = F.create_map(F.lit("iso_country_code"), F.col("country"))
     own = F.map_filter(F.coalesce("tags", F.create_map().cast("map<string,string>")), lambda k, _: k != "iso_country_code")
-    return cut.withColumns({"id": feature_id("way_id", "piece", 0), "tags": F.map_concat(own, code)}).withColumns(bounds(F.col("geom")))
+    return pieces.withColumns({"id": feature_id("way_id", "piece", 0), "tags": F.map_concat(own, code)}).withColumns(bounds(F.col("geom")))
