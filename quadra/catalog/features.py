@@ -233,6 +233,16 @@ def c2_outlines(s, d):
     return made.select("id", "country", G.to_wkt(F.col("geom")).alias("geometry"), code.alias("code"))
 
 
+@query("c2_slice_polygons_outlines", "SELECT way_id * 1000000 AS \"of\", country, 'iso_country_code=' || country || ';landuse=forest' AS tags, CAST(sum(2 * (CAST(least(w.max_lon_e7, b.max_lon_e7) AS HUGEINT) - greatest(w.min_lon_e7, b.min_lon_e7)) * (least(w.max_lat_e7, b.max_lat_e7) - greatest(w.min_lat_e7, b.min_lat_e7))) AS VARCHAR) AS area2 FROM ways w JOIN rects b ON w.min_lon_e7 < b.max_lon_e7 AND b.min_lon_e7 < w.max_lon_e7 AND w.min_lat_e7 < b.max_lat_e7 AND b.min_lat_e7 < w.max_lat_e7 WHERE kind = 'AREA' AND w.min_lon_e7 < w.max_lon_e7 AND w.min_lat_e7 < w.max_lat_e7 GROUP BY ALL", keep=True)
+def c2_polygons_outlines(s, d):
+    """The boxes of all areas cut at countries that are polygons; the pieces' areas add up to what rectangles have in common."""
+    a = features(s, d).where("item_type = 'AREA' and min_lon_e7 < max_lon_e7 and min_lat_e7 < max_lat_e7")
+    boxes = a.select("id", G.box_ring(G.box_columns()).alias("outer"), F.array().cast(f"array<{G.POINTS}>").alias("holes"), "tags")
+    made = slicing.country_areas(boxes, T.outlines(s, d)).withColumn("parts", F.array(F.struct("outer", "holes")))
+    sums = made.groupBy("of", "country", P.tags_text(F.col("tags")).alias("tags")).agg(F.sum(rings.parts_area2(F.col("parts"))).alias("a"))
+    return sums.select("of", "country", "tags", F.col("a").cast("decimal(38,0)").cast("string").alias("area2"))
+
+
 @query("c4_subset", """
 SELECT 'feature' AS kind, item_type AS a, id AS b FROM features WHERE tags = 'landuse=forest' AND id % 3000000 = 0
 UNION ALL SELECT 'node', '', node_id FROM (SELECT DISTINCT unnest([first_node, last_node]) AS node_id FROM ways WHERE kind = 'AREA' AND way_id % 3 = 0)

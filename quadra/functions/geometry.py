@@ -29,10 +29,15 @@ def to_wkt(geom: Column, kind: str = "LINESTRING") -> Column:
     return F.concat(F.lit(f"{kind} {left}"), inner, F.lit(right))
 
 
+def box_ring(box: dict[str, Column]) -> Column:
+    """The outline of a box."""
+    p = lambda a, b: F.struct(box[a].alias("lon_e7"), box[b].alias("lat_e7"))
+    west, south, east, north = BOX
+    return F.array(p(west, south), p(west, north), p(east, north), p(east, south), p(west, south))
+
+
 def box_wkt(min_lon: Column, min_lat: Column, max_lon: Column, max_lat: Column) -> Column:
-    p = lambda a, b: F.struct(a.alias("lon_e7"), b.alias("lat_e7"))
-    ring = F.array(p(min_lon, min_lat), p(min_lon, max_lat), p(max_lon, max_lat), p(max_lon, min_lat), p(min_lon, min_lat))
-    return F.when(min_lon.isNotNull(), to_wkt(ring, "POLYGON"))
+    return F.when(min_lon.isNotNull(), to_wkt(box_ring(dict(zip(BOX, (min_lon, min_lat, max_lon, max_lat), strict=True))), "POLYGON"))
 
 
 def area2(ring: Column) -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadra.functions.geometry import BOX, box_columns, box_intersection, boxes_meet, clip_ring, region_meets_box
+from quadra.functions.geometry import BOX, POINTS, bounds, box_columns, box_intersection, box_ring, boxes_meet, region_meets_box
 from quadra.functions.tiles import expand_bbox, tile_x, tile_y
 from quadra.operators.cover import build_cover, levels_of, locate_in
 
@@ -144,16 +144,23 @@ def input_tiles(areas: DataFrame, tiles: DataFrame, holes: DataFrame, files: Dat
 
 def loading_areas(shards: DataFrame, boundaries: DataFrame) -> DataFrame:
     """(country, zoom, x, y, box): the common box of a shard and its country (X7); shards that only touch it are dropped.
-    ``shards``: (country, zoom, x, y, box). For regions also ``outer`` and ``holes``, cut to the shard; an area's rows are as
-    many as the parts of the country that it meets."""
-    region = _region(boundaries)
-    b = boundaries.select("country", *region, *[F.col(c).alias("k_" + c) for c in BOX])
+    ``shards``: (country, zoom, x, y, box). For regions also ``outer`` and ``holes``: what shard and country have in common, a row for
+    each piece that it falls into."""
+    if _region(boundaries):
+        return _loading_regions(shards, boundaries)
+    b = boundaries.select("country", *[F.col(c).alias("k_" + c) for c in BOX])
     cut = shards.join(b, "country").withColumns(box_intersection(box_columns(), box_columns("k_")))
     cut = cut.where("min_lon_e7 < max_lon_e7 and min_lat_e7 < max_lat_e7")
-    if region:
-        clipped = cut.withColumn("holes", F.filter(F.transform("holes", lambda h: clip_ring(h, box_columns())), lambda h: F.size(h) > 3))
-        cut = clipped.withColumn("outer", clip_ring(F.col("outer"), box_columns())).where(F.size("outer") > 3)
-    return cut.select("country", "zoom", "x", "y", *region, *BOX)
+    return cut.select("country", "zoom", "x", "y", *BOX)
+
+
+def _loading_regions(shards: DataFrame, boundaries: DataFrame) -> DataFrame:
+    from quadra.plans.slicing import intersections
+
+    tiles = shards.select(F.struct("zoom", "x", "y").alias("tile"), box_ring(box_columns()).alias("outer"), F.array().cast(f"array<{POINTS}>").alias("holes")).distinct()
+    common = intersections(tiles, boundaries.select("country", "outer", "holes"), "tile", "country")
+    parts = common.select("country", "tile.*", F.explode("parts").alias("part")).select("country", "zoom", "x", "y", "part.*").withColumns(bounds(F.col("outer")))
+    return parts.join(shards.select("country", "zoom", "x", "y").distinct(), ["country", "zoom", "x", "y"], "left_semi")
 
 
 def neighbours(shards: DataFrame, metres: float | None) -> DataFrame:

@@ -137,3 +137,16 @@ def country_lines(ways: DataFrame, way_nodes: DataFrame, areas: DataFrame) -> Da
     code = F.create_map(F.lit("iso_country_code"), F.col("country"))
     own = F.map_filter(F.coalesce("tags", F.create_map().cast("map<string,string>")), lambda k, _: k != "iso_country_code")
     return pieces.withColumns({"id": feature_id("way_id", "piece", 0), "tags": F.map_concat(own, code)}).withColumns(bounds(F.col("geom")))
+
+
+def country_areas(areas: DataFrame, countries: DataFrame) -> DataFrame:
+    """(id, of, piece, country, outer, holes, tags, box): areas cut at the borders of countries, a row for each piece (C2). Pieces of an area
+    are numbered from 1 by country and place; the tag ``iso_country_code`` says where each lies. ``areas``: (id, outer, holes, tags),
+    ``countries``: (country, outer, holes), both of simple rings."""
+    common = intersections(areas.select("id", "outer", "holes"), countries.select("country", "outer", "holes"))
+    parts = common.select("id", "country", F.explode("parts").alias("part")).select("id", "country", "part.*")
+    number = F.row_number().over(W.partitionBy("id").orderBy("country", "outer"))
+    own = F.map_filter(F.coalesce("tags", F.create_map().cast("map<string,string>")), lambda k, _: k != "iso_country_code")
+    out = parts.withColumn("piece", number).join(areas.select("id", "tags"), "id")
+    out = out.withColumn("tags", F.map_concat(own, F.create_map(F.lit("iso_country_code"), F.col("country"))))
+    return out.select((F.col("id") + F.col("piece") * 1000).alias("id"), F.col("id").alias("of"), "piece", "country", "outer", "holes", "tags").withColumns(bounds(F.col("outer")))
