@@ -52,8 +52,11 @@ SAMPLE, SAMPLE_CHARS, DICTIONARY = 2_000, 20_000, 64 << 10
 
 def _words(texts: pa.Array) -> pa.ListArray:
     """Texts split at white space; empty words stay."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)
+    first, last = int(offsets[texts.offset]), int(offsets[texts.offset + len(texts)])
+    raw = texts.buffers()[2].slice(first, last - first).to_pybytes() if last > first else b""
     for c in SPACES:
-        if c != " ":
+        if c != " " and c.encode() in raw:
             texts = pc.replace_substring(texts, c, " ")
     return pc.split_pattern(texts, " ")
 
