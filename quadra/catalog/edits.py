@@ -188,11 +188,16 @@ def member_shapes(s, d):
     return features(s, d).select(F.col("item_type").alias("member_type"), F.col("id").alias("member_id"), *G.BOX)
 
 
-def relation_changes(s, d):
-    """All relations, nested ones too, added in every shard that their common box meets."""
+@T.kept
+def placed_relations(s, d):
+    """All relations, nested ones too, in every shard that their common box meets."""
     own = leaf_members(s, d).join(member_shapes(s, d), ["member_type", "member_id"]).groupBy(F.col("relation_id").alias("id")).agg(*[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in G.BOX])
-    placed = spatial.join_boxes(own, boxes(s, d)).select(F.col("b_country").alias("country"), F.col("b_shard").alias("shard"), F.lit("RELATION").alias("item_type"), F.col("a_id").alias("id"), *[F.lit(None).cast(k).alias(v) for v, k in C.VIEW.items()], *[F.col("a_" + c).alias(c) for c in G.BOX])
-    return C.change(placed, "ADD", "m")
+    return spatial.join_boxes(own, boxes(s, d)).select(F.col("b_country").alias("country"), F.col("b_shard").alias("shard"), F.lit("RELATION").alias("item_type"), F.col("a_id").alias("id"), *[F.lit(None).cast(k).alias(v) for v, k in C.VIEW.items()], *[F.col("a_" + c).alias(c) for c in G.BOX])
+
+
+def relation_changes(s, d):
+    """All relations are added in their shards."""
+    return C.change(placed_relations(s, d), "ADD", "m")
 
 
 @query("p16_overlapping_relations", "SELECT * FROM rkept", *BOXES, *RELS)

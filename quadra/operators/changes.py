@@ -293,10 +293,11 @@ def lift_mutation_tags(df: DataFrame) -> DataFrame:
     return df.select("country", "shard", "item_type", "id", F.explode("tags").alias("k", "value")).where(F.col("k").startswith(PREFIX)).select("country", "shard", F.concat_ws(":", "k", "item_type", F.col("id").cast("string")).alias("key"), "value")
 
 
-def generated_removes(changes: DataFrame, source: DataFrame, shards: DataFrame, keep: DataFrame | None = None, leaves: DataFrame | None = None, shapes: DataFrame | None = None) -> DataFrame:
+def generated_removes(changes: DataFrame, source: DataFrame, shards: DataFrame, keep: DataFrame | None = None, leaves: DataFrame | None = None, shapes: DataFrame | None = None, near: DataFrame | None = None) -> DataFrame:
     """REMOVEs for edges and relations of a shard that a kept ADD does not bring back and that lie outside of the shard: an
     edge whose line does not meet it, a relation without a member, at any depth, whose box does. ``keep`` (id) are left alone.
-    ``leaves`` and ``shapes``: see :func:`overlapping_relations`; without them a relation's own box counts."""
+    ``leaves`` and ``shapes``: see :func:`overlapping_relations`. ``near`` (country, shard, id) names the relations that stay instead of
+    them, such as those by shape. Without either a relation's own box counts."""
     gone = source.where(F.col("item_type").isin("EDGE", "RELATION")).join(changes.select(*KEY).distinct(), KEY, "left_anti")
     if keep is not None:
         gone = gone.join(keep.select("id").distinct(), "id", "left_anti")
@@ -305,11 +306,12 @@ def generated_removes(changes: DataFrame, source: DataFrame, shards: DataFrame,
     box = box_columns("s_")
     line = (F.col("item_type") == "EDGE") & F.col("geom").isNotNull()
     outside = F.when(line, ~polyline_meets_box(F.col("geom"), box)).otherwise(~F.coalesce(boxes_meet(box_columns(), box), F.lit(False)))
-    if leaves is None:
-        out = placed.where(outside)
-    else:
-        relation = F.col("item_type") == "RELATION"
-        out = placed.where(~relation & outside).unionByName(placed.where(relation).join(_met(placed.where(relation), leaves, shapes, shards), ["country", "shard", "id"], "left_anti").select(*placed.columns))
+    relation = F.col("item_type") == "RELATION"
+    if near is None and leaves is not None:
+        near = _met(placed.where(relation), leaves, shapes, shards)
+    out = placed.where(outside if near is None else ~relation & outside)
+    if near is not None:
+        out = out.unionByName(placed.where(relation).join(near, ["country", "shard", "id"], "left_anti").select(*placed.columns))
     return change(out.select(*SHARDED), "REMOVE", "outside").select(*CHANGE)
 
 
@@ -333,15 +335,23 @@ def filter_changes(
 # ---------------------------------------------------------------- application
 
 
-def apply_changes(source: DataFrame, changes: DataFrame, shards: DataFrame) -> DataFrame:
-    """REMOVE deletes, ADD inserts or overlays the fields it sets; the result is trimmed to the shard's box. Shards
-    without changes come out as they are (J6 and U1 in one join)."""
+def overlaid(source: DataFrame, changes: DataFrame) -> DataFrame:
+    """The features after REMOVE deletes and ADD inserts or overlays the fields it sets, before any trimming. A relation's box is
+    that of its change."""
     c = changes.select(*KEY, "change_type", "full", *[F.col(v).alias("new_" + v) for v in VIEW], *[F.col(b).alias("new_" + b) for b in BOX])
     both = source.select(*SHARDED, F.lit(True).alias("old")).join(c, KEY, "full_outer")
     both = both.where((F.coalesce("change_type", F.lit("")) != "REMOVE") & (F.col("old") | F.col("full")))
     view = [F.coalesce("new_" + v, v).alias(v) for v in VIEW]
-    boxes = [F.when(F.col("new_geom").isNotNull(), F.col("new_" + b)).otherwise(F.coalesce(b, "new_" + b)).alias(b) for b in BOX]
-    done = both.select(*KEY, *view, *boxes)
+    anew = F.col("new_geom").isNotNull() | (F.col("item_type") == "RELATION")
+    boxes = [F.when(anew, F.coalesce("new_" + b, b)).otherwise(F.coalesce(b, "new_" + b)).alias(b) for b in BOX]
+    return both.select(*KEY, *view, *boxes)
+
+
+def apply_changes(source: DataFrame, changes: DataFrame, shards: DataFrame) -> DataFrame:
+    """REMOVE deletes, ADD inserts or overlays the fields it sets; the result is trimmed to the shard's box. Shards
+    without changes come out as they are (J6 and U1 in one join). Features with members, or with edges and their nodes, are
+    applied by :func:`quadra.operators.graph.apply_graph`."""
+    done = overlaid(source, changes)
     s = shards.select("country", "shard", *[F.col(b).alias("s_" + b) for b in BOX])
     return done.join(s, ["country", "shard"]).where(boxes_meet(box_columns(), box_columns("s_"))).select(*SHARDED)
 

@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 from quadra.functions.geometry import BOX, box_columns, boxes_meet
 from quadra.functions.tags import has_tag, put_tag
 from quadra.operators import changes as C
-from quadra.operators import spatial
+from quadra.operators import graph, spatial
 from quadra.operators.snapshots import countries
 from quadra.session import stored
 
 
 @dataclass
 class Context:
-    """What a mutation may ask for: shards (country, shard, box), lookup tables by name, features of neighbouring shards."""
+    """What a mutation may ask for: shards (country, shard, box), lookup tables by name, features of neighbouring shards, and the
+    members of relations (graph.MEMBER), where there are any."""
 
     shards: DataFrame
     tables: dict[str, DataFrame] = field(default_factory=dict)
     level: int = 0
     features: DataFrame | None = None
+    members: DataFrame | None = None
 
     def neighbours(self, metres: float, rule: Column | None = None) -> DataFrame:
         """(origin, sharded features): what the shards within a distance of each shard hold, itself included, at the start
@@ -44,7 +46,8 @@ class Context:
 
 @dataclass(frozen=True)
 class Mutation:
-    """``run(features, context)`` returns changes (columns of changes.CHANGE)."""
+    """``run(features, context)`` returns changes (columns of changes.CHANGE). ``members(features, context)`` returns the new
+    member lists (graph.MEMBER) of relations that it adds again, each as whole as its shard has it."""
 
     name: str
     run: Callable[[DataFrame, Context], DataFrame]
@@ -53,6 +56,7 @@ class Mutation:
     include: tuple[str, ...] | None = None
     exclude: tuple[str, ...] | None = None
     policy: C.MergePolicy = C.MergePolicy()
+    members: Callable[[DataFrame, Context], DataFrame] | None = None
 
 
 def order_levels(mutations: list[Mutation]) -> list[list[Mutation]]:
@@ -95,6 +99,43 @@ def run_level(features: DataFrame, mutations: list[Mutation], context: Context,
     return C.apply_changes(features, C.with_mutation_tags(kept, features), context.shards), kept
 
 
+def member_lists(features: DataFrame, mutations: list[Mutation], context: Context, only: Column | None = None) -> DataFrame:
+    """graph.MEMBER and mutation: the member lists that a level's mutations make."""
+    source = features if only is None else features.where(only)
+    out = context.members.select(*graph.MEMBER, F.lit(None).cast("string").alias("mutation")).limit(0)
+    context = replace(context, features=features)
+    for m in mutations:
+        if m.members is not None:
+            made = m.members(countries(source, m.include, m.exclude), context)
+            out = out.unionByName(made.select(*graph.MEMBER, F.lit(m.name).alias("mutation")))
+    return out
+
+
+def run_level_graph(features: DataFrame, mutations: list[Mutation], context: Context, policy: C.MergePolicy = C.MergePolicy(), only: Column | None = None, geometric: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C12 for nodes, edges and relations: (features after, members after, changes applied). As :func:`run_level`, with
+    ``context.members``, member lists merged as differences, relations filtered by shape, and the soft cut."""
+    made = C.inside_source(generate(features, mutations, context, only), context.shards)
+    merged = stored(C.merge(C.assign(made, context.shards), policy), "merged")
+    lists = stored(member_lists(features, mutations, context, only), "lists")
+    deltas = stored(graph.member_deltas(lists, context.members), "deltas")
+    brought = stored(graph.brought_members(lists, merged), "brought")
+    kept = stored(graph.filter_graph(merged, features, context.members, brought, context.shards, geometric), "kept")
+    after = graph.members_after(context.members, brought, deltas, kept)
+    done, held = graph.apply_graph(features, after, C.with_mutation_tags(kept, features), context.shards)
+    return done, held, kept
+
+
+def run_levels_graph(features: DataFrame, mutations: list[Mutation], context: Context, policy: C.MergePolicy = C.MergePolicy(), start: int = 0, stop: int | None = None, only: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(features, members) after all levels from ``start`` to ``stop``, see :func:`run_levels` and :func:`run_level_graph`."""
+    members = context.members
+    for i, level in enumerate(order_levels(mutations)):
+        if i < start or (stop is not None and i > stop):
+            continue
+        features, members, _ = run_level_graph(features, level, replace(context, level=i, members=members), policy, only)
+        features, members = stored(features, f"level-{i}"), stored(members, f"members-{i}")
+    return features, members
+
+
 def run_levels(features: DataFrame, mutations: list[Mutation], context: Context, policy: C.MergePolicy = C.MergePolicy(), start: int = 0, stop: int | None = None, only: Column | None = None) -> DataFrame:
     """All levels from ``start`` to ``stop`` (P28) in turn; each level's result is a stored table, which ends its lineage."""
     for i, level in enumerate(order_levels(mutations)):
@@ -147,3 +188,13 @@ def shard_features(features: DataFrame, tiles: DataFrame, boundaries: DataFrame)
     listed = spatial.country_shards(tiles, boundaries).join(boundaries.select("country", *[F.col(c).alias("k_" + c) for c in BOX]), "country")
     both = dealt.join(listed, ["zoom", "x", "y"]).where(boxes_meet(box_columns(), box_columns("k_")))
     return both.withColumn("shard", F.concat_ws("-", "zoom", "x", "y")).select(*C.SHARDED)
+
+
+def shard_graph(features: DataFrame, edges: DataFrame, nodes: DataFrame, tiles: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """Features, edges and nodes dealt to shards like :func:`shard_features`; a shard also has the nodes of its edges that lie
+    outside of it. ``edges`` and ``nodes`` have the columns of features."""
+    e = shard_features(edges, tiles, boundaries)
+    own = shard_features(nodes, tiles, boundaries)
+    ends = e.select("country", "shard", F.explode(F.array("start_node", "end_node")).alias("id")).distinct()
+    outside = ends.join(own.select("country", "shard", "id"), ["country", "shard", "id"], "left_anti").join(nodes.select("item_type", "id", *C.VIEW, *BOX), "id")
+    return shard_features(features, tiles, boundaries).unionByName(e).unionByName(own).unionByName(outside.select(*C.SHARDED))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quadra.catalog import edits, features, files, tiles
+from quadra.catalog import edits, features, files, graphs, tiles
 
-MODULES = [tiles, features, edits, files]
+MODULES = [tiles, features, edits, files, graphs]
 
 
 def queries() -> dict:
