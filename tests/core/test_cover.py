@@ -130,3 +130,14 @@ def test_completion_ends_and_reaches_every_depth(spark):
     assert sorted((r.node_id, r.version) for r in got["nodes"].collect()) == [(1, 1), (2, 1), (3, 2)]
     assert sorted((r.way_id, r.version) for r in got["ways"].collect()) == [(1, 1), (3, 5)]
     assert sorted((r.relation_id, r.seq) for r in got["members"].collect()) == [(1, 1), (1, 2), (2, 1), (3, 1), (5, 1)]
+
+
+def test_leaf_of_a_point_on_a_border(spark):
+    """A leaf is its box with the lower and left border, also at the equator, where the tile's number goes by the upper one."""
+    from quadra.functions.tiles import tile_bounds
+    from quadra.operators.spatial import leaves_holding
+
+    leaves = spark.createDataFrame([(1, x, y) for x in (0, 1) for y in (0, 1)], "zoom int, x long, y long").withColumns(tile_bounds("zoom", "x", "y"))
+    points = spark.createDataFrame([(1, 0, 0), (2, -1, 0), (3, 0, -1), (4, -1, -1), (5, 1_800_000_000, 890_000_000)], "id int, lon_e7 long, lat_e7 long")
+    got = {r.id: (r.x, r.y) for r in leaves_holding(points, leaves).collect()}
+    assert got == {1: (1, 0), 2: (0, 0), 3: (1, 1), 4: (0, 1), 5: (1, 0)}
