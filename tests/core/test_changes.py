@@ -89,3 +89,21 @@ def test_new_nodes_of_foreign_shards_vanish(spark):
     edges = spark.createDataFrame([], "start_node long, end_node long, geom array<struct<lon_e7:bigint,lat_e7:bigint>>")
     boxes = spark.createDataFrame([("A", "1-0-0", 0, 0, 10, 10)], "country string, shard string, min_lon_e7 long, min_lat_e7 long, max_lon_e7 long, max_lat_e7 long")
     assert sorted(r.id for r in C.own_nodes(ch, edges, boxes).collect()) == [1, 3]
+
+
+def test_cells_join_like_boxes(spark):
+    """Many boxes of all sizes, on and beside tile borders, against leaves of all levels."""
+    from quadra.functions.tiles import tile_bounds
+    from quadra.operators.changes import BOX
+    from quadra.operators.spatial import join_boxes, join_cells
+
+    from pyspark.sql import functions as F
+
+    leaves = spark.createDataFrame([(z, x, y) for z in (1, 3, 6, 11, 14) for x in range(2 ** (z - 1) - 1, 2 ** (z - 1) + 1) for y in range(2 ** (z - 1) - 1, 2 ** (z - 1) + 1)], "zoom int, x long, y long").withColumns(tile_bounds("zoom", "x", "y"))
+    edges = [-1_800_000_000, -7_031_250, -219_727, -219_726, -1, 0, 1, 219_726, 219_727, 7_031_250, 1_800_000_000]
+    spans = [(a, b) for a in edges for b in edges if a <= b]
+    some = [(i, x[0], max(-850_000_000, y[0]), x[1], min(850_000_000, y[1])) for i, (x, y) in enumerate((x, y) for x in spans for y in spans)][::7]
+    boxes = spark.createDataFrame(some, "id int, " + ", ".join(f"{c} long" for c in BOX))
+    key = lambda df: df.select("a_id", F.concat_ws("-", "b_zoom", "b_x", "b_y").alias("leaf"))
+    want, got = key(join_boxes(boxes, leaves)), key(join_cells(boxes, leaves))
+    assert want.count() == got.count() > 0 and want.exceptAll(got).count() == 0
