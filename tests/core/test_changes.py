@@ -91,6 +91,21 @@ def test_new_nodes_of_foreign_shards_vanish(spark):
     assert sorted(r.id for r in C.own_nodes(ch, edges, boxes).collect()) == [1, 3]
 
 
+def test_assigned_once(spark):
+    """A change that three shards made alike comes to each shard once, and the same as after assigning each and merging."""
+    from quadra.operators import changes as C
+
+    box = ", ".join(f"{c} long" for c in C.BOX)
+    shards = spark.createDataFrame([("N01", f"14-{i}-0", i * 100, 0, i * 100 + 100, 100) for i in range(5)], f"country string, shard string, {box}")
+    rows = [("N01", f"14-{i}-0", "LINE", 7, None, {"b": "1", "a": "2"}, None, None, 50, 10, 350, 20) for i in range(3)]
+    f = spark.createDataFrame(rows, f"country string, shard string, item_type string, id long, geom {C.POINTS}, tags map<string,string>, start_node long, end_node long, {box}")
+    made = C.change(f, "ADD", "m")
+    once = C.assign_once(made, shards)
+    flat = lambda df: sorted((r.shard, r.source_shard, sorted(r.tags.items()), r.full) for r in df.collect())
+    assert once.count() == 4 and C.assign(made, shards).count() == 12
+    assert flat(once) == flat(C.merge(C.assign(made, shards)))
+
+
 def test_cells_join_like_boxes(spark):
     """Many boxes of all sizes, on and beside tile borders, against leaves of all levels."""
     from quadra.functions.tiles import tile_bounds
