@@ -265,3 +265,22 @@ def test_hot_keys_are_looked_up_apart(spark):
     for how in ("inner", "left"):
         got = sorted(map(tuple, lookup(rows, table, "k", "count", total, how).collect()), key=repr)
         assert got == sorted(map(tuple, rows.join(table, "k", how).collect()), key=repr)
+
+
+def test_training_windows_hold_every_position():
+    """Each word and each end is predicted once, from the word before it, whatever the length of the text."""
+    from quadra.llm.lm import WINDOW, _windows
+
+    n = np.array([0, 1, WINDOW - 1, WINDOW, 0, 5 * WINDOW + 3, 2 * WINDOW])
+    rows = np.arange(n.sum())
+    classes = rows + 1000
+    at, y = _windows(rows, n, classes, 7)
+    got = [(a, c) for a, c in zip(at.ravel().tolist(), y.ravel().tolist(), strict=True) if a != -2]
+    want, first = [], 0
+    for k in n.tolist():
+        words = list(range(first, first + k))
+        want += zip([-1, *words], [*(w + 1000 for w in words), 7], strict=True)
+        first += k
+    assert got == want and ((at == -2) == (y == -1)).all()
+    empty = np.empty(0, np.int64)
+    assert _windows(empty, np.array([0]), empty, 7)[1][0, 0] == 7 and len(_windows(empty, empty, empty, 7)[0]) == 0
