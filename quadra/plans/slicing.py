@@ -15,13 +15,15 @@ from pyspark.sql import Window as W
 
 from quadra.functions.geometry import POINTS, bounds, feature_id
 from quadra.functions.tiles import E7, tile_x, tile_y
-from quadra.operators.cover import EDGE, build_cover, cross, levels_of, locate_in
+from quadra.operators.cover import EDGE, build_cover, cross, levels_of, locate_in, side
 from quadra.operators.rings import chain, multipolygons, nested
-from quadra.session import cut
+from quadra.session import cut, stored
 
 #: Tiles of a segment are found in floating point, with so much room (1e-7 degree); the exact test follows.
 ROOM = 50
 SEGMENT = ("x1", "y1", "x2", "y2")
+#: The coarsest tiles in which segments meet border edges.
+FINE = 8
 
 
 def segments(way_nodes: DataFrame) -> DataFrame:
@@ -52,23 +54,35 @@ def _floor_div(n: str, d: str) -> str:
     return f"(({n}) div ({d}) - case when ({n}) < 0 and ({n}) <> cast((({n}) div ({d})) as decimal(19,0)) * ({d}) then 1 else 0 end)"
 
 
+def _border(cover: DataFrame, key: str) -> DataFrame:
+    """(key, t, px, py, qx, qy): the edges by the tiles of the cover, those of tiles above FINE by their own tiles at FINE: a country's side
+    is a few edges long and would else meet every segment of the country. An edge may come more than once."""
+    rows = cover.where(F.size("edges") > 0).select(key, F.struct(F.col("zoom").cast("int").alias("zoom"), "x", "y").alias("t"), F.explode("edges").alias("e")).select(key, "t", "e.*")
+    wide = rows.where(F.col("t.zoom") < FINE).select(key, *EDGE).distinct().withColumns({s: F.col(e) for s, e in zip(SEGMENT, EDGE)})
+    fine = _tiles_of_segments(wide, F.array(F.lit(FINE))).select(key, "t", *EDGE)
+    return rows.where(F.col("t.zoom") >= FINE).unionByName(fine)
+
+
 def crossings(steps: DataFrame, cover: DataFrame, key: str = "country", up: bool = False) -> DataFrame:
     """(way_id, seq, key, at, lon_e7, lat_e7): where segments go into or out of an area. ``at``: parameter along the segment in 2^-62.
     The point is rounded down (or ``up``); on an upright or level border it lies on the border."""
-    border = cover.where(F.size("edges") > 0).select(key, F.struct(F.col("zoom").cast("int").alias("zoom"), "x", "y").alias("t"), F.explode("edges").alias("e")).select(key, "t", "e.*")
+    border = _border(cover, key)
     near = _tiles_of_segments(steps, levels_of(border.select(F.col("t.zoom").alias("zoom")))).join(border, "t").drop("t")
     boxes = [(F.least(a, b) <= F.greatest(c, d)) for a, b, c, d in (("x1", "x2", "px", "qx"), ("px", "qx", "x1", "x2"), ("y1", "y2", "py", "qy"), ("py", "qy", "y1", "y2"))]
-    near = near.where(boxes[0] & boxes[1] & boxes[2] & boxes[3])
+    # few pairs are that near; they are made single first, so that the join tests boxes alone
+    near = near.where(boxes[0] & boxes[1] & boxes[2] & boxes[3]).dropDuplicates(["way_id", "seq", key, *EDGE])
     c = {k: F.col(k) for k in (*SEGMENT, *EDGE)}
     ex, ey, dx, dy = c["qx"] - c["px"], c["qy"] - c["py"], c["x2"] - c["x1"], c["y2"] - c["y1"]
     near = near.withColumns({
-        "from_side": cross(ex, ey, c["x1"] - c["px"], c["y1"] - c["py"]), "to_side": cross(ex, ey, c["x2"] - c["px"], c["y2"] - c["py"]),
-        "p_side": cross(dx, dy, c["px"] - c["x1"], c["py"] - c["y1"]), "q_side": cross(dx, dy, c["qx"] - c["x1"], c["qy"] - c["y1"]),
+        "from_side": side(ex, ey, c["x1"] - c["px"], c["y1"] - c["py"]), "to_side": side(ex, ey, c["x2"] - c["px"], c["y2"] - c["py"]),
+        "p_side": side(dx, dy, c["px"] - c["x1"], c["py"] - c["y1"]), "q_side": side(dx, dy, c["qx"] - c["x1"], c["qy"] - c["y1"]),
     })
     point = lambda v: F.when(F.col(v) != 0, F.col(v) > 0).when(ey != 0, ey < 0).otherwise(ex > 0)
     edge = lambda v: F.when(F.col(v) != 0, F.col(v) > 0).when(dy != 0, dy > 0).otherwise(dx < 0)
-    met = near.where((point("from_side") != point("to_side")) & (edge("p_side") != edge("q_side"))).dropDuplicates(["way_id", "seq", key, *EDGE])
-    met = met.withColumns({"n": F.abs("from_side"), "d": F.abs(F.col("from_side") - F.col("to_side")).cast("decimal(38,0)")})
+    met = near.where((point("from_side") != point("to_side")) & (edge("p_side") != edge("q_side")))
+    # decimals for those alone that cross
+    before, after = cross(ex, ey, c["x1"] - c["px"], c["y1"] - c["py"]), cross(ex, ey, c["x2"] - c["px"], c["y2"] - c["py"])
+    met = met.withColumns({"n": F.abs(before), "d": F.abs(before - after).cast("decimal(38,0)")})
     sign = "-1 * " if up else ""
     along = lambda a, b: F.expr(f"{a} + {sign}{_floor_div(f'cast(n * cast({sign}({b} - {a}) as decimal(19,0)) as decimal(38,0))', 'd')}").cast("long")
     at = F.expr("(cast(n * cast(4611686018427387904 as decimal(19,0)) as decimal(38,0))) div d")
@@ -84,7 +98,7 @@ def slice_lines(way_nodes: DataFrame, areas: DataFrame, key: str = "country", up
     so are pieces of one point. ``way_nodes``: (way_id, seq, lon_e7, lat_e7), seq from 1 without gaps."""
     cover = build_cover(areas, key)
     rows = way_nodes.select("way_id", "seq", "lon_e7", "lat_e7")
-    inside = locate_in(rows, cover, key=key)
+    inside = stored(locate_in(rows, cover, key=key), "located")  # read twice
     place = W.partitionBy("way_id", "seq", key).orderBy("at")
     marked = crossings(segments(rows), cover, key, up).withColumn("k", F.row_number().over(place)).join(inside.select("way_id", "seq", key, F.lit(True).alias("held")), ["way_id", "seq", key], "left")
     enters = F.coalesce("held", F.lit(False)) == (F.col("k") % 2 == 0)

@@ -141,3 +141,25 @@ def test_leaf_of_a_point_on_a_border(spark):
     points = spark.createDataFrame([(1, 0, 0), (2, -1, 0), (3, 0, -1), (4, -1, -1), (5, 1_800_000_000, 890_000_000)], "id int, lon_e7 long, lat_e7 long")
     got = {r.id: (r.x, r.y) for r in leaves_holding(points, leaves).collect()}
     assert got == {1: (1, 0), 2: (0, 0), 3: (1, 1), 4: (0, 1), 5: (1, 0)}
+
+
+def test_sides_are_found_without_decimals(spark):
+    """The sign of the cross product at the ends of the world, where the difference of its two products does not fit."""
+    from quadra.operators.cover import side, turns
+
+    ends = [(x, y) for x in (-1_800_000_000, 0, 1_800_000_000) for y in (-900_000_000, 1, 900_000_000)]
+    pairs = [(a, b, c) for a in ends for b in ends for c in ends]
+    df = spark.createDataFrame([(*a, *b, *c) for a, b, c in pairs], "px long, py long, qx long, qy long, x long, y long")
+    p = {k: F.col(k) for k in ("px", "py", "qx", "qy")}
+    got = [r.s for r in df.select(side(p["qx"] - p["px"], p["qy"] - p["py"], F.col("x") - p["px"], F.col("y") - p["py"]).alias("s")).collect()]
+    of = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+    assert got == [(v > 0) - (v < 0) for v in (of(*t) for t in pairs)] and set(got) == {-1, 0, 1}
+    plan = df.select(turns(p, F.col("x"), F.col("y"), F.lit(5), F.lit(5)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan
+
+
+def test_wide_borders_meet_segments_in_small_tiles(spark, sf):
+    from quadra import tables as T
+
+    tiles = {r.z for r in slicing._border(C.build_cover(T.outlines(spark, sf)), "country").select(F.col("t.zoom").alias("z")).collect()}
+    assert tiles and min(tiles) >= slicing.FINE
