@@ -110,3 +110,21 @@ def test_leaves_of_deeply_nested_relations_are_found(spark):
     rows = [(i, 1, "RELATION", i + 1, "") for i in range(1, 12)] + [(12, 1, "AREA", 7, "")]
     got = expand_members(spark.createDataFrame(rows, "relation_id long, seq int, member_type string, member_id long, role string"))
     assert sorted((r.relation_id, r.member_id) for r in got.collect()) == [(i, 7) for i in range(1, 13)]
+
+
+def _sent(df):
+    """What the plan sends to all tasks, as text."""
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastExchange" in line]
+
+
+def test_lists_of_tiles_are_not_sent_to_all_tasks(spark):
+    """A box lists many tiles, of which Spark's estimate by the files knows nothing: 20,000 boxes are a small file and long lists."""
+    a = spark.range(20_000).selectExpr("id", *[f"cast({v} as long) as {c}" for c, v in zip(BOX, ("id % 200 * 220000", "cast(id / 200 as int) * 220000", "id % 200 * 220000 + 1000", "cast(id / 200 as int) * 220000 + 1000"))])
+    assert not _sent(spatial.join_cells(a, a)) and not _sent(spatial.join_boxes(a, a, large=True))
+
+
+def test_shards_keep_the_boxes_of_their_tiles(spark, sf):
+    tiles = T.tiles(spark, sf)
+    got = spatial.country_shards(tiles, T.boundaries(spark, sf), BOX)
+    want = spatial.country_shards(tiles, T.boundaries(spark, sf)).join(tiles.drop("final"), ["zoom", "x", "y"]).select(got.columns)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
