@@ -101,6 +101,18 @@ def test_geojson_of_many_shards_is_in_few_folders(spark, tmp_path, write):
     assert len(got) == 256 and got == rows(spark.read.text(many))
 
 
+def test_change_log_of_many_shards_is_in_few_folders(spark, tmp_path):
+    ch = _features(spark).withColumns({"change_type": F.lit("ADD"), "mutation": F.when(F.col("id") % 2 == 0, "edit"), "source_shard": F.lit('9-"0"'), "level": F.lit(0)})
+    folders = lambda path: sum(n.startswith(("block=", "shard=")) for _, names, _ in os.walk(path) for n in names)
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    writers.write_change_log({"applied": ch}, few, "APPLIED")
+    writers.write_change_log({"applied": ch}, many, "APPLIED", folders=True)
+    assert (folders(few), folders(many)) == (1, 128)
+    rows = lambda df: sorted((r.log, r.shard, r.value) for r in df.select("log", "shard", "value").collect())
+    got = rows(readers.read_named(spark.read.text(few)))
+    assert len(got) == 128 and got == rows(spark.read.text(many)) and '"featureChangeType":"ADD","mutator":"edit:9-' in got[0][2]
+
+
 def test_files_of_shared_folders_name_their_shards(spark, sf, monkeypatch):
     seen = []
     monkeypatch.setattr(writers, "write_shards", lambda df, path, scheme=None, folders=False, f=writers.write_shards: (seen.append(folders), f(df, path, scheme, folders)))
