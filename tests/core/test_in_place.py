@@ -124,3 +124,43 @@ def test_outputs_are_written_by_many_tasks(spark, tmp_path):
     df = spark.range(0, 4000, 1, 4)
     writers.split_write(df, str(tmp_path / "a"), F.lit("x"))
     assert len([n for n in os.listdir(tmp_path / "a" / "part=x") if n.endswith(".parquet")]) == 4
+
+
+@pytest.mark.parametrize("name", ["f4_lower_node", "p14_known_or_full", "p26_backfill"])
+def test_edges_of_shards_are_not_stored(spark, sf, name):
+    assert not _made_by(spark, sf, name) & {"sharded_edges"}
+
+
+def _sharded(spark, rows):
+    """(shard, id, points) as sharded lines, and the changes that add them."""
+    f = spark.createDataFrame([("A", s, "LINE", i, g, {"k": str(i)}, None, None, 0, 0, 9, 9) for s, i, g in rows], f"country string, shard string, item_type string, id long, geom {POINTS}, tags map<string,string>, start_node long, end_node long, {BOXED}")
+    return f, C.change(f, "ADD", "m")
+
+
+def test_changes_of_a_feature_are_made_in_one_pass(spark):
+    f, _ = _sharded(spark, [("9-0-0", i, [(0, 0), (i, 9)]) for i in range(5)])
+    tagged = {"tags": F.map_concat("tags", F.create_map(F.lit("a"), F.lit("b")))}
+    both = C.changes_of(f, ("ADD", "one", {}), ("ADD", "two", tagged), ("REMOVE", "three", {}))
+    want = C.change(f, "ADD", "one").unionByName(C.change(f, "ADD", "two", **tagged)).unionByName(C.change(f, "REMOVE", "three"))
+    assert sorted(map(str, both.collect())) == sorted(map(str, want.collect())) and both.columns == want.columns
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_changes_travel_by_their_shard(spark):
+    _, ch = _sharded(spark, [("9-0-0", 1, [(0, 0), (1, 9)])])
+    for df in (C.merge(ch), C.known_or_full(ch.withColumn("full", F.col("id") > 1), ch), C.with_shapes(ch.withColumn("geom", F.lit(None).cast(POINTS)), ch)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(country" in plan and "Join" not in plan
+        assert all(line.split("hashpartitioning(")[1].count("#") == 2 for line in plan.splitlines() if "hashpartitioning(" in line)
+
+
+def test_what_the_source_has_of_a_feature(spark):
+    """Several changes of a feature get it; a feature of another shard, a missing one and null keys have none; complete changes need none."""
+    f, ch = _sharded(spark, [("9-0-0", 1, [(0, 0), (1, 9)]), ("9-0-0", None, [(5, 5)]), ("9-0-1", 2, [(0, 0), (2, 9)])])
+    _, more = _sharded(spark, [("9-0-1", 1, None), ("9-0-0", 3, None), ("9-0-0", 1, None), ("9-0-0", 1, None), ("9-0-0", None, None)])
+    half = more.withColumn("full", F.lit(False))
+    assert [(r.shard, r.id) for r in C.known_or_full(half, f).collect()] == [("9-0-0", 1), ("9-0-0", 1)]
+    assert C.known_or_full(more, f).count() == 5
+    shapes = sorted((str(r.id), r.shard, r["shape"] is not None) for r in C.with_shapes(half, f).collect())
+    assert shapes == [("1", "9-0-0", True), ("1", "9-0-0", True), ("1", "9-0-1", False), ("3", "9-0-0", False), ("None", "9-0-0", False)]
+    assert C.with_shapes(ch, f).where("shape = geom").count() == 3
