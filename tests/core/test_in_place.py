@@ -164,3 +164,13 @@ def test_what_the_source_has_of_a_feature(spark):
     shapes = sorted((str(r.id), r.shard, r["shape"] is not None) for r in C.with_shapes(half, f).collect())
     assert shapes == [("1", "9-0-0", True), ("1", "9-0-0", True), ("1", "9-0-1", False), ("3", "9-0-0", False), ("None", "9-0-0", False)]
     assert C.with_shapes(ch, f).where("shape = geom").count() == 3
+
+
+def test_changes_to_be_merged_are_shuffled_once(spark):
+    """Single changes pass beside merged ones; both are read from one shuffle, also where few columns are asked for."""
+    _, ch = _sharded(spark, [("9-0-0", 1, [(0, 0), (1, 9)]), ("9-0-0", 2, [(0, 0), (2, 9)]), ("9-0-1", 3, None)])
+    both = C.merge(ch.unionByName(ch.where("id = 1").withColumn("mutation", F.lit("n"))))
+    assert sorted((r.shard, r.id, r.mutation, dict(r.tags), r.geom is None) for r in both.collect()) == [("9-0-0", 1, "m", {"k": "1"}, False), ("9-0-0", 2, "m", {"k": "2"}, False), ("9-0-1", 3, "m", {"k": "3"}, True)]
+    few = both.select("id")
+    few.collect()
+    assert "ReusedExchange" in few._jdf.queryExecution().executedPlan().toString()
